@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, sharding
+from . import exact_dedup, langid, line_dedup, mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_langid": langid.op2_langid,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_secrets": secrets.op8_secrets,
     "op10_mixing": mixing.op10_mixing,
 }
 
