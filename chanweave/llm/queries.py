@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, line_dedup, mixing, packing, secrets, sharding
+from . import exact_dedup, jaccard, langid, line_dedup, mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -11,10 +11,12 @@ QUERIES = {
     "op6_sharding": sharding.op6_sharding,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_secrets": secrets.op8_secrets,
+    "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES = {
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op9_jaccard_join": jaccard.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
 }
