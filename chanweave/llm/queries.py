@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, exact_dedup, jaccard, langid, line_dedup, mixing, packing, secrets, sharding
+from . import ann, exact_dedup, jaccard, langid, line_dedup, mixing, packing, pii, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_langid": langid.op2_langid,
     "op3_ann": ann.op3_ann,
+    "op4_pii": pii.op4_pii,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_sharding": sharding.op6_sharding,
     "op7_line_dedup": line_dedup.op7_line_dedup,
