@@ -294,8 +294,8 @@ def _traverse(blocks: DataFrame, sets: DataFrame, groups: DataFrame, percent: in
     return flat.mapInPandas(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id (least doc_id of the component)."""
+def label(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of `docs`: doc_id, hash (of the text), n_shingles, component_id (least doc_id), first (the document that stays)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     classes = cut(_sets(rows, "text", k))
     blocks = cut(_blocks(_filed(rows, k, percent)))
@@ -306,17 +306,30 @@ def join(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id
     leaders = blocks.groupBy("block").agg(F.min("id").alias("lead"))
     star = blocks.join(leaders, "block").groupBy("id").agg(F.min("lead").alias("lead")).where("id <> lead")
     links = cut(_verify(star.select(F.col("lead").alias("a"), F.col("id").alias("b")), tokens, percent))
-    groups = components(links)
-    more = _verify(_traverse(blocks, tokens, groups, percent), tokens, percent)
+    more = _verify(_traverse(blocks, tokens, components(links), percent), tokens, percent)
     groups = components(links.unionByName(more))
 
     named = classes.join(groups.withColumnRenamed("id", "class"), "class", "left").withColumn("g", F.coalesce("component", "class"))
-    least = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"))
-    linked = named.where("n > 0").join(least, "g").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    own = F.struct("doc_id", "hash")
+    least = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(own).alias("least"))
+    columns = ["doc_id", "hash", F.col("n").alias("n_shingles"), "component_id"]
+    linked = named.where("n > 0").join(least, "g").select(*columns, (own == F.col("least")).alias("first"))
+    alone = named.where("n = 0").withColumn("component_id", F.col("doc_id")).select(*columns, F.lit(True).alias("first"))
     return linked.unionByName(alone)
 
 
+def join(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id (least doc_id of the component)."""
+    return label(docs, k, percent, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` without near copies: the least id of each component stays, rows that repeat it once."""
+    named = label(docs, k, percent, doc_id, text).where("first").select(F.struct("doc_id", "hash").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("hash")))
+    return keyed.join(named, "__key").dropDuplicates(["__key"]).drop("__key")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join(read(spark, sf_dir, "documents"), k=4, percent=85)
 

@@ -6,8 +6,7 @@ best one, two, ... languages of the full mixture), each is fitted again, and the
 penalty of log(n) / 2 for each further language is selected. The answer is the largest share of that set.
 
 Training counts trigrams in Spark over a bounded sample of labelled documents: the `per_language` rows of each language
-with the smallest hash of the text (a documented bound, equal at every size), which a window limit picks before the
-shuffle. The model is a table of `vocabulary` trigrams by languages. Prediction is one narrow pass in numpy batches: the
+with the smallest hashes (a documented bound, equal at every size); a filter on the hash thins them before any shuffle. The model is a table of `vocabulary` trigrams by languages. Prediction is one narrow pass in numpy batches: the
 trigram counts of a block of documents are a matrix, and an EM step is two products of matrices.
 
 Defined cases: null text and text without a letter give `und` with score 0; a letter but no known trigram gives equal
@@ -17,6 +16,7 @@ result; each row is answered by itself, so repeated rows get equal answers; text
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,8 +58,13 @@ def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", per_language: int = 600, vocabulary: int = 3072) -> Model:
     """Model from the rows given; rows without language or text are left out."""
-    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    ranked = known.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"))))
+    chance = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 30))
+    known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
+    # About twice the rows wanted pass a narrow filter; the exact choice is then among few.
+    sizes = known.groupBy(lang).count().collect()  # one row per language
+    limits = F.from_json(F.lit(json.dumps({r[lang]: int(min(1, 2 * per_language / r["count"]) * (1 << 30)) for r in sizes})), "map<string,bigint>")
+    few = known.where(chance < limits[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"), chance.alias("chance"))
+    ranked = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text")))
     sample = ranked.where(F.col("place") <= per_language).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,8 +126,12 @@ def infer(counts: np.ndarray, likelihood: np.ndarray, most: int = 4, steps: int
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str = "text") -> DataFrame:
-    """The columns `keep`, then lang_pred, score and languages (the selected shares, as "en:0.93,fr:0.07")."""
-    rows = docs.select(*keep, F.col(text).alias("__text"))
+    """The columns `keep`, then lang_pred, score and languages (the selected shares, as "en:0.93,fr:0.07").
+
+    A column in `keep` with the name of a result gives way to it.
+    """
+    rows = docs.select(*keep).drop("lang_pred", "score", "languages").columns
+    rows = docs.select(*keep, F.col(text).alias("__text")).select(*rows, "__text")
     kept = [c for c in rows.columns if c != "__text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "lang_pred string, score double, languages string"])
     names, trigrams, likelihood = np.array(model.languages, dtype=object), model.trigrams, model.likelihood
@@ -165,6 +174,13 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
     return rows.mapInPandas(run, schema)
 
 
+def keep_known(docs: DataFrame, least_score: float = 0.5, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The rows of `docs` whose language is determined with the score or more; trained on their own labels."""
+    columns = docs.columns
+    inner = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
+    return predict(inner, train(docs, lang, text), ["row"]).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("row.*")
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 

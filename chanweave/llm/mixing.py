@@ -43,20 +43,28 @@ def targets(sizes: DataFrame, max_epochs: int = 3) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_epochs: int = 3, seed: int = 0
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, copies.
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_epochs: int = 3, seed: int = 0,
+    carry: bool = False,
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken, copies; with carry also `row`, the whole input row.
 
     taken: words that the mix takes of the row, repeats counted. copies: the same in whole documents (rounded).
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.md5(text_of(text))))).alias("draw"),
+        *([F.struct("*").alias("row")] if carry else []),
     ).withColumn("cell", F.substring("draw", 1, CELL_DIGITS))
-    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    cells = rows.drop("row").groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     sizes = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
-    before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select(F.col("source").alias("s"), F.col("cell").alias("c"), F.coalesce(F.sum("cell_size").over(before), F.lit(0)).alias("cell_before"))
+    # Running sums in two steps, so that no window holds more than 256 rows of a source.
+    cells = cells.withColumn("top", F.substring("cell", 1, CELL_DIGITS // 2))
+    earlier = lambda by, order: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    tops = cells.groupBy("source", "top").agg(F.sum("cell_size").alias("top_size"))
+    tops = tops.select(F.col("source").alias("ts"), F.col("top").alias("tt"), F.coalesce(F.sum("top_size").over(earlier(["source"], "top")), F.lit(0)).alias("top_before"))
+    cells = cells.withColumn("in_top", F.coalesce(F.sum("cell_size").over(earlier(["source", "top"], "cell")), F.lit(0)))
+    cells = cells.join(tops, F.col("source").eqNullSafe(F.col("ts")) & (F.col("top") == F.col("tt")))
+    cells = cells.select(F.col("source").alias("s"), F.col("cell").alias("c"), (F.col("top_before") + F.col("in_top")).alias("cell_before"))
     goals = targets(sizes, max_epochs).withColumnRenamed("source", "g")
     plan = cells.join(goals, F.col("s").eqNullSafe(F.col("g"))).drop("g")
     in_cell = Window.partitionBy("source", "cell").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -69,9 +77,16 @@ def mix(
     return placed.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken"),
         (F.col("whole") + (F.col("missing") * 2 > F.col("size")).cast("int")).cast("int").alias("copies"),
+        *(["row"] if carry else []),
     )
 
 
+def repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_epochs: int = 3, seed: int = 0) -> DataFrame:
+    """The rows of `docs` as often as the mix takes them, in whole documents."""
+    mixed = mix(docs, doc_id, text, source, max_epochs, seed, carry=True).where("copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
