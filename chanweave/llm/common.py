@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and forget the lineage."""
+    """Materialise in the shared checkpoint folder and forget the lineage.
+
+    Spark deletes shuffle files when the driver collects the plans that own them; asking for that here keeps the disk
+    that a job of many steps needs near that of its largest step.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint()
 
 

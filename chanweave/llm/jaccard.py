@@ -30,7 +30,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, read
@@ -235,9 +235,9 @@ def _filed(docs: DataFrame, k: int, percent: int) -> DataFrame:
 def _blocks(filed: DataFrame) -> DataFrame:
     """(block, id): blocks of two classes or more, each set of members once."""
     dealt = filed.repartition("key").distinct()
-    stats = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("id") % (1 << 44)).alias("print")).where("n > 1")
-    chosen = stats.groupBy("n", "print").agg(F.min("key").alias("key")).select("key")
-    return dealt.join(chosen, "key").select(F.col("key").alias("block"), "id")
+    own = Window.partitionBy("key")
+    known = dealt.withColumn("n", F.count(F.lit(1)).over(own)).withColumn("print", F.sum(F.xxhash64("id") % (1 << 44)).over(own)).where("n > 1")
+    return known.select(F.xxhash64("n", "print").alias("block"), "id").distinct()
 
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
