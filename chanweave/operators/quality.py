@@ -85,7 +85,8 @@ def quality_stats(rows: DataFrame) -> DataFrame:
     names = of("name", "max_per_name", "dup_names").withColumnRenamed("name", "unique_names")
     urls = of("url", "max_per_url", "dup_urls").select(F.col("url").alias("unique_urls"), "dup_urls")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return names.join(urls).select(*[zero(c) for c in ("entries", "unique_names", "unique_urls", "max_per_name", "dup_names", "dup_urls")])
+    one = F.lit(1).alias("one")  # both sides have one row
+    return names.select("*", one).join(urls.select("*", one), "one").select(*[zero(c) for c in ("entries", "unique_names", "unique_urls", "max_per_name", "dup_names", "dup_urls")])
 
 
 def other_ratio(rows: DataFrame) -> DataFrame:

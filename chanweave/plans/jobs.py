@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dims import CORE_SOURCES, RADIO, categories, file_for, normalise_group_title, position_of
@@ -45,8 +45,6 @@ def playlists(selected: DataFrame, settings: Settings = Settings()) -> DataFrame
     extended = more.select(F.lit("live_more.m3u").alias("playlist"), by_name.alias("o"), *columns)
 
     def placed(rows: DataFrame) -> DataFrame:
-        from pyspark.sql import Window
-
         return rows.withColumn("pos", F.row_number().over(Window.partitionBy("playlist").orderBy("o"))).drop("o")
 
     return placed(main.unionByName(each)).unionByName(placed(extended))
@@ -63,7 +61,8 @@ def run_catalogue(
     seen = selected.select(file_for("category").alias("playlist")).distinct()
     names = seen.union(categories(spark).limit(1).select(F.lit("live.m3u").alias("playlist")))
     sinks.write_playlists(sinks.playlist_lines(playlists(selected, settings), names), f"{out}/playlists")
-    summary = quality.run_summary(selected).crossJoin(gate)  # one row by one row
+    one = F.lit(1).alias("one")  # both sides have one row
+    summary = quality.run_summary(selected).select("*", one).join(gate.select("*", one), "one").drop("one")
     sinks.write_summary(summary, f"{out}/summary")
     return summary
 
