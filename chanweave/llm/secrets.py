@@ -37,14 +37,15 @@ class Rule:
     base: bool = True
 
 
-#: The base rules as the task states them, then further kinds of well-known public key formats.
+#: The base rules as the task states them, then further kinds of well-known public key formats. The least
+#: length of a run is part of its pattern, which gives the same matches (runs are maximal) and no rows for short runs.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]{24,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", base=False),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40, base=False),
-    Rule("google", r"AIza[A-Za-z0-9_-]+", 0, 39, base=False),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", base=False),
+    Rule("google", r"AIza[A-Za-z0-9_-]{35,}", base=False),
 )
 MOST_STRINGS = 64
 
@@ -95,9 +96,8 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
 
 def build_index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
     """Postings (trigram, key) of documents (key, text) for the trigrams asked for."""
-    folded = F.lower("text")
-    held = F.array_compact(F.array(*[F.when(folded.contains(t), F.lit(t)) for t in trigrams]))
-    return docs.select(F.explode(held).alias("trigram"), "key")
+    held = F.array_compact(F.array(*[F.when(F.col("folded").contains(t), F.lit(t)) for t in trigrams]))
+    return docs.select("key", F.lower("text").alias("folded")).select(F.explode(held).alias("trigram"), "key")
 
 
 def candidates(postings: DataFrame, queries: dict[str, list[list[frozenset[str]]]]) -> DataFrame:
