@@ -19,6 +19,7 @@ QUERIES = {
 
 ORACLES = {
     "op5_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op8_secrets": secrets.ORACLE_SQL,
     "op9_jaccard_join": jaccard.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
 }

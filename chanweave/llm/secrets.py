@@ -172,6 +172,26 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read(spark, sf_dir, "documents"))
 
 
+def _oracle() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rules = ", ".join(f"({k}, {quoted(r.kind)}, {quoted(r.pattern)}, {r.least}, {r.base})" for k, r in enumerate(RULES))
+    counts = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in RULES if r.base)
+    counted = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in RULES if r.base)
+    return f"""
+WITH r AS (SELECT * FROM (VALUES {rules}) AS t(k, kind, pattern, least, base)),
+x AS (SELECT doc_id, r.*, regexp_extract_all(text, pattern) AS m, string_split_regex(text, pattern) AS s,
+             CASE WHEN kind = 'assign' THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern) END AS g
+      FROM documents JOIN r ON regexp_matches(text, pattern)),
+y AS (SELECT doc_id, k, kind, least, base, unnest(m) AS m, unnest(g) AS g, unnest(s[1:len(m)]) AS s, unnest(range(len(m))) AS i FROM x),
+z AS (SELECT *, CAST(sum(length(m) + length(s)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM y),
+f AS (SELECT *, e - length(m) AS a, concat(kind, ':', e - length(m), ':', e) AS span FROM z WHERE length(g) >= least),
+o AS (SELECT doc_id, {counted}, string_agg(span, ',' ORDER BY a, k) FILTER (base) AS base, string_agg(span, ',' ORDER BY a, k) AS spans FROM f GROUP BY doc_id)
+SELECT d.doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents d LEFT JOIN o ON d.doc_id = o.doc_id"""
+
+
+ORACLE_SQL = _oracle()
+
+
 def spans_by_brute_force(text: str | None, rules: tuple[Rule, ...] = RULES) -> list[tuple[str, int, int]]:
     """What the tests compare with."""
     found = []
