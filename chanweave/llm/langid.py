@@ -5,9 +5,10 @@ estimates the document's language proportions from the languages' trigram likeli
 best one, two, ... languages of the full mixture), each is fitted again, and the set with the highest likelihood less a
 penalty of log(n) / 2 for each further language is selected. The answer is the largest share of that set.
 
-Training counts trigrams in Spark over a bounded sample of labelled documents: the `per_language` rows of each language
-with the smallest hashes (a documented bound, equal at every size); a filter on the hash thins them before any shuffle. The model is a table of `vocabulary` trigrams by languages. Prediction is one narrow pass in numpy batches: the
-trigram counts of a block of documents are a matrix, and an EM step is two products of matrices.
+Training counts trigrams in Spark over a bounded sample of labelled documents: the `per_language` texts of each language
+with the smallest hashes of the text (a documented bound, equal at every size), copies once; a filter on the hash thins
+them before any shuffle. The model is a table of `vocabulary` trigrams by languages. Prediction is one narrow pass in
+numpy batches: the trigram counts of a block of documents are a matrix, and an EM step is two products of matrices.
 
 Defined cases: null text and text without a letter give `und` with score 0; a letter but no known trigram gives equal
 shares (ties go to the first language by name); without labelled rows everything is `und`; an empty table gives an empty
@@ -58,12 +59,12 @@ def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", per_language: int = 600, vocabulary: int = 3072) -> Model:
     """Model from the rows given; rows without language or text are left out."""
-    chance = F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 30))
+    chance = F.pmod(F.xxhash64(text), F.lit(1 << 30))
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    # About twice the rows wanted pass a narrow filter; the exact choice is then among few.
+    # About twice the texts wanted pass a narrow filter; the exact choice is then among few.
     sizes = known.groupBy(lang).count().collect()  # one row per language
     limits = F.from_json(F.lit(json.dumps({r[lang]: int(min(1, 2 * per_language / r["count"]) * (1 << 30)) for r in sizes})), "map<string,bigint>")
-    few = known.where(chance < limits[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"), chance.alias("chance"))
+    few = known.where(chance < limits[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"), chance.alias("chance")).distinct()
     ranked = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text")))
     sample = ranked.where(F.col("place") <= per_language).select("lang", "text")
 
