@@ -50,7 +50,7 @@ def _pack_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _matrix(vectors) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
+    return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1) if len(vectors) else np.empty((0, 0))
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -168,8 +168,7 @@ def _hop(batches: Iterator[pd.DataFrame], beam: int, a_hop: int) -> Iterator[pd.
         out = []
         for q, vec, ids, dists, done, found in zip(batch["q"], batch["qvec"], batch["ids"], batch["ds"], batch["done"], batch["found"], strict=True):
             best = dict(zip(map(int, ids), map(float, dists), strict=True))
-            fresh = [(int(f["v"]), f["vec"]) for f in found] if found is not None else []
-            fresh = [(v, x) for v, x in {v: x for v, x in fresh}.items() if v not in best]
+            fresh = [(v, x) for v, x in {int(f["v"]): f["vec"] for f in found}.items() if v not in best]
             if fresh:
                 d = np.sqrt(((_matrix([x for _, x in fresh]) - np.frombuffer(vec, dtype=np.float64)) ** 2).sum(axis=1))
                 best.update(zip((v for v, _ in fresh), d.tolist(), strict=True))
@@ -184,7 +183,6 @@ def _hop(batches: Iterator[pd.DataFrame], beam: int, a_hop: int) -> Iterator[pd.
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop: int = A_HOP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """index: (id, vec, near); queries: (q, qvec, entry), entry a node's id. Gives (q, ids, ds), nearest first, k nodes at most."""
     state_schema = "q long, qvec binary, ids array<long>, ds array<double>, done array<long>, todo array<long>"
-    step = lambda rows: rows.mapInPandas(lambda b: _hop(b, beam, a_hop), state_schema)
     vectors = index.select(F.col("id").alias("v"), "vec")
     links = index.select(F.col("id").alias("e"), "near")
     size = queries.count()
@@ -192,15 +190,17 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop
     hint = F.broadcast if small else (lambda x: x)
     none = F.array().cast("array<long>")
     state = queries.select("q", "qvec", none.alias("ids"), none.cast("array<double>").alias("ds"), none.alias("done"), F.array("entry").alias("todo"))
-    first = hint(state.select("q", F.explode("todo").alias("v"))).join(vectors, "v")
+    reached = state.select("q", F.explode("todo").alias("v"))
+    fields = F.struct("qvec", "ids", "ds", "done").alias("s")
     while True:
-        found = first.groupBy("q").agg(F.collect_list(F.struct("v", "vec")).alias("found"))
-        state = cut(step(state.drop("todo").join(found, "q", "left")))
+        # State and finds meet in one shuffle by query.
+        found = hint(reached).join(vectors, "v").select("q", F.lit(None).alias("s"), F.struct("v", "vec").alias("f"))
+        both = state.select("q", fields, F.lit(None).alias("f")).union(found).groupBy("q").agg(F.first("s", ignorenulls=True).alias("s"), F.collect_list("f").alias("found"))
+        state = cut(both.select("q", "s.*", "found").mapInPandas(lambda b: _hop(b, beam, a_hop), state_schema))
         frontier = state.select("q", F.explode("todo").alias("e"))
         if frontier.isEmpty():
             return state.select("q", F.slice("ids", 1, k).alias("ids"), F.slice("ds", 1, k).alias("ds"))
-        reached = hint(frontier).join(links, "e").select("q", F.explode("near").alias("v")).distinct()
-        first = hint(reached).join(vectors, "v")
+        reached = hint(frontier).join(links, "e").select("q", F.explode("near").alias("v"))
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
