@@ -13,7 +13,7 @@ dual traversal starts at the root paired with itself and drops a pair of nodes w
 bits, plus the tokens that share bits, at most the larger size) is below what their sizes need, or when all members are
 already connected. Surviving pairs of classes are verified on the whole sets.
 
-Dense groups. Before the traversal each class is verified against one leader, the least class in any of its blocks, and
+Dense groups. Before the traversal each class is held against one leader (bitmaps first, then the whole sets), the least class in any of its blocks, and
 linked classes are contracted. A group of near copies is then one component, the traversal skips pairs inside it, and no
 block emits all its pairs. Large blocks are dealt out as pairs of chunks. Components come from alternating star
 contraction, every step an aggregation with map-side combine and a join that adaptive execution can split.
@@ -26,7 +26,6 @@ part, and a component of null ids alone has a null id; an empty table gives an e
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -38,6 +37,7 @@ from .common import cut, read
 SHINGLE_WORDS, PERCENT = 5, 80
 LEAF, FAN_OUT, CHUNK = 16, 4, 512
 BAND_RATIO = 1.5
+BROADCAST_BYTES = 16 << 20
 MIX1, MIX2, MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -71,35 +71,38 @@ def class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-@cache
-def bands(largest: int = 1 << 40) -> list[int]:
-    """The least size of each band."""
+def _bands(largest: int = 1 << 40) -> list[int]:
     found = [1]
     while found[-1] < largest:
         found.append(int(found[-1] * BAND_RATIO) + 1)
     return found
 
 
-@cache
+#: The least size of each band.
+BANDS = np.array(_bands())
+
+
 def layout(band: int, percent: int) -> tuple[int, int, np.ndarray]:
     """(most differing tokens, spare segments, where segments begin) for pairs whose larger set is in the band."""
-    differ = (100 - percent) * 2 * (bands()[band + 1] - 1) // (100 + percent)
+    differ = (100 - percent) * 2 * (int(BANDS[band + 1]) - 1) // (100 + percent)
     spare = 8 + differ // 16
     segments = differ + 1 + spare
     step = (1 << 64) / segments
     return differ, spare, np.array([min(int(j * step), (1 << 64) - 1) for j in range(segments)], dtype=np.uint64)
 
 
-def block_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys such that linked, unequal sets share one."""
+def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> np.ndarray:
+    """Keys such that linked, unequal sets share one. layouts: remembers the layout of each band met."""
     n = len(tokens)
-    own = int(np.searchsorted(bands(), n, side="right")) - 1
+    own = int(np.searchsorted(BANDS, n, side="right")) - 1
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)))
     found = []
     for band in (own, own + 1):
-        if 100 * n < percent * bands()[band]:
+        if 100 * n < percent * BANDS[band]:
             continue
-        differ, spare, begins = layout(band, percent)
+        if band not in layouts:
+            layouts[band] = layout(band, percent)
+        differ, spare, begins = layouts[band]
         if not differ:
             continue
         at = np.append(np.searchsorted(tokens, begins), n)
@@ -112,8 +115,8 @@ def block_keys(tokens: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """Token bitmap of 4 bits a token or more, a power of two wide."""
-    width = max(64, 1 << (4 * len(tokens) - 1).bit_length())
+    """Token bitmap of one to two bits a token, a power of two wide: at 0.8 that rules out similarities below about 0.45."""
+    width = max(64, 1 << max(0, len(tokens) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(tokens & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -185,37 +188,41 @@ def dual_traversal(maps: list[bytes], sizes: np.ndarray, groups: np.ndarray, per
 
 def components(links: DataFrame) -> DataFrame:
     """(a, b) links of longs -> (id, component): the least id of the component, for every id that a link names."""
+    def mark() -> tuple:
+        return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    state = None
-    while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    state, after = None, mark()
+    while state != after:
+        state = after
+        up = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = edges.union(up).groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = up.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         edges = cut(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
-        state = now
+        after = mark()
+    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
 def _sets(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(class, n) beside each row's own id columns; narrow."""
+    """(class, n, bits) beside each row's own id columns; narrow."""
     keep = [c for c in docs.columns if c != text]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingles(t, k) for t in batch[text]]
-            yield batch[keep].assign(n=np.array([len(x) for x in found], dtype=np.int64), **{"class": [class_of(x) for x in found]})
+            yield batch[keep].assign(n=np.array([len(x) for x in found], dtype=np.int64), **{"class": [class_of(x) for x in found]}, bits=[bitmap(x) for x in found])
 
-    return docs.mapInPandas(run, f"{fields}, n long, class long")
+    return docs.mapInPandas(run, f"{fields}, n long, class long, bits binary")
 
 
 def _filed(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, id): the block keys of every class. Copies met in one task are filed once."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        layouts: dict[int, tuple] = {}
         for batch in batches:
             seen: set[int] = set()
             keys, ids = [], []
@@ -223,7 +230,7 @@ def _filed(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 tokens = shingles(text, k)
                 if len(tokens) and (own := class_of(tokens)) not in seen:
                     seen.add(own)
-                    keys.append(block_keys(tokens, percent))
+                    keys.append(block_keys(tokens, percent, layouts))
                     ids.append(own)
             if keys:
                 owner = np.repeat(np.array(ids, dtype=np.int64), [len(x) for x in keys])
@@ -240,21 +247,40 @@ def _blocks(filed: DataFrame) -> DataFrame:
     return known.select(F.xxhash64("n", "print").alias("block"), "id").distinct()
 
 
-def _candidate_sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """(id, n, tokens, bits) of the wanted classes, one row each."""
+def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
+    """With a broadcast hint, if the rows' number keeps them under the bound; else as they are, and Spark shuffles."""
+    return F.broadcast(rows) if rows.count() * bytes_each <= BROADCAST_BYTES else rows
+
+
+def _tokens_of(docs: DataFrame, owners: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(id, tokens) of the classes that the pairs name, from one document each."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shingles(t, k) for t in batch["text"]]
-            yield pd.DataFrame(
-                {"id": batch["id"], "n": [len(x) for x in found], "tokens": [x.view(np.int64) for x in found], "bits": [bitmap(x) for x in found]}
-            )
+            yield pd.DataFrame({"id": batch["id"], "tokens": [shingles(t, k).view(np.int64) for t in batch["text"]]})
+
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    named = cut(owners.join(ids, "id").select("id", "d"))
+    texts = docs.select(F.struct("doc_id", "hash").alias("d"), "text").join(_few(named, 64), "d")
+    return texts.select("id", "text").mapInPandas(run, "id long, tokens array<long>").dropDuplicates(["id"])
+
 
-    texts = docs.select(F.struct("doc_id", "hash").alias("d"), "text").join(wanted, "d").dropDuplicates(["d"])
-    return texts.select("id", "text").mapInPandas(run, "id long, n long, tokens array<long>, bits binary")
+def _possible_pairs(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps cannot rule out."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for x, y, m, n in zip(batch["x"], batch["y"], batch["m"], batch["n"], strict=True):
+                both = Level.of_members([x, y], np.array([m, n]), np.array([0, 1]))
+                keep.append(bool(both.possible(np.array([0]), np.array([1]), percent)[0]))
+            yield batch.loc[keep, ["a", "b"]]
+
+    both = pairs.join(bits.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a")
+    both = both.join(bits.select(F.col("id").alias("b"), "n", F.col("bits").alias("y")), "b")
+    return both.mapInPandas(run, "a long, b long")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets. Only the texts of classes in pairs are read into sets."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             linked = [
@@ -263,17 +289,18 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ]
             yield batch.loc[linked, ["a", "b"]]
 
-    tokens = sets.select("id", "tokens")
-    both = pairs.join(tokens.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-    both = both.join(tokens.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-    return both.mapInPandas(run, "a long, b long")
+    pairs = cut(pairs)
+    sets = cut(_tokens_of(docs, owners, pairs, k))
+    with_x = _few(pairs, 16).join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
+    with_y = _few(pairs, 16).join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
+    return with_x.join(with_y, ["a", "b"]).mapInPandas(run, "a long, b long")
 
 
-def _traverse(blocks: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _traverse(blocks: DataFrame, bits: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that the trees of the blocks cannot rule out."""
     known = blocks.join(groups, "id", "left").select("block", "id", F.coalesce("component", "id").alias("g"))
     mixed = known.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi")
-    rows = known.join(mixed.select("block", "members"), "block").join(sets.select("id", "n", "bits"), "id")
+    rows = known.join(mixed.select("block", "members"), "block").join(bits, "id")
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), chunks).cast("int"))
     rows = rows.select("block", "own", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"), "id", "g", "n", "bits")
@@ -299,18 +326,25 @@ def label(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_i
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     classes = cut(_sets(rows, "text", k))
     blocks = cut(_blocks(_filed(rows, k, percent)))
-    # One document of each class in a block gives the class its tokens.
-    owners = classes.groupBy(F.col("class").alias("id")).agg(F.min(F.struct("doc_id", "hash")).alias("d"))
-    tokens = cut(_candidate_sets(rows, owners.join(blocks.select("id").distinct(), "id"), k))
+    # One document of each class in a block stands for it.
+    own = F.struct("doc_id", "hash")
+    owners = classes.groupBy(F.col("class").alias("id")).agg(F.min(own).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    owners = cut(owners.join(blocks.select("id").distinct(), "id"))
+    bits = owners.select("id", "n", "bits")
 
     leaders = blocks.groupBy("block").agg(F.min("id").alias("lead"))
     star = blocks.join(leaders, "block").groupBy("id").agg(F.min("lead").alias("lead")).where("id <> lead")
-    links = cut(_verify(star.select(F.col("lead").alias("a"), F.col("id").alias("b")), tokens, percent))
-    more = _verify(_traverse(blocks, tokens, components(links), percent), tokens, percent)
-    groups = components(links.unionByName(more))
-
-    named = classes.join(groups.withColumnRenamed("id", "class"), "class", "left").withColumn("g", F.coalesce("component", "class"))
-    own = F.struct("doc_id", "hash")
+    star = _possible_pairs(star.select(F.col("lead").alias("a"), F.col("id").alias("b")), bits, percent)
+    links = cut(_verify(star, rows, owners, k, percent))
+    groups = cut(components(links))
+    more = _verify(_traverse(blocks, bits, groups, percent), rows, owners, k, percent)
+    # Later links join whole components, so only the contracted graph is settled again.
+    of = lambda c: groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
+    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
+    joined = components(between).select(F.col("id").alias("g1"), F.col("component").alias("g2"))
+
+    named = classes.join(groups.withColumnRenamed("id", "class"), "class", "left").withColumn("g1", F.coalesce("component", "class"))
+    named = named.join(joined, "g1", "left").withColumn("g", F.coalesce("g2", "g1"))
     least = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(own).alias("least"))
     columns = ["doc_id", "hash", F.col("n").alias("n_shingles"), "component_id"]
     linked = named.where("n > 0").join(least, "g").select(*columns, (own == F.col("least")).alias("first"))

@@ -434,7 +434,7 @@ def test_block_keys_lose_no_link():
             y = np.unique(np.concatenate([rng.choice(x, max(1, int(len(x) * rng.uniform(0.75, 1))), replace=False), rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)]))
             common = len(np.intersect1d(x, y))
             if 100 * common >= percent * (len(x) + len(y) - common) and len(np.setxor1d(x, y)):
-                assert len(np.intersect1d(jaccard.block_keys(x, percent), jaccard.block_keys(y, percent)))
+                assert len(np.intersect1d(jaccard.block_keys(x, percent, {}), jaccard.block_keys(y, percent, {})))
 
 
 def test_dual_traversal_loses_no_link():
