@@ -61,9 +61,10 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", per_language:
     """Model from the rows given; rows without language or text are left out."""
     chance = F.pmod(F.xxhash64(text), F.lit(1 << 30))
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    # About twice the texts wanted pass a narrow filter; the exact choice is then among few.
-    sizes = known.groupBy(lang).count().collect()  # one row per language
-    limits = F.from_json(F.lit(json.dumps({r[lang]: int(min(1, 2 * per_language / r["count"]) * (1 << 30)) for r in sizes})), "map<string,bigint>")
+    # About twice the texts wanted pass a narrow filter; the exact choice is then among few. Copies pass or fail together,
+    # so the filter is sized by the distinct texts (within some 5 %), not by the rows.
+    sizes = known.groupBy(lang).agg(F.approx_count_distinct(chance).alias("texts")).collect()  # one row per language
+    limits = F.from_json(F.lit(json.dumps({r[lang]: int(min(1, 2 * per_language / r["texts"]) * (1 << 30)) for r in sizes})), "map<string,bigint>")
     few = known.where(chance < limits[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"), chance.alias("chance")).distinct()
     ranked = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("chance", "text")))
     sample = ranked.where(F.col("place") <= per_language).select("lang", "text")

@@ -95,6 +95,18 @@ def test_language_without_labels(empty, docs):
     assert langid.keep_known(docs).columns == docs.columns
 
 
+def test_language_of_many_copies_is_learned(spark):
+    texts = [(lang, sentence(random.Random(k), lang, 30)) for k, lang in enumerate(["en"] * 20 + ["fr"] * 20 + ["de"])]
+    once = spark.createDataFrame(texts, "lang string, text string")
+    times = F.when(F.col("lang") == "en", 1).when(F.col("lang") == "fr", 2000).otherwise(40_000)
+    many = once.withColumn("copy", F.explode(F.sequence(F.lit(1), times)))
+    want, got = langid.train(once), langid.train(many)
+    assert got.languages == want.languages == ["de", "en", "fr"]
+    assert (got.trigrams == want.trigrams).all() and (got.likelihood == want.likelihood).all()
+    few = langid.train(many, per_language=5)  # more distinct texts than wanted
+    assert few.languages == ["de", "en", "fr"] and (few.likelihood == langid.train(once, per_language=5).likelihood).all()
+
+
 def test_em_raises_likelihood():
     rng = np.random.default_rng(0)
     likelihood = rng.dirichlet(np.ones(50), size=3).T.astype(np.float32)
