@@ -176,11 +176,14 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
     return rows.mapInPandas(run, schema)
 
 
-def keep_known(docs: DataFrame, least_score: float = 0.5, lang: str = "lang", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose language is determined with the score or more; trained on their own labels."""
+def keep_known(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
+    """The rows of `docs` whose language is determined; trained on their own labels.
+
+    The score takes no part: it is the share of one language, and a document may well be in several.
+    """
     columns = docs.columns
     inner = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
-    return predict(inner, train(docs, lang, text), ["row"]).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score)).select("row.*")
+    return predict(inner, train(docs, lang, text), ["row"]).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

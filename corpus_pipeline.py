@@ -15,7 +15,7 @@ from chanweave.llm.common import ensure_checkpoint_dir, read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go: no letters, or no language with half of the text."""
+    """Documents without a determined language go: those without a letter. Documents in several languages stay."""
     return langid.keep_known(docs)
 
 

@@ -1,13 +1,14 @@
 """The pipeline against a plain version of its stages, and the registered queries."""
 
+import random
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from chanweave.llm import queries
+from chanweave.llm import langid, queries
 
-from .fixtures import documents
+from .fixtures import documents, sentence
 from .test_operators import plain_components, plain_line_dedup
 
 
@@ -58,6 +59,18 @@ def test_stages(spark, sf_dir):
     assert sum(r.length for r in pieces.collect()) == sum(r.doc_tokens for r in pieces.collect() if r.start == 0)
 
 
+def test_language_stage_keeps_mixed_documents(spark, sf_dir):
+    rng = random.Random(7)
+    three = "\n".join(sentence(rng, lang, 100) for lang in ("en", "fr", "de"))
+    mixed = [(900, three, "en", "src1", len(three)), (901, "zzz qqq", None, "src1", 7), (902, "12345 !!", None, "src1", 8)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame(mixed, docs.schema))
+    score = langid.predict(docs.where("doc_id = 900"), langid.train(docs), ["doc_id"]).first().score
+    assert score < 0.5
+    kept = {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, docs, sf_dir).collect()}
+    assert {900, 901} <= kept and 902 not in kept
+
+
 def test_run_and_empty(spark, sf_dir, tmp_path):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.count() > 0
