@@ -1,14 +1,18 @@
 """Line deduplication by winnowing over line hashes.
 
-A document is a sequence of line hashes. A window is the shortest run of lines from a line on that has `min_words` words,
-so its width adapts to short and long lines. Each window selects its minimum line hash (the last one of equals) as its
-fingerprint's place; the fingerprint is that minimum together with the window's content, so whoever shares it shares
-`min_words` words at least, and every repeated run of that many words holds a whole window: no such run is missed.
-Fingerprints are joined to their first place (least id, then line). From that place the match is extended line by line
-both ways, and the lines of the later run are deleted. The first copy of every line stays.
+A document is a sequence of line hashes. Windows have `min_words` words, so their width adapts to short and long lines.
+There are three kinds: the shortest run from a line with words on, the shortest run that ends at one, and the latter
+carried on over blank lines to the next line with words. Each window selects its minimum line hash (the last one of
+equals) as its fingerprint's place; the fingerprint is that minimum together with the window's content, so whoever shares
+it shares `min_words` words at least. Every line between the first and the last line with words of a repeated run of
+`min_words` words lies in a window inside that run, so no such line is missed, even where the other windows of the run
+have their first places elsewhere. Fingerprints are joined to their first place (least id, then line). From that place
+the match is extended line by line both ways, and the lines of the later run are deleted. The first copy of every line
+stays.
 
 The rule that tests hold against brute force: a line goes if it lies in a run that (1) equals, line by line, a run that
-starts earlier in document order and (2) grew from a window whose first place lies in that earlier run.
+starts earlier in document order and (2) grew from a window whose first place lies in that earlier run. So each line with
+words of any run of `min_words` words that equals an earlier one goes; blank lines at the ends go as far as (2) reaches.
 
 Texts are read once for hashes and word counts (some 12 bytes a line, cut to the checkpoint folder); all joins are over
 those. A passage in a third of all documents is one row after the first aggregate, and its pairs go through a join that
@@ -54,8 +58,14 @@ def windows_of(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[tu
     starts = np.flatnonzero(words > 0)
     ends = np.searchsorted(sums, sums[starts] + min_words, side="left") - 1
     whole = ends < len(words)
+    spans = set(zip(starts[whole].tolist(), ends[whole].tolist(), strict=True))
+    enough = np.flatnonzero(sums[starts + 1] >= min_words)
+    firsts = np.searchsorted(sums, sums[starts[enough] + 1] - min_words, side="right") - 1
+    spans.update(zip(firsts.tolist(), starts[enough].tolist(), strict=True))
+    gaps = (enough + 1 < len(starts)) & (np.append(starts, -1)[enough + 1] > starts[enough] + 1)
+    spans.update(zip(firsts[gaps].tolist(), starts[enough[gaps] + 1].tolist(), strict=True))
     values, counted, found = hashes.tolist(), words.tolist(), []
-    for a, b in zip(starts[whole].tolist(), ends[whole].tolist(), strict=True):
+    for a, b in sorted(spans):
         least = a
         for k in range(a + 1, b + 1):
             if counted[k] and values[k] <= values[least]:

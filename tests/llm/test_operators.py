@@ -352,6 +352,41 @@ def test_line_dedup(spark, min_words):
     assert all(r.clean_text == f"intro {r.doc_id - 500}\nend {r.doc_id - 500}" for r in got if r.doc_id and 500 < r.doc_id < 506)
 
 
+def any_earlier_run(rows, min_words):
+    """Lines with words of every run of min_words words that equals any earlier run, whatever its first place."""
+    docs = {(r["doc_id"], r["text"]): [x.strip() for x in r["text"].split("\n")] for r in rows}
+    earliest, runs = {}, []
+    for d in sorted(docs):
+        for a in range(len(docs[d])):
+            for b in range(a + 1, len(docs[d]) + 1):
+                content = tuple(docs[d][a:b])
+                if sum(len(x.split()) for x in content) >= min_words and content[0] and content[-1]:
+                    runs.append((content, d, a, b))
+                    earliest.setdefault(content, (d, a))
+    gone = defaultdict(set)
+    for content, d, a, b in runs:
+        if earliest[content] != (d, a):
+            gone[d].update(range(a, b))
+    return gone
+
+
+def test_line_dedup_finds_any_earlier_run(spark):
+    rng = random.Random(3)
+    one, two, three = (sentence(rng, "en", n) for n in (60, 20, 20))
+    texts = [one, f"{one}\n{two}\n{three}\nnext b", f"{one}\n{two}\n{three}\nnext c", f"{three}\n{two}\n{one}", f"{three}\n{two}\n{one}\nnext e"]
+    texts += [three + "\n" + one, f"{one}\n\n{one}", f"{one}\n\n\n{one}\nx", f"y\n{one}\n\n\n{one}", f"{one}\n \n{one}\nz"]
+    pool = [sentence(rng, "fr", n) for n in (1, 4, 9, 20, 30, 55, 70)] + [""]
+    texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 12))) for _ in range(150)]
+    rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
+    want = any_earlier_run(rows, 50)
+    assert want[(2, texts[2])] == {0, 1, 2}
+    got = line_dedup.repeated_runs(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")).collect()
+    found = {r.d.doc_id: {k for x in r.runs for k in range(x.start, x.end + 1)} for r in got}
+    for d, text in enumerate(texts):
+        lines, gone, must = text.split("\n"), found.get(d, set()), want[(d, text)]
+        assert must <= gone and all(not lines[k].strip() for k in gone - must), d
+
+
 def test_line_dedup_empty(empty):
     assert line_dedup.mark(empty).count() == 0
 
