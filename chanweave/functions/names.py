@@ -70,24 +70,49 @@ def to_simplified(x: Column, traditional: str = TRADITIONAL, simplified: str = S
     return F.translate(x, traditional, simplified)
 
 
-def clean_channel_name(raw: Column | str) -> Column:
-    """Null where the name is junk or shorter than two characters at the end."""
+def without_tags(raw: Column | str) -> Column:
+    """The steps before conversion to simplified characters. Null where the name is junk."""
     x = strip(F.coalesce(F.col(raw) if isinstance(raw, str) else raw, F.lit("")))
     junk = is_junk_name(x)
     x = strip(strip_resolution(x))
     x = strip(strip_status(x))
     x = strip(strip_icons(x))
     x = strip(drop_empty_brackets(normalise_cctv(x)))
-    x = F.regexp_replace(x, " {2,}", " ")
-    x = trim_marks(to_simplified(x))
-    return F.when(~junk & (F.length(x) >= LEAST_LENGTH), x)
+    return F.when(~junk, F.regexp_replace(x, " {2,}", " "))
+
+
+def trimmed(x: Column) -> Column:
+    """The steps after conversion. Null where the name is shorter than two characters."""
+    x = trim_marks(x)
+    return F.when(F.length(x) >= LEAST_LENGTH, x)
+
+
+def clean_channel_name(raw: Column | str, traditional: str = TRADITIONAL, simplified: str = SIMPLIFIED) -> Column:
+    """Null where the name is junk or shorter than two characters at the end."""
+    return trimmed(to_simplified(without_tags(raw), traditional, simplified))
+
+
+def character_table(characters: DataFrame | None) -> tuple[str, str]:
+    """The fixed characters and those of the table (traditional, simplified: one character each), which come first."""
+    table = dict(zip(TRADITIONAL, SIMPLIFIED, strict=True))
+    if characters is not None:
+        table |= {r["traditional"]: r["simplified"] for r in characters.select("traditional", "simplified").collect()}
+    return "".join(table), "".join(table.values())
 
 
-def clean_channels(entries: DataFrame, name: str = "name") -> DataFrame:
-    """Replace names by clean ones and drop rows without. Distinct raw names are cleaned once and joined back."""
+def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame | None = None, characters: DataFrame | None = None) -> DataFrame:
+    """Replace names by clean ones and drop rows without. Distinct raw names are cleaned once and joined back.
+
+    phrases, characters: (traditional, simplified) tables for the conversion, phrases first; characters add to the fixed ones.
+    """
     names = entries.select(F.coalesce(F.col(name), F.lit("")).alias("__raw")).distinct()
-    names = names.select("__raw", clean_channel_name("__raw").alias("__clean")).where("__clean IS NOT NULL")
-    joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names, "__raw")
+    traditional, simplified = character_table(characters)
+    if phrases is None:
+        names = names.select("__raw", clean_channel_name("__raw", traditional, simplified).alias("__clean"))
+    else:
+        names = simplify_phrases(names.select("__raw", without_tags("__raw").alias("__clean")), phrases, "__clean", traditional, simplified)
+        names = names.withColumn("__clean", trimmed(F.col("__clean")))
+    joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names.where("__clean IS NOT NULL"), "__raw")
     return joined.withColumn(name, F.col("__clean")).drop("__raw", "__clean")
 
 

@@ -25,9 +25,12 @@ class Settings:
     core_sources: tuple[str, ...] = CORE_SOURCES
 
 
-def catalogue(payloads: DataFrame, channels: DataFrame, aliases: DataFrame, verdicts: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
-    """Payloads to selected entries, with target (catalog, more, dropped)."""
-    entries = match_and_classify(clean_channels(parse_payloads(payloads)), channels, aliases)
+def catalogue(
+    payloads: DataFrame, channels: DataFrame, aliases: DataFrame, verdicts: DataFrame | None = None, settings: Settings = Settings(),
+    phrases: DataFrame | None = None, characters: DataFrame | None = None,
+) -> DataFrame:
+    """Payloads to selected entries, with target (catalog, more, dropped). phrases, characters: see clean_channels."""
+    entries = match_and_classify(clean_channels(parse_payloads(payloads), phrases=phrases, characters=characters), channels, aliases)
     entries = probe.apply_probe(entries, verdicts) if verdicts is not None else probe.default_alive(entries.withColumn("latency_ms", F.lit(None).cast("int")))
     return split.split_catalog_more(select.select_best(entries, settings.keep), settings.include_overseas)
 
@@ -51,10 +54,11 @@ def playlists(selected: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 
 def run_catalogue(
-    spark: SparkSession, payloads: DataFrame, channels: DataFrame, aliases: DataFrame, out: str, verdicts: DataFrame | None = None, settings: Settings = Settings()
-) -> DataFrame:
+    spark: SparkSession, payloads: DataFrame, channels: DataFrame, aliases: DataFrame, out: str, verdicts: DataFrame | None = None, settings: Settings = Settings(),
+    phrases: DataFrame | None = None, characters: DataFrame | None = None,
+) -> DataFrame:
     """Write all lists and the summary; gives the summary row."""
-    selected = catalogue(payloads, channels, aliases, verdicts, settings)
+    selected = catalogue(payloads, channels, aliases, verdicts, settings, phrases, characters)
     selected.write.mode("overwrite").parquet(f"{out}/selected")
     selected = spark.read.parquet(f"{out}/selected")
     gate = quality.core_gate(payloads, is_error_payload("content"), F.col("source").isin(*settings.core_sources), settings.strict_sources)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from chanweave.functions import addresses, dims, names
 from chanweave.functions.rules import classify_by_rules, classify_with_region
+from chanweave.plans import jobs
 from chanweave.plans.derive import RAW_NAMES
 
 
@@ -39,6 +40,22 @@ def test_phrases_come_first(spark):
     assert [r.name for r in names.simplify_phrases(df, phrases).collect()] == ["凤凰X", "abc", None]
 
 
+def test_catalogue_takes_conversion_tables(spark):
+    schema = "traditional string, simplified string"
+    phrases = spark.createDataFrame([("乾隆", "乾隆"), ("綜藝", "综艺")], schema)
+    characters = spark.createDataFrame([("乾", "干"), ("競", "竞"), ("賽", "赛")], schema)
+    df = spark.createDataFrame([(1, "江蘇綜藝 [HD]"), (2, "競技賽事"), (3, "乾隆電視"), (4, "餅乾臺"), (5, "#EXTM3U"), (6, "a"), (7, None)], "i int, name string")
+    both = names.clean_channels(df, phrases=phrases, characters=characters)
+    assert {r.i: r.name for r in both.collect()} == {1: "江苏综艺", 2: "竞技赛事", 3: "乾隆电视", 4: "餅干台"}
+    assert {r.i: r.name for r in names.clean_channels(df, characters=characters).collect()} == {1: "江苏综藝", 2: "竞技赛事", 3: "干隆电视", 4: "餅干台"}
+    text = "#EXTM3U\n#EXTINF:-1,江蘇綜藝\nhttp://h/1\n#EXTINF:-1,競技賽事\nhttp://h/2\n"
+    payloads = spark.createDataFrame([(0, "s", "http://s", "m3u", "cn", text)], "source_idx int, source string, url string, type string, region string, content string")
+    channels = spark.createDataFrame([("江苏综艺", "local", "JSZY", "江苏综艺", "")], "standard_name string, category string, tvg_id string, display_name string, group_title string")
+    aliases = spark.createDataFrame([], "alias string, standard_name string")
+    got = {r.name: r.standard_name for r in jobs.catalogue(payloads, channels, aliases, phrases=phrases, characters=characters).collect()}
+    assert got == {"江苏综艺": "江苏综艺", "竞技赛事": ""}
+
+
 @pytest.mark.parametrize(
     ("name", "group", "category"),
     [
