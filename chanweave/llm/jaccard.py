@@ -3,24 +3,30 @@
 A document is the set of its distinct word shingles (64-bit hashes). Equal sets are one class. Two classes link when
 100 * intersection >= percent * union.
 
-Forest. With sizes in one band, linked sets differ in at most d tokens. The hash range is cut into more than d segments,
+Roots. With sizes in one band, linked sets differ in at most d tokens. The hash range is cut into more than d segments,
 so linked sets agree in whole segments, and non-empty ones among them (a set with too many empty segments also files
-those). Classes that share a segment of a band are a block; every link lies inside a block. Blocks of equal members are
-one block. So the roots of the forest already separate what cannot link, however frequent single shingles are.
+those). All classes that share a segment are put into the group of the least class among them, so every link lies inside
+a group, however frequent single shingles are; the many segments that two near copies share lead to few groups.
 
-Trees. Each block is a tree whose nodes hold the OR of their members' token bitmaps and the range of their sizes. The
+Trees. Each group is a tree whose nodes hold the OR of their members' token bitmaps and the range of their sizes. The
 dual traversal starts at the root paired with itself and drops a pair of nodes when the largest possible overlap (common
 bits, plus the tokens that share bits, at most the larger size) is below what their sizes need, or when all members are
-already connected. Surviving pairs of classes are verified on the whole sets.
+already connected. What leaves the task are the members with a surviving partner, not the pairs.
 
-Dense groups. Before the traversal each class is held against one leader (bitmaps first, then the whole sets), the least class in any of its blocks, and
-linked classes are contracted. A group of near copies is then one component, the traversal skips pairs inside it, and no
-block emits all its pairs. Large blocks are dealt out as pairs of chunks. Components come from alternating star
-contraction, every step an aggregation with map-side combine and a join that adaptive execution can split.
+Leaves. The whole sets of those members meet in the tree's task, which walks the links breadth first: a member is held
+against the members not reached yet, and each link found is one of a spanning forest. So a group of m near copies emits
+at most m - 1 links and never its pairs.
+
+Large groups (over `CHUNK` members or `CHUNK_TOKENS` tokens) are dealt out in chunks. First each chunk is settled alone
+and together with the first one, so rows stay in proportion to members, and the components are computed. Then only
+members outside the group's largest component remain to be held against the rest: pairs of chunks inside it are left out.
+Components come from alternating star contraction, every step an aggregation with map-side combine and a join that
+adaptive execution can split.
 
 Defined cases: null or wordless text has an empty set and links with nothing (component_id is the document's own id);
 fewer words than a shingle give the whole sequence as one; rows that repeat an id and text share the class; null ids take
-part, and a component of null ids alone has a null id; an empty table gives an empty result.
+part, and a component of null ids alone has a null id; an empty table gives an empty result. Only the id and text columns
+are read, so other columns may have any name; `keep_one` passes them through.
 """
 
 from __future__ import annotations
@@ -32,10 +38,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, release
 
 SHINGLE_WORDS, PERCENT = 5, 80
-LEAF, FAN_OUT, CHUNK = 16, 4, 512
+LEAF, FAN_OUT = 16, 4
+#: Members and tokens of a chunk; a task holds two chunks at most.
+CHUNK, CHUNK_TOKENS = 1024, 2_000_000
+FLUSH_ROWS = 8192
 BAND_RATIO = 1.5
 BROADCAST_BYTES = 16 << 20
 MIX1, MIX2, MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -97,9 +106,9 @@ def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> n
     own = int(np.searchsorted(BANDS, n, side="right")) - 1
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)))
     found = []
-    for band in (own, own + 1):
+    for band in range(own, len(BANDS) - 1):
         if 100 * n < percent * BANDS[band]:
-            continue
+            break
         if band not in layouts:
             layouts[band] = layout(band, percent)
         differ, spare, begins = layouts[band]
@@ -206,45 +215,32 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
-def _sets(docs: DataFrame, text: str, k: int) -> DataFrame:
-    """(class, n, bits) beside each row's own id columns; narrow."""
-    keep = [c for c in docs.columns if c != text]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
+def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, hash, n, class, bits, keys) of every row; classes met before in the task have no keys."""
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        layouts: dict[int, tuple] = {}
         for batch in batches:
-            found = [shingles(t, k) for t in batch[text]]
-            yield batch[keep].assign(n=np.array([len(x) for x in found], dtype=np.int64), **{"class": [class_of(x) for x in found]}, bits=[bitmap(x) for x in found])
+            found = [shingles(t, k) for t in batch["text"]]
+            classes = [class_of(x) for x in found]
+            seen: set[int] = set()
+            keys = []
+            for own, tokens in zip(classes, found, strict=True):
+                keys.append(None if own in seen or not len(tokens) else block_keys(tokens, percent, layouts))
+                seen.add(own)
+            sizes = np.array([len(x) for x in found], dtype=np.int64)
+            yield batch[["doc_id", "hash"]].assign(n=sizes, **{"class": classes}, bits=[bitmap(x) for x in found], keys=keys)
 
-    return docs.mapInPandas(run, f"{fields}, n long, class long, bits binary")
+    return docs.mapInPandas(run, f"{fields}, n long, class long, bits binary, keys array<long>")
 
 
-def _filed(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(key, id): the block keys of every class. Copies met in one task are filed once."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        layouts: dict[int, tuple] = {}
-        for batch in batches:
-            seen: set[int] = set()
-            keys, ids = [], []
-            for text in batch["text"]:
-                tokens = shingles(text, k)
-                if len(tokens) and (own := class_of(tokens)) not in seen:
-                    seen.add(own)
-                    keys.append(block_keys(tokens, percent, layouts))
-                    ids.append(own)
-            if keys:
-                owner = np.repeat(np.array(ids, dtype=np.int64), [len(x) for x in keys])
-                yield pd.DataFrame({"key": np.concatenate(keys), "id": owner})
-
-    return docs.mapInPandas(run, "key long, id long")
-
-
-def _blocks(filed: DataFrame) -> DataFrame:
-    """(block, id): blocks of two classes or more, each set of members once."""
-    dealt = filed.repartition("key").distinct()
+def _lead_groups(sets: DataFrame) -> DataFrame:
+    """(lead, id): classes that share a key, in the group of the least of them."""
+    filed = sets.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
     own = Window.partitionBy("key")
-    known = dealt.withColumn("n", F.count(F.lit(1)).over(own)).withColumn("print", F.sum(F.xxhash64("id") % (1 << 44)).over(own)).where("n > 1")
-    return known.select(F.xxhash64("n", "print").alias("block"), "id").distinct()
+    known = filed.withColumn("lead", F.min("id").over(own)).withColumn("most", F.max("id").over(own))
+    return known.where("lead <> most").select("lead", "id").distinct()
 
 
 def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
@@ -252,99 +248,180 @@ def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
     return F.broadcast(rows) if rows.count() * bytes_each <= BROADCAST_BYTES else rows
 
 
-def _tokens_of(docs: DataFrame, owners: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
-    """(id, tokens) of the classes that the pairs name, from one document each."""
+def _tokens_of(docs: DataFrame, owners: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, tokens) of the classes named, from one document each; tokens are packed 64-bit integers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "tokens": [shingles(t, k).view(np.int64) for t in batch["text"]]})
+            yield pd.DataFrame({"id": batch["id"], "tokens": [shingles(t, k).tobytes() for t in batch["text"]]})
 
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     named = cut(owners.join(ids, "id").select("id", "d"))
     texts = docs.select(F.struct("doc_id", "hash").alias("d"), "text").join(_few(named, 64), "d")
-    return texts.select("id", "text").mapInPandas(run, "id long, tokens array<long>").dropDuplicates(["id"])
-
-
-def _possible_pairs(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and bitmaps cannot rule out."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y, m, n in zip(batch["x"], batch["y"], batch["m"], batch["n"], strict=True):
-                both = Level.of_members([x, y], np.array([m, n]), np.array([0, 1]))
-                keep.append(bool(both.possible(np.array([0]), np.array([1]), percent)[0]))
-            yield batch.loc[keep, ["a", "b"]]
-
-    both = pairs.join(bits.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("x")), "a")
-    both = both.join(bits.select(F.col("id").alias("b"), "n", F.col("bits").alias("y")), "b")
-    return both.mapInPandas(run, "a long, b long")
-
-
-def _verify(pairs: DataFrame, docs: DataFrame, owners: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets. Only the texts of classes in pairs are read into sets."""
+    return texts.select("id", "text").mapInPandas(run, "id long, tokens binary").dropDuplicates(["id"])
+
+
+def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of each tree, from batches sorted by tree."""
+    parts: list[pd.DataFrame] = []
+    last = None
+    for batch in batches:
+        key = batch["tree"].to_numpy()
+        bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)] if len(key) else []
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if parts and key[lo] != last:
+                yield parts[0] if len(parts) == 1 else pd.concat(parts)
+                parts = []
+            parts.append(batch.iloc[lo:hi])
+            last = key[lo]
+    if parts:
+        yield parts[0] if len(parts) == 1 else pd.concat(parts)
+
+
+def _in_trees(rows: DataFrame, names: tuple[str, str], work) -> DataFrame:
+    """work(rows of a tree) -> two arrays of longs, the columns of the result. One tree after the other in each task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            linked = [
-                (100 + percent) * len(np.intersect1d(x, y, assume_unique=True)) >= percent * (len(x) + len(y))
-                for x, y in zip(batch["x"], batch["y"], strict=True)
-            ]
-            yield batch.loc[linked, ["a", "b"]]
-
-    pairs = cut(pairs)
-    sets = cut(_tokens_of(docs, owners, pairs, k))
-    with_x = _few(pairs, 16).join(sets.select(F.col("id").alias("a"), F.col("tokens").alias("x")), "a")
-    with_y = _few(pairs, 16).join(sets.select(F.col("id").alias("b"), F.col("tokens").alias("y")), "b")
-    return with_x.join(with_y, ["a", "b"]).mapInPandas(run, "a long, b long")
-
-
-def _traverse(blocks: DataFrame, bits: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that the trees of the blocks cannot rule out."""
-    known = blocks.join(groups, "id", "left").select("block", "id", F.coalesce("component", "id").alias("g"))
-    mixed = known.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi")
-    rows = known.join(mixed.select("block", "members"), "block").join(bits, "id")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), chunks).cast("int"))
-    rows = rows.select("block", "own", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"), "id", "g", "n", "bits")
-    member = F.struct("id", "g", "n", "bits")
-    trees = rows.groupBy("block", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q")).agg(F.collect_list(member).alias("m"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            left, right = [], []
-            for ids, g, n, bits in zip(batch["ids"], batch["g"], batch["n"], batch["bits"], strict=True):
-                i, j = dual_traversal(list(bits), np.asarray(n), np.asarray(g), percent)
-                left.append(np.asarray(ids)[i])
-                right.append(np.asarray(ids)[j])
-            a, b = np.concatenate([np.empty(0, np.int64), *left]), np.concatenate([np.empty(0, np.int64), *right])
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    flat = trees.select(F.col("m.id").alias("ids"), F.col("m.g").alias("g"), F.col("m.n").alias("n"), F.col("m.bits").alias("bits"))
-    return flat.mapInPandas(run, "a long, b long").distinct()
+        left, right, held = [], [], 0
+        for tree in _trees(batches):
+            x, y = work(tree)
+            left.append(x)
+            right.append(y)
+            held += len(x)
+            if held >= FLUSH_ROWS:
+                yield pd.DataFrame({names[0]: np.concatenate(left), names[1]: np.concatenate(right)})
+                left, right, held = [], [], 0
+        if held:
+            yield pd.DataFrame({names[0]: np.concatenate(left), names[1]: np.concatenate(right)})
+
+    return rows.repartition("tree").sortWithinPartitions("tree").mapInPandas(run, f"{names[0]} long, {names[1]} long")
+
+
+def settle(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest: each member is held against the members that no link has reached yet."""
+    sizes = np.array([len(x) for x in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    tokens = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)[1].astype(np.int32)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    marks = np.zeros(int(tokens.max()) + 1, dtype=np.int32)
+    open_ = np.ones(len(sets), dtype=bool)
+    links = []
+    for root in range(len(sets)):
+        waiting = [root] if open_[root] else []
+        open_[root] = False
+        while waiting:
+            x = waiting.pop()
+            n = int(sizes[x])
+            lo = int(np.searchsorted(sizes, -(-percent * n // 100)))
+            hi = int(np.searchsorted(sizes, 100 * n // percent, side="right"))
+            rest = np.flatnonzero(open_[lo:hi]) + lo
+            if not len(rest):
+                continue
+            marks[tokens[at[x] : at[x + 1]]] = 1
+            if 4 * len(rest) > hi - lo:
+                common = np.add.reduceat(marks[tokens[at[lo] : at[hi]]], at[lo:hi] - at[lo])[rest - lo]
+            else:
+                common = np.array([marks[tokens[at[y] : at[y + 1]]].sum() for y in rest])
+            marks[tokens[at[x] : at[x + 1]]] = 0
+            near = rest[(100 + percent) * common.astype(np.int64) >= percent * (n + sizes[rest])]
+            open_[near] = False
+            waiting += near.tolist()
+            links += [(int(order[x]), int(order[y])) for y in near]
+    return links
+
+
+def _links(trees: DataFrame, docs: DataFrame, owners: DataFrame, k: int, percent: int) -> DataFrame:
+    """(tree, id, g, n, bits) -> links (a, b): a spanning forest of each tree's links between members of different g."""
+    def traverse(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        if len(tree) < 2:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        i, j = dual_traversal(tree["bits"].tolist(), tree["n"].to_numpy(), tree["g"].to_numpy(), percent)
+        found = tree["id"].to_numpy()[np.unique(np.concatenate((i, j)))]
+        return np.full(len(found), tree["tree"].iloc[0]), found
+
+    def link(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        ids = tree["id"].to_numpy()
+        found = np.array(settle([np.frombuffer(x, dtype=np.uint64) for x in tree["tokens"]], percent), dtype=np.int64).reshape(-1, 2)
+        return ids[found[:, 0]], ids[found[:, 1]]
+
+    members = cut(_in_trees(trees, ("tree", "id"), traverse))
+    tokens = _tokens_of(docs, owners, members.select("id").distinct(), k)
+    return _in_trees(members.join(tokens, "id"), ("a", "b"), link)
+
+
+def _chunks(members: str, tokens: str):
+    return F.ceil(F.greatest(F.col(members) / CHUNK, F.col(tokens) / CHUNK_TOKENS)).cast("int")
+
+
+def _first_trees(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Each chunk of a group alone, and together with the group's first chunk."""
+    rows = groups.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
+    others = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), F.col("own")))
+    rows = rows.select("lead", "id", "n", "bits", "own", F.explode(others).alias("other"))
+    pair = (F.when((F.col("own") == 0) | (F.col("other") == 0), 0).otherwise(F.col("own")), F.greatest("own", "other"))
+    return rows.select(F.xxhash64("lead", *pair).alias("tree"), "id", F.col("id").alias("g"), "n", "bits")
+
+
+def _last_trees(groups: DataFrame, sizes: DataFrame, known: DataFrame) -> DataFrame:
+    """Of groups with over two chunks: members outside the largest component against each other and against that one."""
+    rows = groups.join(sizes.where("chunks > 2").select("lead"), "lead").join(known, "id", "left").withColumn("g", F.coalesce("component", "id"))
+    counts = rows.groupBy("lead", "g").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+    whole = counts.groupBy("lead").agg(
+        F.max_by(F.struct("g", "members", "tokens"), F.struct("members", "g")).alias("most"), F.sum("members").alias("members"), F.sum("tokens").alias("tokens"),
+    )
+    whole = whole.select(
+        "lead", F.col("most.g").alias("most"), _chunks("most.members", "most.tokens").alias("inner"),
+        (F.col("members") - F.col("most.members")).alias("members"), (F.col("tokens") - F.col("most.tokens")).alias("tokens"),
+    ).where("members > 0").withColumn("outer", _chunks("members", "tokens"))
+    rows = rows.join(whole.select("lead", "most", "inner", "outer"), "lead").withColumn("inside", F.col("g") == F.col("most"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer"))).cast("int"))
+    up_to = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    pair = lambda kind, p, q: F.struct(F.lit(kind).alias("kind"), p.alias("p"), q.alias("q"))
+    own = F.col("own")
+    to_inner = F.transform(up_to("inner"), lambda d: pair(1, own, d))
+    to_outer = F.transform(up_to("outer"), lambda c: pair(0, F.least(own, c), F.greatest(own, c)))
+    from_inner = F.transform(up_to("outer"), lambda c: pair(1, c, own))
+    rows = rows.select("lead", "id", "g", "n", "bits", F.explode(F.when(F.col("inside"), from_inner).otherwise(F.concat(to_inner, to_outer))).alias("pair"))
+    return rows.select(F.xxhash64("lead", "pair").alias("tree"), "id", "g", "n", "bits")
+
+
+def classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """docs: doc_id, hash, text -> (doc_id, hash, n, class) of every row; (id, component) of linked classes."""
+    sets = cut(_sets(docs, k, percent))
+    pairs = cut(_lead_groups(sets))
+    # One document of each class in a group stands for it.
+    own = F.struct("doc_id", "hash")
+    owners = sets.join(pairs.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
+    owners = cut(owners.groupBy(F.col("class").alias("id")).agg(F.min(own).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+    named = cut(sets.select("doc_id", "hash", "n", "class"))
+    release(sets)
+
+    groups = cut(pairs.join(owners.select("id", "n", "bits"), "id"))
+    release(pairs)
+    sizes = cut(groups.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).select("lead", _chunks("members", "tokens").alias("chunks")))
+    links = cut(_links(_first_trees(groups, sizes), docs, owners, k, percent))
+    known = cut(components(links))
+    if not sizes.where("chunks > 2").isEmpty():
+        # Later links join whole components, so only the contracted graph is settled again.
+        more = _links(_last_trees(groups, sizes, known), docs, owners, k, percent)
+        of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
+        between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
+        known = cut(_merged(known, components(cut(between))))
+    release(groups, sizes, owners, links)
+    return named, known
+
+
+def _merged(known: DataFrame, joined: DataFrame) -> DataFrame:
+    """Components of ids, and of those components, as one table."""
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    inner = known.join(joined, "component", "left").select("id", F.coalesce("top", "component").alias("component"))
+    return inner.union(joined.select(F.col("component").alias("id"), F.col("top").alias("component")).join(known, "id", "left_anti"))
 
 
 def label(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of `docs`: doc_id, hash (of the text), n_shingles, component_id (least doc_id), first (the document that stays)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    classes = cut(_sets(rows, "text", k))
-    blocks = cut(_blocks(_filed(rows, k, percent)))
-    # One document of each class in a block stands for it.
+    classes, known = classes_of(rows, k, percent)
     own = F.struct("doc_id", "hash")
-    owners = classes.groupBy(F.col("class").alias("id")).agg(F.min(own).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    owners = cut(owners.join(blocks.select("id").distinct(), "id"))
-    bits = owners.select("id", "n", "bits")
-
-    leaders = blocks.groupBy("block").agg(F.min("id").alias("lead"))
-    star = blocks.join(leaders, "block").groupBy("id").agg(F.min("lead").alias("lead")).where("id <> lead")
-    star = _possible_pairs(star.select(F.col("lead").alias("a"), F.col("id").alias("b")), bits, percent)
-    links = cut(_verify(star, rows, owners, k, percent))
-    groups = cut(components(links))
-    more = _verify(_traverse(blocks, bits, groups, percent), rows, owners, k, percent)
-    # Later links join whole components, so only the contracted graph is settled again.
-    of = lambda c: groups.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
-    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
-    joined = components(between).select(F.col("id").alias("g1"), F.col("component").alias("g2"))
-
-    named = classes.join(groups.withColumnRenamed("id", "class"), "class", "left").withColumn("g1", F.coalesce("component", "class"))
-    named = named.join(joined, "g1", "left").withColumn("g", F.coalesce("g2", "g1"))
+    named = classes.join(known.withColumnRenamed("id", "class"), "class", "left").withColumn("g", F.coalesce("component", "class"))
     least = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(own).alias("least"))
     columns = ["doc_id", "hash", F.col("n").alias("n_shingles"), "component_id"]
     linked = named.where("n > 0").join(least, "g").select(*columns, (own == F.col("least")).alias("first"))

@@ -482,6 +482,8 @@ def test_block_keys_lose_no_link():
             common = len(np.intersect1d(x, y))
             if 100 * common >= percent * (len(x) + len(y) - common) and len(np.setxor1d(x, y)):
                 assert len(np.intersect1d(jaccard.block_keys(x, percent, {}), jaccard.block_keys(y, percent, {})))
+    x = np.unique(rng.integers(0, 1 << 63, 61, dtype=np.uint64))  # sizes two bands apart
+    assert len(np.intersect1d(jaccard.block_keys(x, 60, {}), jaccard.block_keys(x[:39], 60, {})))
 
 
 def test_dual_traversal_loses_no_link():
@@ -503,6 +505,54 @@ def test_dual_traversal_loses_no_link():
     assert len(found) < 150 * 149 / 4
 
 
+def test_settle_gives_a_spanning_forest():
+    rng = np.random.default_rng(2)
+    for trial in range(20):
+        base = [rng.integers(0, 1 << 63, int(rng.integers(1, 80)), dtype=np.uint64) for _ in range(4)]
+        sets = []
+        for _ in range(60):
+            x = base[rng.integers(4)].copy()
+            x[rng.random(len(x)) < rng.uniform(0, 0.15)] = rng.integers(0, 1 << 63, dtype=np.uint64)
+            sets.append(np.unique(x))
+        linked = lambda x, y: 185 * len(np.intersect1d(x, y)) >= 85 * (len(x) + len(y))
+        tops = list(range(60))
+
+        def top(x):
+            while tops[x] != x:
+                x = tops[x]
+            return x
+
+        found = jaccard.settle(sets, 85)
+        for a, b in found:
+            assert linked(sets[a], sets[b]) and top(a) != top(b)
+            tops[top(a)] = top(b)
+        assert all(top(a) == top(b) for a in range(60) for b in range(a) if linked(sets[a], sets[b]))
+
+
+def test_jaccard_groups_of_many_chunks(spark, monkeypatch):
+    rng = random.Random(5)
+    extra = []
+    for g in range(3):
+        base = sentence(rng, "en", 60).split()
+        for step in range(40):
+            words = list(base)
+            for _ in range(rng.randrange(5)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(9999)}"
+            extra.append((1000 + 50 * g + step, " ".join(words), "en", "s", 0, None, None, None))
+    docs = documents(spark, extra)
+    want = plain_components([r.asDict() for r in docs.collect()], 4, 85)
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    assert Counter(map(tuple, jaccard.join(docs, 4, 85).collect())) == want
+
+
+def test_jaccard_one_group_of_copies_with_clashing_columns(spark):
+    copies = [(k, "one two three four five six seven", "en", "s", 0, 0.0, None, None) for k in range(50)]
+    docs = documents(spark, copies).where("doc_id is not null").cache().selectExpr("doc_id", "text", "lang as id", "source as tree", "n_chars as lead", "score as class", "key as component", "row as first")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.component_id for r in jaccard.join(docs).collect()}
+
+
 def test_components(spark):
     rng = random.Random(0)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + k, 1001 + k) for k in range(60)] + [(2000, 2000 + k) for k in range(1, 50)]
