@@ -4,6 +4,8 @@ A document is a bag of byte trigrams of its folded letters, drawn from a mixture
 estimates the document's language proportions from the languages' trigram likelihoods. Language sets are nested (the
 best one, two, ... languages of the full mixture), each is fitted again, and the set with the highest likelihood less a
 penalty of log(n) / 2 for each further language is selected. The answer is the largest share of that set.
+Two documented bounds of `infer`: a set has at most `most` (4) languages, and each fit makes `steps` (8) EM steps; both
+hold for every document alike.
 
 Training counts trigrams in Spark over a bounded sample of labelled documents: the `per_language` texts of each language
 with the smallest hashes of the text (a documented bound, equal at every size), copies once; a filter on the hash thins
@@ -11,8 +13,9 @@ them before any shuffle. The model is a table of `vocabulary` trigrams by langua
 numpy batches: the trigram counts of a block of documents are a matrix, and an EM step is two products of matrices.
 
 Defined cases: null text and text without a letter give `und` with score 0; a letter but no known trigram gives equal
-shares (ties go to the first language by name); without labelled rows everything is `und`; an empty table gives an empty
-result; each row is answered by itself, so repeated rows get equal answers; texts are read whole.
+shares (ties go to the first language by name); a numeral as "½" is no letter; without labelled rows everything is `und`; an empty table gives an empty
+result; each row is answered by itself, so repeated rows get equal answers; texts are read whole; other columns pass
+through `predict` if named in `keep`, and one named like a result gives way to it.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import read
 
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters, and some numerals as "½", which has_letter tells apart.
+WORD = re.compile(r"[^\W\d_]")
 #: Letters of ASCII and all bytes of longer characters stay, everything else is a blank.
 FOLD = np.array([c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)], dtype=np.uint8)
 BLOCK_DOCS, BLOCK_CHARS = 256, 4_000_000
@@ -57,6 +61,10 @@ def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return owner[:-2][inside], codes[inside]
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in WORD.finditer(text))
+
+
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", per_language: int = 600, vocabulary: int = 3072) -> Model:
     """Model from the rows given; rows without language or text are left out."""
     chance = F.pmod(F.xxhash64(text), F.lit(1 << 30))
@@ -156,7 +164,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
             langs, scores, listed = [], [], []
             for lo, hi in blocks(texts):
                 part = [t or "" for t in texts[lo:hi]]
-                letters = [LETTER.search(t) is not None for t in part]
+                letters = [has_letter(t) for t in part]
                 if not len(names):
                     letters, shares = [False] * len(part), np.zeros((len(part), 1))
                 else:

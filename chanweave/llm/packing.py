@@ -6,8 +6,8 @@ the bucket of its length, so no sequence crosses documents and none needs paddin
 
 Tokenising is local to a row and nothing is shuffled. The ids are those the tokenizers library gives. Texts of Latin
 letters go through tiktoken with the same vocabulary (`ranks`), which gives the same ids several times faster (a test
-compares them); texts with any character from U+0250 on, where the two might disagree on a character's class, go through
-the tokenizers library.
+compares them); texts with any character from U+0250 on, where the two might disagree on a character's class, and texts
+with a run of 20,000 blanks go through the tokenizers library.
 
 Defined cases: null text is empty and gives the end id alone; rows that repeat an id are packed each; an empty table
 gives an empty result; special-token strings in a text are ordinary text; a text of any length stays in its row.
@@ -16,6 +16,7 @@ gives an empty result; special-token strings in a text are ordinary text; a text
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import read
 
 LATIN_END = "\u0250"
+#: A run of white space this long goes to the tokenizers library: tiktoken's expression recurses over such runs.
+LONG_BLANK = re.compile(r"\s{20000}")
 #: Bits of a sequence id: the bucket, then the task, then the number in both.
 BUCKET_SHIFT, TASK_SHIFT = 56, 32
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int"
@@ -60,7 +63,8 @@ class Encoder:
         return True
 
     def encode(self, text: str) -> bytes:
-        ids = self.fast(text) if self.fast and self.latin(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+        fast = self.fast and self.latin(text) and not (len(text) >= 20_000 and LONG_BLANK.search(text))
+        ids = self.fast(text) if fast else self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
 

@@ -61,6 +61,14 @@ def test_packing_texts_where_libraries_could_differ():
         assert fast.encode(text) == slow.encode(text), text
 
 
+def test_packing_of_very_long_runs():
+    import public_tokenizers as public
+
+    fast, slow = packing.Encoder(public.path("byte_bpe_50k.json"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN), packing.Encoder(public.path("byte_bpe_50k.json"))
+    for run in [" " * 2_000_000, "\n" * 2_000_000, "a" * 300_000, " " * 19_999, "ab " * 100_000, "-" * 300_000]:
+        assert fast.encode("x" + run + "y") == slow.encode("x" + run + "y")
+
+
 def test_packing_empty(empty):
     assert packing.pack_public(empty).count() == 0
 
@@ -300,35 +308,27 @@ def test_sharding_moves_little(spark, empty):
 
 
 def plain_line_dedup(rows, min_words):
-    """By the rule in the docstring, over all pairs of windows and their first places."""
-    docs = {}
-    for r in rows:
-        docs[(-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "")] = [x.strip() for x in (r["text"] or "").split("\n")]
-    order, first, gone = sorted(docs), {}, {}
-    windows = []
-    for d in order:
-        lines = docs[d]
-        words = [len(x.split()) for x in lines]
-        for a in range(len(lines)):
-            if words[a]:
-                b = a
-                while b < len(lines) and sum(words[a : b + 1]) < min_words:
-                    b += 1
-                if b < len(lines):
-                    windows.append((tuple(lines[a : b + 1]), d, a))
-    for content, d, a in sorted(windows, key=lambda w: (w[1], w[2])):
-        first.setdefault(content, (d, a))
-    for content, d, a in windows:
-        e, b = first[content]
-        if (e, b) == (d, a):
-            continue
-        x, y = docs[d], docs[e]
-        lo, hi = 0, len(content)
-        while min(a, b) + lo > 0 and x[a + lo - 1] == y[b + lo - 1]:
-            lo -= 1
-        while max(a + hi - len(x), b + hi - len(y)) < 0 and x[a + hi] == y[b + hi]:
-            hi += 1
-        gone.setdefault(d, set()).update(range(a + lo, a + hi))
+    """By the rule in the docstring: maximal equal runs of lines with words, over all pairs of places."""
+    texts = sorted({(-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in rows})
+    lines = {d: [(k, x.strip()) for k, x in enumerate(d[1].split("\n")) if x.strip()] for d in texts}
+    gone = {}
+    for i, d in enumerate(texts):
+        x, found = lines[d], set()
+        for e in texts[: i + 1]:
+            y = lines[e]
+            for shift in range(1 - len(y), len(x)):
+                if e == d and shift <= 0:
+                    continue
+                a = max(0, shift)
+                while a < len(x) and a - shift < len(y):
+                    b = a
+                    while b < len(x) and b - shift < len(y) and x[b][1] == y[b - shift][1]:
+                        b += 1
+                    if sum(len(t.split()) for _, t in x[a:b]) >= min_words:
+                        found.update(range(a, b))
+                    a = b + 1
+        if found:
+            gone[d] = {x[k][0] for k in found} | {m for k in found if k - 1 in found for m in range(x[k - 1][0], x[k][0])}
     return gone
 
 
@@ -352,24 +352,6 @@ def test_line_dedup(spark, min_words):
     assert all(r.clean_text == f"intro {r.doc_id - 500}\nend {r.doc_id - 500}" for r in got if r.doc_id and 500 < r.doc_id < 506)
 
 
-def any_earlier_run(rows, min_words):
-    """Lines with words of every run of min_words words that equals any earlier run, whatever its first place."""
-    docs = {(r["doc_id"], r["text"]): [x.strip() for x in r["text"].split("\n")] for r in rows}
-    earliest, runs = {}, []
-    for d in sorted(docs):
-        for a in range(len(docs[d])):
-            for b in range(a + 1, len(docs[d]) + 1):
-                content = tuple(docs[d][a:b])
-                if sum(len(x.split()) for x in content) >= min_words and content[0] and content[-1]:
-                    runs.append((content, d, a, b))
-                    earliest.setdefault(content, (d, a))
-    gone = defaultdict(set)
-    for content, d, a, b in runs:
-        if earliest[content] != (d, a):
-            gone[d].update(range(a, b))
-    return gone
-
-
 def test_line_dedup_finds_any_earlier_run(spark):
     rng = random.Random(3)
     one, two, three = (sentence(rng, "en", n) for n in (60, 20, 20))
@@ -378,13 +360,33 @@ def test_line_dedup_finds_any_earlier_run(spark):
     pool = [sentence(rng, "fr", n) for n in (1, 4, 9, 20, 30, 55, 70)] + [""]
     texts += ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 12))) for _ in range(150)]
     rows = [{"doc_id": k, "text": t} for k, t in enumerate(texts)]
-    want = any_earlier_run(rows, 50)
+    want = plain_line_dedup(rows, 50)
     assert want[(2, texts[2])] == {0, 1, 2}
     got = line_dedup.repeated_runs(spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")).collect()
     found = {r.d.doc_id: {k for x in r.runs for k in range(x.start, x.end + 1)} for r in got}
     for d, text in enumerate(texts):
-        lines, gone, must = text.split("\n"), found.get(d, set()), want[(d, text)]
-        assert must <= gone and all(not lines[k].strip() for k in gone - must), d
+        assert found.get(d, set()) == want.get((d, text), set()), d
+
+
+def test_winnowing_selects_few_lines_and_shared_ones():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        run, words = rng.integers(0, 1 << 60, 40), rng.integers(1, 20, 40)
+        x = [np.concatenate((rng.integers(0, 1 << 60, 30), run, rng.integers(0, 1 << 60, 30))) for _ in range(2)]
+        w = [np.concatenate((rng.integers(1, 20, 30), words, rng.integers(1, 20, 30))) for _ in range(2)]
+        selected = [{int(h[least]) for least, _, _ in line_dedup.windows_of(h, n, 50)} for h, n in zip(x, w, strict=True)]
+        assert selected[0] & selected[1] & set(run.tolist()) and len(selected[0]) < 70
+        for least, a, b in line_dedup.windows_of(x[0], w[0], 50):
+            assert x[0][least] == x[0][a : b + 1].min() and w[0][a : b + 1].sum() >= 50 > min(w[0][a + 1 : b + 1].sum(), w[0][a:b].sum())
+
+
+def test_line_dedup_of_a_long_document_of_equal_lines(spark):
+    docs = spark.createDataFrame([(1, "the same\n" * 200_000 + "end", 7, "x"), (2, "other\n" + "the same\n" * 100_000, 8, "y")], "doc_id long, text string, d long, line_runs string")
+    got = {r.doc_id: r for r in line_dedup.mark(docs, runs="found").collect()}
+    assert got[1].clean_text == "the same\nend" and got[2].clean_text == "other\n"
+    assert (got[1].d, got[1].line_runs, got[2].d) == (7, "x", 8)
+    again = line_dedup.mark(docs).collect()
+    assert {r.doc_id: r.d for r in again} == {1: 7, 2: 8} and all(isinstance(r.line_runs, list) for r in again)
 
 
 def test_line_dedup_empty(empty):
