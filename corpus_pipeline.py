@@ -21,9 +21,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of lines go; a document with nothing left goes."""
-    marked = line_dedup.mark(docs).where(F.trim(F.coalesce("clean_text", F.lit(""))) != "")
-    new = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return marked.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    marked = line_dedup.mark(docs, runs="__runs", clean="__clean").where(F.trim(F.coalesce("__clean", F.lit(""))) != "")
+    new = {"text": F.col("__clean"), "n_chars": F.length("__clean").cast("long")}
+    return marked.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
