@@ -3,21 +3,25 @@
 The field is trained from a small labelled table (text, with spans in brackets) by gradient ascent on the driver; the
 table is bounded by `MOST_LABELLED` rows, a documented parameter. A text is decoded around its digits and at signs: an
 island of such characters, with three tokens of context on both sides, is one sequence, and tokens outside all islands
-can only be plain. Sequences of a batch are padded by length and decoded together by Viterbi in numpy. A decoded span is
-kept if its characters can be of its kind (number of digits, check digit, an at sign) and it touches no base span; base spans stay.
+can only be plain. An island of more than `WINDOW` tokens is decoded in windows that overlap by `OVERLAP` tokens, each
+token by the window that has it further from its end, so memory does not grow with the text. Windows are padded by length
+and decoded together by Viterbi in numpy. A decoded span is kept if its characters can be of its kind (number of digits, check digit, an at sign) and it touches no base span; base spans stay.
 
 Prediction is one narrow pass. The patterns are those of the task, written so that long runs cost linear time.
 
 Defined cases: null text is empty; a text without digits and at signs has no spans; each row is answered by itself, so
-repeated rows get equal answers; an empty table gives an empty result; texts are read whole; places are code points.
+repeated rows get equal answers; an empty table gives an empty result; texts are read whole; places are code points; only
+the id and text columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -90,6 +94,9 @@ DIGIT, HINT = re.compile("[0-9]"), re.compile("[0-9@]")
 ISLAND = re.compile(r"[0-9@](?:[^0-9@\n]{0,16}[0-9@])*")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_|\d")
 CONTEXT, CONTEXT_CHARS = 3, 48
+WINDOW, OVERLAP = 512, 32
+#: Tokens decoded at once, and cells (sequences times the longest) of a block of Viterbi.
+MOST_TOKENS, CELLS = 100_000, 40_000
 
 
 def luhn(digits: str) -> bool:
@@ -146,9 +153,13 @@ def shape(token: str) -> int:
 
 @dataclass
 class Sequence:
+    """Tokens that are decoded together; the labels of first to last (exclusive) count."""
+
     starts: list[int]
     ends: list[int]
     features: np.ndarray  # tokens x FEATURES
+    first: int
+    last: int
 
 
 FEATURES = 10
@@ -157,16 +168,29 @@ SIZES = (SHAPES,) * 5 + (SHAPES * SHAPES,) * 2 + (2, 2) + (SHAPES * SHAPES,)
 OFFSETS = np.concatenate(([0], np.cumsum(SIZES)))
 
 
-def sequence(text: str, lo: int, hi: int) -> Sequence:
-    """The tokens of text[lo:hi] and their feature numbers."""
-    spans = [m.span() for m in TOKEN.finditer(text, lo, hi)]
+def sequence(text: str, spans: list[tuple[int, int]], first: int = 0, last: int | None = None) -> Sequence:
+    """The tokens at `spans` and their feature numbers."""
     s = np.array([0, 0] + [shape(text[a:b]) for a, b in spans] + [0, 0], dtype=np.int64)
     starts, ends = [a for a, _ in spans], [b for _, b in spans]
     gap = np.array([1] + [a > b for a, b in zip(starts[1:], ends[:-1], strict=True)] + [1], dtype=np.int64) if spans else np.zeros(1, dtype=np.int64)
     n = len(spans)
     two_left, left, own, right, two_right = (s[k : k + n] for k in range(5))
     columns = (two_left, left, own, right, two_right, left * SHAPES + own, own * SHAPES + right, gap[:n], gap[1 : n + 1], left * SHAPES + right)
-    return Sequence(starts, ends, np.stack(columns, axis=1) + OFFSETS[:-1] if n else np.empty((0, FEATURES), dtype=np.int64))
+    features = np.stack(columns, axis=1) + OFFSETS[:-1] if n else np.empty((0, FEATURES), dtype=np.int64)
+    return Sequence(starts, ends, features, first, n if last is None else last)
+
+
+def windows(text: str, lo: int, hi: int) -> Iterator[Sequence]:
+    """The tokens of text[lo:hi] in windows; each token counts in one of them."""
+    held: list[tuple[int, int]] = []
+    first = 0
+    for m in TOKEN.finditer(text, lo, hi):
+        if len(held) == WINDOW:
+            yield sequence(text, held, first, WINDOW - OVERLAP // 2)
+            held, first = held[-OVERLAP:], OVERLAP // 2
+        held.append(m.span())
+    if held:
+        yield sequence(text, held, first)
 
 
 def islands(text: str) -> Iterator[Sequence]:
@@ -183,7 +207,7 @@ def islands(text: str) -> Iterator[Sequence]:
                 break
         lo, hi = (before or [lo])[0], (after or [hi])[-1]
         done = hi
-        yield sequence(text, lo, hi)
+        yield from windows(text, lo, hi)
 
 
 @dataclass
@@ -227,7 +251,7 @@ def viterbi(sequences: list[Sequence], field: Field) -> list[np.ndarray]:
     return [row[:k] for row, k in zip(labels, lengths, strict=True)]
 
 
-def decode(sequences: list[Sequence], field: Field, cells: int = 40_000) -> list[np.ndarray]:
+def decode(sequences: list[Sequence], field: Field, cells: int = CELLS) -> list[np.ndarray]:
     """Viterbi over blocks of sequences of like length."""
     order = sorted(range(len(sequences)), key=lambda k: len(sequences[k].starts))
     found: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(sequences)
@@ -252,7 +276,12 @@ def parse_labelled(marked: str) -> tuple[str, list[tuple[str, int, int]]]:
 
 
 def train(labelled: list[str], turns: int = 250, rate: float = 0.1, ridge: float = 0.02) -> Field:
-    """Maximum likelihood with a ridge penalty, by Adam with exact gradients from the forward-backward algorithm."""
+    """Maximum likelihood with a ridge penalty, by Adam with exact gradients from the forward-backward algorithm.
+
+    labelled: at most MOST_LABELLED lines with marked spans.
+    """
+    if len(labelled) > MOST_LABELLED:
+        raise ValueError(f"more than {MOST_LABELLED} labelled lines")
     sequences, gold = [], []
     for text, spans in map(parse_labelled, labelled):
         for q in islands(text):
@@ -321,22 +350,43 @@ def possible(kind: str, text: str) -> bool:
     return least <= digits <= most and "\n" not in text and (kind != "card" or luhn(re.sub("[^0-9]", "", text)))
 
 
-def added_spans(sequences: list[Sequence], labels: list[np.ndarray], text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int]]:
+def added_spans(tokens: list[tuple[int, int, int]], text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, int]]:
+    """tokens: (start, end, label) of those that are not plain, in order."""
     taken = sorted(s for spans in base.values() for s in spans)
-    found = []
-    for q, y in zip(sequences, labels, strict=True):
-        k = 0
-        while k < len(y):
-            if not y[k]:
-                k += 1
-                continue
-            end = k + 1
-            while end < len(y) and y[end] == 2 * ((y[k] + 1) // 2):
-                end += 1
-            kind, a, b = KINDS[(y[k] - 1) // 2], q.starts[k], q.ends[end - 1]
-            if possible(kind, text[a:b]) and not any(s < b and a < e for s, e in taken):
-                found.append((kind, a, b))
-            k = end
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
+    found, k = [], 0
+    while k < len(tokens):
+        end = k + 1
+        while end < len(tokens) and tokens[end][2] == 2 * ((tokens[k][2] + 1) // 2):
+            end += 1
+        kind, a, b = KINDS[(tokens[k][2] - 1) // 2], tokens[k][0], tokens[end - 1][1]
+        before = bisect_left(starts, b)  # base spans that start before the end
+        if possible(kind, text[a:b]) and not (before and reach[before - 1] > a):
+            found.append((kind, a, b))
+        k = end
+    return found
+
+
+def labelled_tokens(texts: list[str], field: Field) -> list[list[tuple[int, int, int]]]:
+    """(start, end, label) of the tokens of each text that are not plain; a bounded number of tokens is held at once."""
+    found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    held: list[tuple[int, Sequence]] = []
+    tokens = 0
+
+    def settle() -> None:
+        for (k, q), y in zip(held, decode([q for _, q in held], field), strict=True):
+            found[k] += [(q.starts[t], q.ends[t], int(y[t])) for t in np.flatnonzero(y[: q.last]).tolist() if t >= q.first]
+        held.clear()
+
+    for k, text in enumerate(texts):
+        if HINT.search(text):
+            for q in islands(text):
+                held.append((k, q))
+                tokens += len(q.starts)
+                if tokens >= MOST_TOKENS:
+                    settle()
+                    tokens = 0
+    settle()
     return found
 
 
@@ -345,21 +395,10 @@ def find(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t or "" for t in batch["text"].tolist()]
-            base = [base_spans(t) if HINT.search(t) else {k: [] for k in BASE} for t in texts]
-            sequences, owners = [], []
-            for k, t in enumerate(texts):
-                if HINT.search(t):
-                    own = [q for q in islands(t) if q.starts]
-                    sequences += own
-                    owners += [k] * len(own)
-            labels = decode(sequences, field)
-            by_text: dict[int, list[int]] = {}
-            for at, (owner, y) in enumerate(zip(owners, labels, strict=True)):
-                if y.any():
-                    by_text.setdefault(owner, []).append(at)
             rows = []
-            for k, spans in enumerate(base):
-                added = added_spans([sequences[x] for x in by_text.get(k, [])], [labels[x] for x in by_text.get(k, [])], texts[k], spans)
+            for text, tokens in zip(texts, labelled_tokens(texts, field), strict=True):
+                spans = base_spans(text) if HINT.search(text) else {k: [] for k in BASE}
+                added = added_spans(tokens, text, spans)
                 listed = [(kind, a, b) for kind in BASE for a, b in spans[kind]]
                 every = sorted(listed + added, key=lambda s: (KINDS.index(s[0]), s[1]))
                 name = lambda x: ",".join(f"{kind}:{a}:{b}" for kind, a, b in x)
@@ -372,10 +411,5 @@ def find(docs: DataFrame, field: Field, doc_id: str = "doc_id", text: str = "tex
     return rows.mapInPandas(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
-def labelled_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(x,) for x in LABELLED], "marked string")
-
-
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = [r["marked"] for r in labelled_table(spark).limit(MOST_LABELLED).collect()]
-    return find(read(spark, sf_dir, "documents"), train(labelled))
+    return find(read(spark, sf_dir, "documents"), train(list(LABELLED)))
