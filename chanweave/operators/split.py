@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dims import RADIO, position_of
+from .order import numbered
 
 
 def split_target(include_overseas: bool = False) -> Column:
@@ -24,8 +25,10 @@ def order_main(catalog: DataFrame) -> DataFrame:
     return catalog.where(F.col("category") != RADIO[0]).orderBy(position_of("category"), "p1", "p2")
 
 
-def main_position() -> Column:
-    return F.row_number().over(Window.orderBy(position_of("category"), "p1", "p2"))
+def main_positions(catalog: DataFrame, name: str = "pos") -> DataFrame:
+    """The main list with each entry's place in it."""
+    main = catalog.where(F.col("category") != RADIO[0])
+    return numbered(main, position_of("category"), "p1", "p2", name=name)
 
 
 def order_more(more: DataFrame) -> DataFrame:

@@ -503,7 +503,7 @@ def w10_duplicate_occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {best(1)} SELECT ord, row_number() OVER (ORDER BY {POSITION}, nk, r2) AS pos FROM tgt WHERE target = 'catalog' AND category <> 'radio'")
 def o1_order_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = split.split_catalog_more(selected(spark, sf_dir)).where("target = 'catalog'")
-    return split.order_main(rows).select("ord", split.main_position().cast("long").alias("pos"))
+    return split.main_positions(rows).select("ord", "pos")
 
 
 @query(f"WITH {best(1)} SELECT ord FROM tgt WHERE target = 'more'")

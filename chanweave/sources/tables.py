@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from .playlists import is_guide_payload
 
 CHANNEL_SCHEMA = "standard_name string, category string, group_title string, tvg_id string, display_name string"
@@ -34,14 +35,13 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 def list_sources(registry: DataFrame, width: int = 60) -> DataFrame:
     """Numbered listing; long addresses end in three dots."""
-    number = F.row_number().over(Window.orderBy("source_idx"))
     url = F.when(F.length("url") < width, F.col("url")).otherwise(F.concat(F.substring("url", 1, width - 3), F.lit("...")))
-    return registry.select(number.alias("number"), "name", url.alias("url"), "type", "enabled", "region")
+    return numbered(registry, "source_idx").select(F.col("number").cast("int").alias("number"), "name", url.alias("url"), "type", "enabled", "region")
 
 
 def disabled_sources(registry: DataFrame) -> DataFrame:
     off = registry.where(~F.coalesce("enabled", F.lit(True)))
-    return off.withColumn("number", F.row_number().over(Window.orderBy("source_idx")))
+    return numbered(off, "source_idx").withColumn("number", F.col("number").cast("int"))
 
 
 def read_guides(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
