@@ -2,46 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import cut, delete, release, shared_folder
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+__all__ = ["cut", "delete", "read", "release", "row_key", "shared_folder", "text_of"]
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; a local one only where the master is local (tests)."""
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not context._jsc.sc().isLocal():
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder, forget the lineage, and release the shuffle files behind it.
-
-    Tables that a result still reads stay until Spark drops them (spark.cleaner.referenceTracking.cleanCheckpoints).
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    written = df.checkpoint()
-    df._jdf.queryExecution().toRdd().cleanShuffleDependencies(False)
-    return written
-
-
-def release(*tables: DataFrame) -> None:
-    """Delete what `cut` wrote for tables that nothing reads any more."""
-    for df in tables:
-        file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
-        if file.isDefined():
-            jvm = df.sparkSession.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(file.get())
-            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def text_of(text: str | Column) -> Column:

@@ -422,7 +422,8 @@ def label(docs: DataFrame, k: int = SHINGLE_WORDS, percent: int = PERCENT, doc_i
     classes, known = classes_of(rows, k, percent)
     own = F.struct("doc_id", "hash")
     named = classes.join(known.withColumnRenamed("id", "class"), "class", "left").withColumn("g", F.coalesce("component", "class"))
-    least = named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(own).alias("least"))
+    # Cut, so that in the join below adaptive execution can split a component that holds a great part of all rows.
+    least = cut(named.where("n > 0").groupBy("g").agg(F.min("doc_id").alias("component_id"), F.min(own).alias("least")))
     columns = ["doc_id", "hash", F.col("n").alias("n_shingles"), "component_id"]
     linked = named.where("n > 0").join(least, "g").select(*columns, (own == F.col("least")).alias("first"))
     alone = named.where("n = 0").withColumn("component_id", F.col("doc_id")).select(*columns, F.lit(True).alias("first"))

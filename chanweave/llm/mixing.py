@@ -1,16 +1,17 @@
 """Mixing sources to target weights by capped water-filling.
 
 Sources, in code-point order with null last, weigh 1, 2, 3, repeating. All weights together share the corpus's whole
-size; a source takes at most `max_epochs` times its own size, and what it can't take goes to the others by weight. With
-sources sorted by cap / weight the water level follows in closed form from running sums, so the plan is one window over
-the source table (one row per source), without loops or a collect.
+size; a source takes at most `max_epochs` times its own size, and what it can't take goes to the others by weight, again
+and again until none is above its cap. Only the water level, one number, is on the driver; sources may be as many as rows.
 
 A source of size S and target T repeats every document floor(T / S) times; the words still missing are taken in seeded
 order, the last document in part. The order is by MD5 of "seed:doc_id"; running sums go over hash cells first, so a
 source with a third of all rows never meets in one task.
 
 Defined cases: null or empty text has size 0 and takes 0; a null source is a source; rows that repeat an id are counted
-each; null ids are ordered by the MD5 of their text; an empty table gives an empty result.
+each; null ids are ordered by the MD5 of their text; an empty table gives an empty result; only the three named columns are read,
+and `repeat` passes all columns through whatever their names. Rows of one repeated id share a hash cell: an id that
+repeats in a great part of all rows is sorted in one task, which spills.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import read, text_of
+from ..operators.order import numbered
+from .common import cut, read, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = 3
@@ -27,35 +29,41 @@ CELL_DIGITS = 4
 
 
 def targets(sizes: DataFrame, max_epochs: int = 3) -> DataFrame:
-    """(source, source_size) -> (source, source_size, target)."""
-    everything = Window.partitionBy(F.lit(0))
-    ranked = sizes.withColumn("weight", (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % WEIGHTS + 1)
-    ranked = ranked.withColumn("cap", F.col("source_size") * max_epochs).withColumn("total", F.sum("source_size").over(everything))
-    ranked = ranked.withColumn("place", F.row_number().over(Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())))
-    earlier = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.orderBy("place").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(earlier), F.lit(0))) / F.sum("weight").over(later)
-    marked = ranked.withColumn("capped", level * F.col("weight") > F.col("cap"))
-    rest = F.col("total") - F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))).over(everything), F.lit(0))
-    weight = F.sum(F.when(~F.col("capped"), F.col("weight"))).over(everything)
-    share = rest.cast("double") * F.col("weight") / weight
-    return marked.select("source", "source_size", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(share).alias("target"))
+    """(source, source_size) -> (source, source_size, target).
+
+    The water level is the words a unit of weight gets. Starting from all sources, those whose cap lies below the level
+    are clamped, and what is left over raises the level for the others, until none is above its cap. Each step is one
+    aggregate over the source table; the level only rises, on a curve of straight pieces, so few steps are needed.
+    """
+    order = F.col("source").asc_nulls_last()
+    ranked = numbered(sizes, order).withColumn("weight", (F.col("number") - 1) % WEIGHTS + 1).withColumn("cap", F.col("source_size") * max_epochs)
+    ranked = cut(ranked.drop("number"))
+    clamped = lambda level: F.lit(level) * F.col("weight") > F.col("cap")
+    level, after = -1.0, 0.0
+    while level != after:
+        level = after
+        capped = clamped(level)
+        total, taken, weight = ranked.agg(F.sum("source_size"), F.sum(F.when(capped, F.col("cap"))), F.sum(F.when(~capped, F.col("weight")))).first()
+        rest = (total or 0) - (taken or 0)
+        after = max(level, rest / weight) if weight else level
+    share = F.lit(float(rest)) * F.col("weight") / F.lit(weight or 1)
+    return ranked.select("source", "source_size", F.when(clamped(level), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
 def mix(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_epochs: int = 3, seed: int = 0,
     carry: bool = False,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, copies; with carry also `row`, the whole input row.
+    """doc_id, source, size, source_size, target, taken, copies; with carry also `__row`, the whole input row.
 
     taken: words that the mix takes of the row, repeats counted. copies: the same in whole documents (rounded).
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.md5(text_of(text))))).alias("draw"),
-        *([F.struct("*").alias("row")] if carry else []),
+        *([F.struct("*").alias("__row")] if carry else []),
     ).withColumn("cell", F.substring("draw", 1, CELL_DIGITS))
-    cells = rows.drop("row").groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    cells = rows.drop("__row").groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     sizes = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
     # Running sums in two steps, so that no window holds more than 256 rows of a source.
     cells = cells.withColumn("top", F.substring("cell", 1, CELL_DIGITS // 2))
@@ -77,14 +85,14 @@ def mix(
     return placed.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).cast("long").alias("taken"),
         (F.col("whole") + (F.col("missing") * 2 > F.col("size")).cast("int")).cast("int").alias("copies"),
-        *(["row"] if carry else []),
+        *(["__row"] if carry else []),
     )
 
 
 def repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", max_epochs: int = 3, seed: int = 0) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, in whole documents."""
     mixed = mix(docs, doc_id, text, source, max_epochs, seed, carry=True).where("copies > 0")
-    return mixed.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("row.*")
+    return mixed.select("__row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).select("__row.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,13 +4,14 @@ A document's token ids (with the end id) are cut into pieces whose lengths are t
 binary, with as many whole pieces of `capacity` (itself a power of two) as fit. Each piece is a sequence of its own in
 the bucket of its length, so no sequence crosses documents and none needs padding; a batch is filled from one bucket.
 
-Tokenising is local to a row and nothing is shuffled. The ids are those the tokenizers library gives. Texts of Latin
+Tokenising is local to a row; only the pieces' numbers are shuffled (or the pieces, where the ids are asked for). The ids are those the tokenizers library gives. Texts of Latin
 letters go through tiktoken with the same vocabulary (`ranks`), which gives the same ids several times faster (a test
 compares them); texts with any character from U+0250 on, where the two might disagree on a character's class, and texts
 with a run of 20,000 blanks go through the tokenizers library.
 
 Defined cases: null text is empty and gives the end id alone; rows that repeat an id are packed each; an empty table
-gives an empty result; special-token strings in a text are ordinary text; a text of any length stays in its row.
+gives an empty result; special-token strings in a text are ordinary text; a text of any length stays in its row; only the id and text columns are
+read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -23,18 +24,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from .common import read
 
 LATIN_END = "\u0250"
 #: A run of white space this long goes to the tokenizers library: tiktoken's expression recurses over such runs.
 LONG_BLANK = re.compile(r"\s{20000}")
-#: Bits of a sequence id: the bucket, then the task, then the number in both.
-BUCKET_SHIFT, TASK_SHIFT = 56, 32
-PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, bucket int"
+PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, offset long, bucket int"
 
 
 class Encoder:
@@ -84,7 +83,10 @@ def pack(
     docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None, capacity: int = 1024, end_id: int = 0,
     doc_id: str = "doc_id", text: str = "text", with_ids: bool = False,
 ) -> DataFrame:
-    """One row per piece. sequence_id is unique; bucket is the base-2 logarithm of the length. with_ids adds the ids.
+    """One row per piece. bucket is the base-2 logarithm of the length. with_ids adds the ids.
+
+    sequence_id counts the pieces from 1 in the order of bucket, document and place, so it does not depend on how the
+    rows lie in files or tasks.
 
     tokenizer, ranks: paths of files at the same place on every executor.
     """
@@ -93,7 +95,7 @@ def pack(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, task, numbers = Encoder(tokenizer, ranks, pattern), TaskContext.get().partitionId(), {}
+        encoder = Encoder(tokenizer, ranks, pattern)
         for batch in batches:
             ids, texts = batch["id"].tolist(), batch["text"].tolist()
             for lo in range(0, len(texts), 256):
@@ -103,14 +105,14 @@ def pack(
                     n = len(packed) // 4
                     for start, length in cuts(n, capacity):
                         piece, bucket = packed[4 * start : 4 * (start + length)], length.bit_length() - 1
-                        numbers[bucket] = number = numbers.get(bucket, -1) + 1
-                        row = (i, start, length, zlib.crc32(piece), n, bucket << BUCKET_SHIFT | task << TASK_SHIFT | number, 0, bucket)
+                        row = (i, start, length, zlib.crc32(piece), n, 0, bucket)
                         out.append((*row, np.frombuffer(piece, dtype="<u4").astype(np.int32)) if with_ids else row)
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket"] + ["ids"] * with_ids
+                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "offset", "bucket"] + ["ids"] * with_ids
                 yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, PIECE_SCHEMA + ", ids array<int>" * with_ids)
+    pieces = rows.mapInPandas(run, PIECE_SCHEMA + ", ids array<int>" * with_ids)
+    return numbered(pieces, "bucket", "doc_id", "start", "ids_crc32", "doc_tokens", name="sequence_id")
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

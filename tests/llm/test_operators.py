@@ -40,7 +40,7 @@ def test_packing_round_trip(docs, rows):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tokenizer.encode_special_tokens = True
     found = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True).collect()
-    assert len({r.sequence_id for r in found}) == len(found)
+    assert sorted(r.sequence_id for r in found) == list(range(1, len(found) + 1))
     pieces = defaultdict(list)
     for r in found:
         assert r.offset == 0 and r.length == len(r.ids) and r.length & (r.length - 1) == 0 and r.length <= 1024 and 1 << r.bucket == r.length
@@ -69,6 +69,11 @@ def test_packing_of_very_long_runs():
         assert fast.encode("x" + run + "y") == slow.encode("x" + run + "y")
 
 
+def test_packing_does_not_depend_on_the_layout(docs):
+    got = [Counter(map(tuple, packing.pack_public(docs.repartition(k, "source")).collect())) for k in (1, 5)]
+    assert got[0] == got[1]
+
+
 def test_packing_empty(empty):
     assert packing.pack_public(empty).count() == 0
 
