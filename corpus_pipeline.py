@@ -5,13 +5,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chanweave.llm import jaccard, langid, line_dedup, mixing, packing
-from chanweave.llm.common import ensure_checkpoint_dir, read
+from chanweave.llm.common import delete, read, shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +52,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over all documents. What each stage keeps is written to the shared checkpoint folder and read again."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    """All stages over all documents. What each stage keeps is written to the shared checkpoint folder and read again.
+
+    A stage's table is deleted when the next one is written; the last one stays for the result that reads it.
+    """
+    folder = shared_folder(spark, "pipeline")
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            delete(spark, f"{folder}/{k - 1}")
     return STAGES[-1][1](spark, docs, sf_dir)
