@@ -6,7 +6,10 @@ A document is the set of its distinct word shingles (64-bit hashes). Equal sets
 Roots. With sizes in one band, linked sets differ in at most d tokens. The hash range is cut into more than d segments,
 so linked sets agree in whole segments, and non-empty ones among them (a set with too many empty segments also files
 those). All classes that share a segment are put into the group of the least class among them, so every link lies inside
-a group, however frequent single shingles are; the many segments that two near copies share lead to few groups.
+a group; the many segments that two near copies share lead to few groups. A segment that over `HOT` sets share, such as a
+frequent shingle alone, is left out of a set if with its empty segments that leaves enough: there are `spare` segments
+more than needed, so two linked sets agree in at least one that neither leaves out. Nothing is lost, and a frequent
+passage does not bring unlike documents together.
 
 Trees. Each group is a tree whose nodes hold the OR of their members' token bitmaps and the range of their sizes. The
 dual traversal starts at the root paired with itself and drops a pair of nodes when the largest possible overlap (common
@@ -43,8 +46,14 @@ from .common import cut, read, release
 SHINGLE_WORDS, PERCENT = 5, 80
 LEAF, FAN_OUT = 16, 4
 #: Members and tokens of a chunk; a task holds two chunks at most.
-CHUNK, CHUNK_TOKENS = 1024, 2_000_000
-FLUSH_ROWS = 8192
+CHUNK, CHUNK_TOKENS = 1024, 3_000_000
+#: Up to so many members a tree has one level.
+FEW = 8
+FLUSH_ROWS, BLOCK_DOCS = 8192, 500
+#: Sets that share a segment from which on it may be left out.
+HOT = 128
+#: The last bits of a key tell its band.
+BAND_BITS = 3
 BAND_RATIO = 1.5
 BROADCAST_BYTES = 16 << 20
 MIX1, MIX2, MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -94,18 +103,19 @@ BANDS = np.array(_bands())
 def layout(band: int, percent: int) -> tuple[int, int, np.ndarray]:
     """(most differing tokens, spare segments, where segments begin) for pairs whose larger set is in the band."""
     differ = (100 - percent) * 2 * (int(BANDS[band + 1]) - 1) // (100 + percent)
-    spare = 8 + differ // 16
+    spare = 8 + differ // 8
     segments = differ + 1 + spare
     step = (1 << 64) / segments
     return differ, spare, np.array([min(int(j * step), (1 << 64) - 1) for j in range(segments)], dtype=np.uint64)
 
 
-def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> np.ndarray:
-    """Keys such that linked, unequal sets share one. layouts: remembers the layout of each band met."""
+def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> tuple[np.ndarray, dict[int, int]]:
+    """Keys such that linked, unequal sets share one; and by band how many of them may be left out, if all that are
+    left out are left out of every set. layouts: remembers the layout of each band met."""
     n = len(tokens)
     own = int(np.searchsorted(BANDS, n, side="right")) - 1
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)))
-    found = []
+    found, room = [], {}
     for band in range(own, len(BANDS) - 1):
         if 100 * n < percent * BANDS[band]:
             break
@@ -116,11 +126,14 @@ def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> n
             continue
         at = np.append(np.searchsorted(tokens, begins), n)
         filed = np.flatnonzero(np.diff(at))
-        if len(begins) - len(filed) > spare:
+        left_out = len(begins) - len(filed)
+        if left_out > spare:
             filed = np.arange(len(begins))
         inside = sums[at[filed + 1]] - sums[at[filed]]
-        found.append(_mix(_mix(inside) + filed.astype(np.uint64) * MIX1 + np.full(1, band + 1, dtype=np.uint64) * MIX3))
-    return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
+        keys = _mix(_mix(inside) + filed.astype(np.uint64) * MIX1 + np.full(1, band + 1, dtype=np.uint64) * MIX3)
+        found.append((keys >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS)) | np.uint64(band % (1 << BAND_BITS)))
+        room[band % (1 << BAND_BITS)] = spare - left_out
+    return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64), room
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
@@ -216,31 +229,46 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, hash, n, class, bits, keys) of every row; classes met before in the task have no keys."""
+    """(doc_id, hash, n, class, bits, keys, rooms) of every row; classes met before in the task have no keys.
+
+    rooms: how many keys of each band (by its number modulo 8) may be left out.
+    """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         layouts: dict[int, tuple] = {}
-        for batch in batches:
+        for batch in (b.iloc[lo : lo + BLOCK_DOCS] for b in batches for lo in range(0, len(b), BLOCK_DOCS)):
             found = [shingles(t, k) for t in batch["text"]]
             classes = [class_of(x) for x in found]
             seen: set[int] = set()
-            keys = []
+            keys, rooms = [], []
             for own, tokens in zip(classes, found, strict=True):
-                keys.append(None if own in seen or not len(tokens) else block_keys(tokens, percent, layouts))
+                filed = (None, {}) if own in seen or not len(tokens) else block_keys(tokens, percent, layouts)
+                keys.append(filed[0])
+                rooms.append([filed[1].get(band, -1) for band in range(1 << BAND_BITS)] if filed[1] else None)
                 seen.add(own)
             sizes = np.array([len(x) for x in found], dtype=np.int64)
-            yield batch[["doc_id", "hash"]].assign(n=sizes, **{"class": classes}, bits=[bitmap(x) for x in found], keys=keys)
+            yield batch[["doc_id", "hash"]].assign(n=sizes, **{"class": classes}, bits=[bitmap(x) for x in found], keys=keys, rooms=rooms)
 
-    return docs.mapInPandas(run, f"{fields}, n long, class long, bits binary, keys array<long>")
+    return docs.mapInPandas(run, f"{fields}, n long, class long, bits binary, keys array<long>, rooms array<int>")
 
 
 def _lead_groups(sets: DataFrame) -> DataFrame:
     """(lead, id): classes that share a key, in the group of the least of them."""
     filed = sets.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
     own = Window.partitionBy("key")
-    known = filed.withColumn("lead", F.min("id").over(own)).withColumn("most", F.max("id").over(own))
-    return known.where("lead <> most").select("lead", "id").distinct()
+    known = filed.withColumn("lead", F.min("id").over(own)).withColumn("most", F.max("id").over(own)).withColumn("times", F.count(F.lit(1)).over(own))
+    band = F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int").alias("band")
+    known = cut(known.where("lead <> most").select("lead", "id", band, (F.col("times") > HOT).alias("hot")))
+    hot = known.where("hot").groupBy("id", "band").agg(F.count(F.lit(1)).alias("hot_keys"))
+    rooms = sets.where("rooms IS NOT NULL").select(F.col("class").alias("id"), "rooms").dropDuplicates(["id"])
+    # A class filed by several tasks counts as often there, so it keeps its keys rather than lose one.
+    spared = hot.join(rooms, "id").where(F.col("hot_keys") <= F.get("rooms", "band")).select("id", "band")
+    rest = known.where("hot").join(spared, ["id", "band"], "left_anti")
+    groups = known.where("NOT hot").select("lead", "id").union(rest.select("lead", "id")).distinct()
+    found = cut(groups)
+    release(known)
+    return found
 
 
 def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
@@ -251,7 +279,7 @@ def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
 def _tokens_of(docs: DataFrame, owners: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(id, tokens) of the classes named, from one document each; tokens are packed 64-bit integers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[lo : lo + BLOCK_DOCS] for b in batches for lo in range(0, len(b), BLOCK_DOCS)):
             yield pd.DataFrame({"id": batch["id"], "tokens": [shingles(t, k).tobytes() for t in batch["text"]]})
 
     named = cut(owners.join(ids, "id").select("id", "d"))
@@ -259,21 +287,44 @@ def _tokens_of(docs: DataFrame, owners: DataFrame, ids: DataFrame, k: int) -> Da
     return texts.select("id", "text").mapInPandas(run, "id long, tokens binary").dropDuplicates(["id"])
 
 
-def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each tree, from batches sorted by tree."""
-    parts: list[pd.DataFrame] = []
-    last = None
+def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
+    """The columns of each tree's rows as arrays, from batches sorted by tree."""
+    held: dict = {}
     for batch in batches:
-        key = batch["tree"].to_numpy()
-        bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)] if len(key) else []
+        columns = {c: batch[c].to_numpy() for c in batch.columns}
+        key = columns["tree"]
+        if not len(key):
+            continue
+        bounds = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
         for lo, hi in zip(bounds, bounds[1:], strict=False):
-            if parts and key[lo] != last:
-                yield parts[0] if len(parts) == 1 else pd.concat(parts)
-                parts = []
-            parts.append(batch.iloc[lo:hi])
-            last = key[lo]
-    if parts:
-        yield parts[0] if len(parts) == 1 else pd.concat(parts)
+            own = {c: v[lo:hi] for c, v in columns.items()}
+            if held and held["tree"][0] == own["tree"][0]:
+                own = {c: np.concatenate((held[c], v)) for c, v in own.items()}
+            elif held:
+                yield held
+            held = own
+    if held:
+        yield held
+
+
+def few_possible(maps: list[bytes], sizes: list[int], groups: list[int], percent: int) -> list[int]:
+    """Members of a tree of one level that have a possible partner; the test is that of Level.possible."""
+    width = min(map(len, maps)) * 8
+    bits = []
+    for m in maps:
+        x, own = int.from_bytes(m, "little"), len(m) * 8
+        while own > width:
+            own //= 2
+            x = (x & ((1 << own) - 1)) | (x >> own)
+        bits.append(x)
+    spare = [n - x.bit_count() for n, x in zip(sizes, bits, strict=True)]
+    found = set()
+    for i in range(len(bits)):
+        for j in range(i):
+            overlap = min((bits[i] & bits[j]).bit_count() + min(spare[i], spare[j]), sizes[i], sizes[j])
+            if groups[i] != groups[j] and (100 + percent) * overlap >= percent * (sizes[i] + sizes[j]):
+                found.update((i, j))
+    return sorted(found)
 
 
 def _in_trees(rows: DataFrame, names: tuple[str, str], work) -> DataFrame:
@@ -296,12 +347,24 @@ def _in_trees(rows: DataFrame, names: tuple[str, str], work) -> DataFrame:
 
 def settle(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links of a spanning forest: each member is held against the members that no link has reached yet."""
+    if len(sets) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if (100 + percent) * common >= percent * (len(sets[0]) + len(sets[1])) else []
     sizes = np.array([len(x) for x in sets])
     order = np.argsort(sizes, kind="stable")
     sizes = sizes[order]
-    tokens = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)[1].astype(np.int32)
-    at = np.concatenate(([0], np.cumsum(sizes)))
-    marks = np.zeros(int(tokens.max()) + 1, dtype=np.int32)
+    flat, owner = np.concatenate([sets[k] for k in order]), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    # Only tokens of two sets or more can be common: they are numbered from 1 on. A 0 at the start stands in for the rest.
+    ranked = np.sort(flat)
+    shared = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    number = np.searchsorted(shared, flat)
+    hit = np.append(shared, np.zeros(1, dtype=np.uint64))[number] == flat
+    hit &= number < len(shared)
+    owner, number = owner[hit], number[hit]
+    at = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sets)) + 1)))
+    tokens = np.zeros(at[-1], dtype=np.int32)
+    tokens[np.arange(len(owner)) + owner + 1] = number + 1
+    marks = np.zeros(len(shared) + 1, dtype=np.int32)
     open_ = np.ones(len(sets), dtype=bool)
     links = []
     for root in range(len(sets)):
@@ -315,7 +378,7 @@ def settle(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
             rest = np.flatnonzero(open_[lo:hi]) + lo
             if not len(rest):
                 continue
-            marks[tokens[at[x] : at[x + 1]]] = 1
+            marks[tokens[at[x] + 1 : at[x + 1]]] = 1
             if 4 * len(rest) > hi - lo:
                 common = np.add.reduceat(marks[tokens[at[lo] : at[hi]]], at[lo:hi] - at[lo])[rest - lo]
             else:
@@ -330,17 +393,17 @@ def settle(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 def _links(trees: DataFrame, docs: DataFrame, owners: DataFrame, k: int, percent: int) -> DataFrame:
     """(tree, id, g, n, bits) -> links (a, b): a spanning forest of each tree's links between members of different g."""
-    def traverse(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        if len(tree) < 2:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        i, j = dual_traversal(tree["bits"].tolist(), tree["n"].to_numpy(), tree["g"].to_numpy(), percent)
-        found = tree["id"].to_numpy()[np.unique(np.concatenate((i, j)))]
-        return np.full(len(found), tree["tree"].iloc[0]), found
-
-    def link(tree: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        ids = tree["id"].to_numpy()
+    def traverse(tree: dict) -> tuple[np.ndarray, np.ndarray]:
+        maps, found = tree["bits"].tolist(), []
+        if 1 < len(maps) <= FEW:
+            found = few_possible(maps, tree["n"].tolist(), tree["g"].tolist(), percent)
+        elif len(maps) > FEW:
+            found = np.unique(np.concatenate(dual_traversal(maps, tree["n"], tree["g"], percent)))
+        return np.full(len(found), tree["tree"][0]), tree["id"][found] if len(found) else np.empty(0, np.int64)
+
+    def link(tree: dict) -> tuple[np.ndarray, np.ndarray]:
         found = np.array(settle([np.frombuffer(x, dtype=np.uint64) for x in tree["tokens"]], percent), dtype=np.int64).reshape(-1, 2)
-        return ids[found[:, 0]], ids[found[:, 1]]
+        return tree["id"][found[:, 0]], tree["id"][found[:, 1]]
 
     members = cut(_in_trees(trees, ("tree", "id"), traverse))
     tokens = _tokens_of(docs, owners, members.select("id").distinct(), k)
@@ -386,7 +449,7 @@ def _last_trees(groups: DataFrame, sizes: DataFrame, known: DataFrame) -> DataFr
 def classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """docs: doc_id, hash, text -> (doc_id, hash, n, class) of every row; (id, component) of linked classes."""
     sets = cut(_sets(docs, k, percent))
-    pairs = cut(_lead_groups(sets))
+    pairs = _lead_groups(sets)
     # One document of each class in a group stands for it.
     own = F.struct("doc_id", "hash")
     owners = sets.join(pairs.select(F.col("id").alias("class")).distinct(), "class", "left_semi")

@@ -36,7 +36,7 @@ from .common import read
 WORD = re.compile(r"[^\W\d_]")
 #: Letters of ASCII and all bytes of longer characters stay, everything else is a blank.
 FOLD = np.array([c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)], dtype=np.uint8)
-BLOCK_DOCS, BLOCK_CHARS = 256, 4_000_000
+BLOCK_DOCS, BLOCK_CHARS = 256, 1_000_000
 UNDETERMINED = "und"
 
 
@@ -140,30 +140,27 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
 
     A column in `keep` with the name of a result gives way to it.
     """
-    rows = docs.select(*keep).drop("lang_pred", "score", "languages").columns
-    rows = docs.select(*keep, F.col(text).alias("__text")).select(*rows, "__text")
-    kept = [c for c in rows.columns if c != "__text"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "lang_pred string, score double, languages string"])
+    kept = docs.select(*keep).drop("lang_pred", "score", "languages").columns
     names, trigrams, likelihood = np.array(model.languages, dtype=object), model.trigrams, model.likelihood
 
-    def blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    def blocks(texts: list[str]) -> Iterator[list[str]]:
         lo = size = 0
         for k, t in enumerate(texts):
             if k > lo and (k - lo == BLOCK_DOCS or size > BLOCK_CHARS):
-                yield lo, k
+                yield texts[lo:k]
                 lo, size = k, 0
-            size += len(t or "")
+            size += len(t)
         if lo < len(texts):
-            yield lo, len(texts)
+            yield texts[lo:]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Only the texts go to Python; what is kept stays in the JVM.
+    @F.pandas_udf("lang_pred string, score double, languages string")
+    def answer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         place = np.full(1 << 24, -1, dtype=np.int16)
         place[trigrams] = np.arange(len(trigrams))
         for batch in batches:
-            texts = batch["__text"].tolist()
             langs, scores, listed = [], [], []
-            for lo, hi in blocks(texts):
-                part = [t or "" for t in texts[lo:hi]]
+            for part in blocks([t or "" for t in batch]):
                 letters = [has_letter(t) for t in part]
                 if not len(names):
                     letters, shares = [False] * len(part), np.zeros((len(part), 1))
@@ -179,9 +176,10 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
                     langs.append(names[best] if has else UNDETERMINED)
                     scores.append(min(1.0, float(row[best])) if has else 0.0)
                     listed.append(",".join(f"{names[k]}:{row[k]:.2f}" for k in np.argsort(-row, kind="stable") if row[k] >= 0.005) if has else "")
-            yield batch[kept].assign(lang_pred=langs, score=scores, languages=listed)
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "languages": listed})
 
-    return rows.mapInPandas(run, schema)
+    rows = docs.select(*keep, F.col(text).alias("__text")).withColumn("__answer", answer("__text"))
+    return rows.select(*[F.col(f"`{c}`") for c in kept], "__answer.*")
 
 
 def keep_known(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:

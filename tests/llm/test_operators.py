@@ -546,9 +546,9 @@ def test_block_keys_lose_no_link():
             y = np.unique(np.concatenate([rng.choice(x, max(1, int(len(x) * rng.uniform(0.75, 1))), replace=False), rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)]))
             common = len(np.intersect1d(x, y))
             if 100 * common >= percent * (len(x) + len(y) - common) and len(np.setxor1d(x, y)):
-                assert len(np.intersect1d(jaccard.block_keys(x, percent, {}), jaccard.block_keys(y, percent, {})))
+                assert len(np.intersect1d(jaccard.block_keys(x, percent, {})[0], jaccard.block_keys(y, percent, {})[0]))
     x = np.unique(rng.integers(0, 1 << 63, 61, dtype=np.uint64))  # sizes two bands apart
-    assert len(np.intersect1d(jaccard.block_keys(x, 60, {}), jaccard.block_keys(x[:39], 60, {})))
+    assert len(np.intersect1d(jaccard.block_keys(x, 60, {})[0], jaccard.block_keys(x[:39], 60, {})[0]))
 
 
 def test_dual_traversal_loses_no_link():
@@ -570,6 +570,16 @@ def test_dual_traversal_loses_no_link():
     assert len(found) < 150 * 149 / 4
 
 
+def test_trees_of_one_level_answer_as_the_traversal():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        base = rng.integers(0, 1 << 63, int(rng.integers(2, 200)), dtype=np.uint64)
+        sets = [np.unique(np.where(rng.random(len(base)) < rng.uniform(0, 0.6), rng.integers(0, 1 << 63, len(base), dtype=np.uint64), base)[: int(rng.integers(1, len(base) + 1))]) for _ in range(6)]
+        maps, sizes, groups = [jaccard.bitmap(x) for x in sets], [len(x) for x in sets], rng.integers(0, 4, 6)
+        i, j = jaccard.dual_traversal(maps, np.array(sizes), groups, 80)
+        assert jaccard.few_possible(maps, sizes, groups.tolist(), 80) == sorted({*i.tolist(), *j.tolist()})
+
+
 def test_settle_gives_a_spanning_forest():
     rng = np.random.default_rng(2)
     for trial in range(20):
@@ -594,6 +604,37 @@ def test_settle_gives_a_spanning_forest():
         assert all(top(a) == top(b) for a in range(60) for b in range(a) if linked(sets[a], sets[b]))
 
 
+def test_frequent_segments_are_left_out_and_lose_no_link():
+    rng = np.random.default_rng(3)
+    for percent in (80, 85):
+        for _ in range(300):
+            n = int(rng.integers(20, 400))
+            x = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            y = np.unique(np.concatenate([rng.choice(x, max(1, int(len(x) * rng.uniform(0.8, 1))), replace=False), rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)]))
+            common = len(np.intersect1d(x, y))
+            if 100 * common < percent * (len(x) + len(y) - common) or not len(np.setxor1d(x, y)):
+                continue
+            hot = {int(k) for k in jaccard.block_keys(x, percent, {})[0] if rng.random() < 0.2}
+            filed = []
+            for tokens in (x, y):
+                keys, room = jaccard.block_keys(tokens, percent, {})
+                left = Counter(int(k) & 7 for k in keys if int(k) in hot)
+                filed.append({int(k) for k in keys if int(k) not in hot or left[int(k) & 7] > room[int(k) & 7]})
+            assert filed[0] & filed[1]
+
+
+@pytest.mark.parametrize("hot", [1, 3])
+def test_jaccard_with_frequent_segments(spark, monkeypatch, hot):
+    rng = random.Random(9)
+    common = sentence(rng, "fr", 12)
+    extra = [(1000 + k, common + " " + sentence(rng, "fr", 60), "fr", "s", 0, None, None, None) for k in range(40)]
+    extra += [(2000 + k, e[1] + " more", "fr", "s", 0, None, None, None) for k, e in enumerate(extra[:20])]
+    docs = documents(spark, extra)
+    want = plain_components([r.asDict() for r in docs.collect()], 4, 85)
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    assert Counter(map(tuple, jaccard.join(docs, 4, 85).collect())) == want
+
+
 def test_jaccard_groups_of_many_chunks(spark, monkeypatch):
     rng = random.Random(5)
     extra = []
