@@ -63,7 +63,7 @@ def mix(
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.md5(text_of(text))))).alias("draw"),
         *([F.struct("*").alias("__row")] if carry else []),
     ).withColumn("cell", F.substring("draw", 1, CELL_DIGITS))
-    cells = rows.drop("__row").groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    cells = cut(rows.drop("__row").groupBy("source", "cell").agg(F.sum("size").alias("cell_size")))
     sizes = cells.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
     # Running sums in two steps, so that no window holds more than 256 rows of a source.
     cells = cells.withColumn("top", F.substring("cell", 1, CELL_DIGITS // 2))

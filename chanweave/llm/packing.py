@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.order import numbered
-from .common import read
+from .common import cut, read
 
 LATIN_END = "\u0250"
 #: A run of white space this long goes to the tokenizers library: tiktoken's expression recurses over such runs.
@@ -111,7 +111,8 @@ def pack(
                 yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    pieces = rows.mapInPandas(run, PIECE_SCHEMA + ", ids array<int>" * with_ids)
+    # Cut, as dealing out by ranges reads its input twice.
+    pieces = cut(rows.mapInPandas(run, PIECE_SCHEMA + ", ids array<int>" * with_ids))
     return numbered(pieces, "bucket", "doc_id", "start", "ids_crc32", "doc_tokens", name="sequence_id")
 
 
