@@ -37,11 +37,17 @@ def first_segment_url(url: Column | str, body: Column | str) -> Column:
 
 
 def probe_status(head: str, get: str, url: str, body: str, segment: str, timed_out: str, error: str) -> Column:
-    """Status of a recorded probe: requests are tried in order, the first that fails tells."""
+    """Status of a recorded probe: requests are tried in order, the first that fails tells.
+
+    Reading the body is a part of its request: without a body, a timeout or an error tells.
+    """
+    broken = F.col(body).isNull() & (F.col(head) == 200) & (F.col(get) == 200)
     failed = lambda c: F.col(c).isNotNull() & (F.col(c) != 200)
     return (
         F.when(failed(head), F.concat(F.lit("HTTP "), F.col(head)))
         .when(F.col(head).isNotNull() & failed(get), F.concat(F.lit("HTTP "), F.col(get)))
+        .when(broken & F.coalesce(F.col(timed_out), F.lit(False)), "timeout")
+        .when(broken & (F.coalesce(F.col(error), F.lit("")) != ""), "error")
         .when((F.col(head) == 200) & (F.col(get) == 200) & first_segment_url(url, body).isNull(), "no_segment")
         .when((F.col(head) == 200) & (F.col(get) == 200) & (F.col(segment) == 200), "ok")
         .when((F.col(head) == 200) & (F.col(get) == 200) & failed(segment), F.concat(F.lit("seg_HTTP "), F.col(segment)))

@@ -62,6 +62,12 @@ def region_rank(region: Column | str) -> Column:
     return F.coalesce(_lookup(F.coalesce(region, F.lit("cn")), REGION_RANK), F.lit(UNKNOWN_REGION_RANK))
 
 
+def core_flag(source: Column | str, core: tuple[str, ...] = CORE_SOURCES) -> Column:
+    """Whether the source is in the core set; a missing name is not."""
+    source = F.col(source) if isinstance(source, str) else source
+    return F.coalesce(source.isin(*core), F.lit(False))
+
+
 def normalise_group_title(entries: DataFrame) -> DataFrame:
     """group_title by category; unknown categories keep theirs."""
     return entries.withColumn("group_title", F.coalesce(title_for("category"), "group_title"))

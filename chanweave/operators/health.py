@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.addresses import is_valid_url
-from ..functions.dims import CORE_HEALTH_SOURCES
+from ..functions.dims import CORE_HEALTH_SOURCES, core_flag
 
 DEAD_DAYS = 3
 
@@ -46,7 +46,7 @@ def flag_dead_sources(history: DataFrame, registry: DataFrame, probe_mode: bool,
     """source, streak, action (warn for core sources, else disable). Without probing or rows there is nothing to tell."""
     known = history_in_registry(history, registry).where(F.lit(probe_mode and total > 0))
     dead = dead_streaks(known, dead_days).where("dead")
-    return dead.select("source", "streak", F.when(F.col("source").isin(*core), "warn").otherwise("disable").alias("action"))
+    return dead.select("source", "streak", F.when(core_flag("source", core), "warn").otherwise("disable").alias("action"))
 
 
 def duplicate_occurrences(registry: DataFrame, column: str) -> DataFrame:

@@ -13,12 +13,17 @@ FIELDS = ("standard_name", "category", "tvg_id", "display_name")
 
 
 def lookup_table(channels: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(key, matched_by, channel fields): standard names first, then aliases; one row per key."""
-    exact = channels.select(strip(F.col("standard_name")).alias("key"), F.lit(0).alias("prio"), *FIELDS)
+    """(key, matched_by, channel fields): standard names first, then aliases; one row per key.
+
+    Of channels with one name the first in the file wins (ord, as read_dictionary gives it).
+    """
+    if "ord" not in channels.columns:
+        channels = channels.withColumn("ord", F.lit(0).cast("long"))
+    exact = channels.select(strip(F.col("standard_name")).alias("key"), F.lit(0).alias("prio"), "ord", *FIELDS)
     targets = channels.withColumn("target", strip(F.col("standard_name")))
     by_alias = aliases.select("alias", F.col("standard_name").alias("target")).join(targets, "target")
-    by_alias = by_alias.select(F.col("alias").alias("key"), F.lit(1).alias("prio"), *FIELDS)
-    best = F.row_number().over(Window.partitionBy("key").orderBy("prio", "standard_name"))
+    by_alias = by_alias.select(F.col("alias").alias("key"), F.lit(1).alias("prio"), "ord", *FIELDS)
+    best = F.row_number().over(Window.partitionBy("key").orderBy("prio", "ord", "standard_name"))
     found = exact.unionByName(by_alias).withColumn("place", best).where("place = 1")
     return found.select("key", F.when(F.col("prio") == 0, "exact").otherwise("alias").alias("matched_by"), *FIELDS)
 

@@ -68,7 +68,7 @@ def group_distribution(lines: DataFrame) -> DataFrame:
 def playlist_names_urls(lines: DataFrame) -> DataFrame:
     """(file, ord, line) -> (file, ord, kind, value): lax reading of a written list."""
     line = strip(F.col("line"))
-    is_entry = line.startswith("#EXTINF")
+    is_entry = line.startswith("#EXTINF:")
     kind = F.when(is_entry & line.contains(","), "name").when((line != "") & ~line.startswith("#"), "url")
     value = F.when(kind == "name", strip(F.regexp_replace(line, "^[^,]*,", ""))).otherwise(line)
     return lines.select("file", "ord", kind.alias("kind"), value.alias("value")).where("kind IS NOT NULL")
@@ -103,12 +103,12 @@ def bad_groups(rows: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def parse_written(lines: DataFrame) -> DataFrame:
-    """(ord, line) of one written list -> ord, name, url, group_title; an address follows its entry's line."""
+    """(file, ord, line) of written lists -> file, ord, name, url, group_title; an address follows its entry's line."""
     line = strip(F.col("line"))
-    kept = lines.select("ord", line.alias("line")).where("line <> '' AND line NOT LIKE '#EXTM3U%'")
-    ahead = kept.withColumn("url", F.lead("line").over(Window.orderBy("ord"))).where("line LIKE '#EXTINF%'")
+    kept = lines.select("file", "ord", line.alias("line")).where("line <> '' AND line NOT LIKE '#EXTM3U%'")
+    ahead = kept.withColumn("url", F.lead("line").over(Window.partitionBy("file").orderBy("ord"))).where("line LIKE '#EXTINF:%'")
     title = F.regexp_extract(F.substring_index("line", ",", 1), GROUP_TITLE, 1)
-    return ahead.select("ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), "url", title.alias("group_title"))
+    return ahead.select("file", "ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), "url", title.alias("group_title"))
 
 
 def validate_outputs(live: DataFrame, more: DataFrame, verified_exists: bool, summary: DataFrame, allowed: DataFrame) -> DataFrame:

@@ -35,6 +35,11 @@ def order_more(more: DataFrame) -> DataFrame:
     return more.orderBy(position_of("category"), "name", "cat_ord", "p1", "p2")
 
 
+def more_positions(more: DataFrame, name: str = "pos") -> DataFrame:
+    """The extended list with each entry's place in it."""
+    return numbered(more, position_of("category"), "name", "cat_ord", "p1", "p2", name=name)
+
+
 def cap_more(more: DataFrame, most: int = 3000) -> DataFrame:
     return order_more(more).limit(most)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 CATEGORY_SQL = "CASE event_type WHEN 'signup' THEN 'radio' WHEN 'purchase' THEN 'cctv' WHEN 'view' THEN 'overseas' WHEN 'click' THEN 'local' ELSE 'sports' END"
 REGION_SQL = "CASE event_id % 5 WHEN 0 THEN 'cn' WHEN 1 THEN 'hk_tw' WHEN 2 THEN 'hotel' WHEN 3 THEN 'overseas' ELSE 'elsewhere' END"
 URL_SQL = """CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 7 = 0 THEN concat('rtp://239.1.', event_id % 9, '.', event_id % 251)
-  ELSE concat('http://h', event_id % 11, '.example.com/', event_id % 4999) END"""
+  ELSE concat('http://h', event_id % 11, '.example.com/', event_id % 499) END"""
 CANDIDATE_SQL = f"""
 SELECT event_id AS ord, concat('n', user_id % 997) AS name, {URL_SQL} AS url, {CATEGORY_SQL} AS category, {REGION_SQL} AS source_region,
        CASE WHEN user_id % 3 = 0 THEN '' ELSE concat('s', user_id % 89) END AS standard_name,
@@ -129,15 +129,15 @@ def txt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROBE_SQL = f"""
 SELECT event_id, {URL_SQL.replace("''", "concat('http://z/', event_id)")} AS url, CAST(CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 4 = 0 THEN 404 ELSE 200 END AS INT) AS head_status,
        CAST(CASE WHEN event_id % 10 = 0 THEN 500 ELSE 200 END AS INT) AS get_status,
-       CASE WHEN event_id % 6 = 0 THEN '#EXTM3U' ELSE concat('#EXTM3U\n#X\nseg', event_id % 3, '.ts') END AS body,
+       CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 6 = 0 THEN '#EXTM3U' ELSE concat('#EXTM3U\n#X\nseg', event_id % 3, '.ts') END AS body,
        CAST(CASE WHEN event_id % 8 = 1 THEN 403 ELSE 200 END AS INT) AS seg_status, event_id % 2 = 0 AS timed_out, 'reset' AS error,
        CAST(event_id % 900 AS INT) AS latency_ms FROM events"""
 
 DAYS_SQL = "SELECT concat('u', user_id) AS source, concat('http://u/', user_id) AS url, CAST(ts AS DATE) AS day, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) = 0 AS success FROM events GROUP BY user_id, CAST(ts AS DATE)"
 
 REGISTRY_SQL = """
-SELECT CAST(page_id AS INT) AS source_idx, CASE WHEN page_id % 31 = 0 THEN '' ELSE concat('p', page_id % 400) END AS name,
-       CASE WHEN page_id % 23 = 0 THEN '' WHEN page_id % 17 = 0 THEN concat('no-scheme/', page_id) ELSE url END AS url,
+SELECT CAST(page_id AS INT) AS source_idx, CASE WHEN page_id % 31 = 0 THEN '' ELSE concat('p', page_id % 97) END AS name,
+       CASE WHEN page_id % 23 = 0 THEN '' WHEN page_id % 17 = 0 THEN concat('no-scheme/', page_id) WHEN page_id % 29 = 0 THEN concat('http://shared.example.com/', page_id % 5) ELSE url END AS url,
        CASE WHEN page_id % 13 = 0 THEN 'xml' WHEN page_id % 2 = 0 THEN 'txt' ELSE 'm3u' END AS type,
        CASE page_id % 3 WHEN 0 THEN FALSE WHEN 1 THEN TRUE ELSE NULL END AS enabled, 'cn' AS region FROM pages"""
 

@@ -17,8 +17,8 @@ GUIDE_SCHEMA = (
 
 
 def read_dictionary(spark: SparkSession, channels: str, aliases: str) -> tuple[DataFrame, DataFrame]:
-    """Standard channels, and (alias, standard_name)."""
-    table = spark.read.schema(CHANNEL_SCHEMA).json(channels, multiLine=True)
+    """Standard channels in file order (ord), and (alias, standard_name)."""
+    table = spark.read.schema(CHANNEL_SCHEMA).json(channels, multiLine=True).withColumn("ord", F.monotonically_increasing_id())
     pairs = spark.read.text(aliases, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("alias", "standard_name"))
     return table, pairs
 
