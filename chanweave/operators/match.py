@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dims import title_for
@@ -35,13 +35,30 @@ def match_channels(names: DataFrame, channels: DataFrame, aliases: DataFrame, na
     return names.withColumn("key", strip(F.coalesce(name, F.lit("")))).join(table, "key", "left").drop("key")
 
 
+GRAM = 3
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct pieces of `size` characters."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda k: F.substr(text, k, size)))
+
+
 def match_fuzzy(names: DataFrame, channels: DataFrame, name: str = "name") -> DataFrame:
     """(name, standard_name): folded names that lie inside exactly one standard name.
 
-    Each distinct name meets the dictionary, a theta join with its few hundred rows.
+    Standard names are indexed by their pieces of three characters (shorter ones for shorter names). A name is looked up
+    by its rarest piece, and what it finds is verified, so no name meets the whole dictionary.
     """
     wanted = names.select(strip(F.lower(name)).alias("low"), F.col(name).alias("name")).where("low <> ''").distinct()
-    hits = wanted.join(channels.select("standard_name"), F.lower("standard_name").contains(F.col("low")))
+    sizes = F.explode(F.sequence(F.lit(1), F.lit(GRAM))).alias("size")
+    index = channels.select("standard_name", F.lower("standard_name").alias("inside"), sizes)
+    index = index.select("standard_name", "inside", "size", F.explode(_grams(F.col("inside"), F.col("size"))).alias("gram"))
+    found = index.groupBy("size", "gram").agg(F.count(F.lit(1)).alias("entries"))
+    asked = wanted.withColumn("size", F.least(F.lit(GRAM), F.length("low"))).withColumn("gram", F.explode(_grams(F.col("low"), F.col("size"))))
+    asked = asked.join(found, ["size", "gram"], "left").groupBy("name", "low", "size")
+    rarest = asked.agg(F.min_by("gram", F.struct(F.coalesce("entries", F.lit(0)), "gram")).alias("gram"))
+    hits = rarest.join(index, ["size", "gram"]).where(F.contains("inside", "low"))
     return hits.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("standard_name").alias("standard_name")).where("n = 1").drop("n")
 
 

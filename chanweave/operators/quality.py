@@ -54,6 +54,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("playlist").alias("file"), F.col("value").alias("line"))
 
 
+def read_written(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ord, line) of written playlists: a list is one file, so the order of its rows is that of its lines."""
+    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col("playlist").alias("file"), at.alias("ord"), F.col("value").alias("line"))
+
+
 def file_overview(lines: DataFrame) -> DataFrame:
     return count_entries(lines, lines.select("file").distinct()).orderBy("file")
 
@@ -103,12 +109,15 @@ def bad_groups(rows: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def parse_written(lines: DataFrame) -> DataFrame:
-    """(file, ord, line) of written lists -> file, ord, name, url, group_title; an address follows its entry's line."""
-    line = strip(F.col("line"))
-    kept = lines.select("file", "ord", line.alias("line")).where("line <> '' AND line NOT LIKE '#EXTM3U%'")
+    """(file, ord, line) of written lists -> file, ord, name, url, group_title; an address follows its entry's line.
+
+    Without a file column it is one list.
+    """
+    line, named = strip(F.col("line")), "file" in lines.columns
+    kept = lines.select("file" if named else F.lit("").alias("file"), "ord", line.alias("line")).where("line <> '' AND line NOT LIKE '#EXTM3U%'")
     ahead = kept.withColumn("url", F.lead("line").over(Window.partitionBy("file").orderBy("ord"))).where("line LIKE '#EXTINF:%'")
     title = F.regexp_extract(F.substring_index("line", ",", 1), GROUP_TITLE, 1)
-    return ahead.select("file", "ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), "url", title.alias("group_title"))
+    return ahead.select(*(["file"] if named else []), "ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), "url", title.alias("group_title"))
 
 
 def validate_outputs(live: DataFrame, more: DataFrame, verified_exists: bool, summary: DataFrame, allowed: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.addresses import run_timestamp
 from ..functions.dims import CORE_SOURCES, RADIO, categories, file_for, normalise_group_title, position_of
 from ..functions.names import clean_channels
 from ..operators import guide, health, probe, quality, select, split
@@ -16,27 +17,57 @@ from ..sources.playlists import is_error_payload, parse_payloads
 from ..sources.tables import read_guides
 
 
+VERIFIED = "live_verified.m3u"
+
+
+def validate_run(spark: SparkSession, out: str) -> DataFrame:
+    """All checks of a written run, read from its folder: (check, severity, value, ok), files first."""
+    lines = quality.read_written(spark, f"{out}/playlists")
+    expected = spark.createDataFrame([("live.m3u", "fail"), ("live_more.m3u", "fail")], "file string, severity string")
+    there = expected.join(lines.select("file").distinct().withColumn("there", F.lit(True)), "file", "left")
+    files = there.select(F.concat(F.lit("exists "), "file").alias("check"), "severity", F.lit(None).cast("double").alias("value"), F.coalesce("there", F.lit(False)).alias("ok"))
+    entries = quality.parse_written(lines)
+    verified = not lines.where(F.col("file") == VERIFIED).isEmpty()
+    summary = spark.read.schema("schema_version int, stage string, generated_at string, probe_enabled boolean").json(f"{out}/summary")
+    allowed = categories(spark).select(F.col("title").alias("group_title"))
+    return files.unionByName(quality.validate_outputs(entries.where("file = 'live.m3u'"), entries.where("file = 'live_more.m3u'"), verified, summary, allowed))
+
+
 @dataclass(frozen=True)
 class Settings:
     keep: int = 1
     include_overseas: bool = False
     more_most: int = 3000
     strict_sources: bool = True
+    probe_region: str = "cn"
+    probe_concurrency: int = 10
+    probe_timeout: int = 10
     core_sources: tuple[str, ...] = CORE_SOURCES
 
 
+def matched(
+    payloads: DataFrame, channels: DataFrame, aliases: DataFrame, verdicts: DataFrame | None = None,
+    phrases: DataFrame | None = None, characters: DataFrame | None = None,
+) -> DataFrame:
+    """Payloads to cleaned, matched and classified entries with their liveness. phrases, characters: see clean_channels."""
+    entries = match_and_classify(clean_channels(parse_payloads(payloads), phrases=phrases, characters=characters), channels, aliases)
+    return probe.apply_probe(entries, verdicts) if verdicts is not None else probe.default_alive(entries.withColumn("latency_ms", F.lit(None).cast("int")))
+
+
 def catalogue(
     payloads: DataFrame, channels: DataFrame, aliases: DataFrame, verdicts: DataFrame | None = None, settings: Settings = Settings(),
     phrases: DataFrame | None = None, characters: DataFrame | None = None,
 ) -> DataFrame:
-    """Payloads to selected entries, with target (catalog, more, dropped). phrases, characters: see clean_channels."""
-    entries = match_and_classify(clean_channels(parse_payloads(payloads), phrases=phrases, characters=characters), channels, aliases)
-    entries = probe.apply_probe(entries, verdicts) if verdicts is not None else probe.default_alive(entries.withColumn("latency_ms", F.lit(None).cast("int")))
+    """Payloads to selected entries, with target (catalog, more, dropped)."""
+    return chosen(matched(payloads, channels, aliases, verdicts, phrases, characters), settings)
+
+
+def chosen(entries: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return split.split_catalog_more(select.select_best(entries, settings.keep), settings.include_overseas)
 
 
-def playlists(selected: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(playlist, pos, entry columns) of the main list, the category lists, radio, and the capped extended list."""
+def playlists(selected: DataFrame, settings: Settings = Settings(), verified: DataFrame | None = None) -> DataFrame:
+    """(playlist, pos, entry columns) of the main list, the category lists, radio, the capped extended list, and the verified one."""
     columns = ["name", "url", "tvg_id", "tvg_logo", "group_title"]
     catalog = normalise_group_title(selected.where("target = 'catalog'")).withColumn("position", position_of("category"))
     order = F.struct("position", "p1", "p2")
@@ -50,23 +81,38 @@ def playlists(selected: DataFrame, settings: Settings = Settings()) -> DataFrame
     def placed(rows: DataFrame) -> DataFrame:
         return rows.withColumn("pos", F.row_number().over(Window.partitionBy("playlist").orderBy("o"))).drop("o")
 
-    return placed(main.unionByName(each)).unionByName(placed(extended))
+    lists = placed(main.unionByName(each)).unionByName(placed(extended))
+    return lists if verified is None else lists.unionByName(placed(verified.select(F.lit(VERIFIED).alias("playlist"), F.col("ord").alias("o"), *columns)))
 
 
 def run_catalogue(
     spark: SparkSession, payloads: DataFrame, channels: DataFrame, aliases: DataFrame, out: str, verdicts: DataFrame | None = None, settings: Settings = Settings(),
     phrases: DataFrame | None = None, characters: DataFrame | None = None,
 ) -> DataFrame:
-    """Write all lists and the summary; gives the summary row."""
-    selected = catalogue(payloads, channels, aliases, verdicts, settings, phrases, characters)
+    """Write all lists and the summary; gives the summary row. With verdicts the run is a probing one and lists what is verified."""
+    probing = verdicts is not None
+    matched(payloads, channels, aliases, verdicts, phrases, characters).write.mode("overwrite").parquet(f"{out}/entries")
+    entries = spark.read.parquet(f"{out}/entries")
+    selected = chosen(entries, settings)
     selected.write.mode("overwrite").parquet(f"{out}/selected")
     selected = spark.read.parquet(f"{out}/selected")
     gate = quality.core_gate(payloads, is_error_payload("content"), F.col("source").isin(*settings.core_sources), settings.strict_sources)
     seen = selected.select(file_for("category").alias("playlist")).distinct()
     names = seen.union(categories(spark).limit(1).select(F.lit("live.m3u").alias("playlist")))
-    sinks.write_playlists(sinks.playlist_lines(playlists(selected, settings), names), f"{out}/playlists")
+    verified = select.verified(entries) if probing else None
+    if probing:
+        names = names.union(categories(spark).limit(1).select(F.lit(VERIFIED).alias("playlist")))
+    sinks.write_playlists(sinks.playlist_lines(playlists(selected, settings, verified), names), f"{out}/playlists")
     one = F.lit(1).alias("one")  # both sides have one row
-    summary = quality.run_summary(selected).select("*", one).join(gate.select("*", one), "one").drop("one")
+    # Without probing nothing is counted as alive or dead.
+    stats = probe.probe_stats(entries if probing else entries.limit(0))
+    summary = quality.run_summary(selected).select("*", one).join(gate.select("*", one), "one").join(stats.select("*", one), "one").drop("one")
+    summary = summary.select(
+        F.lit(1).alias("schema_version"), F.lit("probe" if probing else "collect").alias("stage"), run_timestamp(F.current_timestamp()).alias("generated_at"),
+        F.lit("Asia/Shanghai").alias("timezone"), F.lit(settings.probe_region).alias("region"), F.col("total_selected").alias("total"), "*",
+        F.lit(probing).alias("probe_enabled"), F.lit(settings.probe_concurrency).alias("probe_concurrency"), F.lit(settings.probe_timeout).alias("probe_timeout"),
+        F.array().cast("array<string>").alias("channels"),
+    )
     sinks.write_summary(summary, f"{out}/summary")
     return summary
 

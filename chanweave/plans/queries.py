@@ -285,12 +285,12 @@ def j2_match_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", F.col("match_standard_name").alias("standard_name"), "matched_by")
 
 
-@query("""WITH p AS (SELECT DISTINCT p_name FROM part), s AS (SELECT DISTINCT concat(p_name, ' ', p_brand) AS s FROM part WHERE p_partkey % 7 = 0)
+@query("""WITH p AS (SELECT DISTINCT upper(concat(p_name, ' ', p_brand)) AS p_name FROM part), s AS (SELECT DISTINCT concat(p_name, ' ', p_brand) AS s FROM part)
 SELECT p_name AS name, min(s) AS standard_name FROM p JOIN s ON contains(lower(s), lower(p_name)) GROUP BY p_name HAVING count(*) = 1""")
 def j3_match_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = derive.table(spark, sf_dir, "part")
-    standard = part.where("p_partkey % 7 = 0").select(F.concat_ws(" ", "p_name", "p_brand").alias("standard_name")).distinct()
-    return match.match_fuzzy(part.select(F.col("p_name").alias("name")), standard)
+    standard = part.select(F.concat_ws(" ", "p_name", "p_brand").alias("standard_name")).distinct()
+    return match.match_fuzzy(standard.select(F.upper("standard_name").alias("name")), standard)
 
 
 @query(f"""WITH {NAMED} SELECT event_id, display AS name, std AS standard_name, tvg AS tvg_id,

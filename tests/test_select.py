@@ -205,3 +205,31 @@ def test_whole_run(spark, tmp_path):
     assert (summary.total_selected, summary.catalog_count, summary.more_count, summary.failed) == (5, 3, 1, False)
     files = {r.file: r.entries for r in quality.file_overview(quality.read_lines(spark, str(tmp_path / "out" / "playlists"))).collect()}
     assert files == {"live.m3u": 2, "live_cctv.m3u": 1, "live_weishi.m3u": 1, "live_radio.m3u": 1, "live_local.m3u": 0, "live_overseas.m3u": 0, "live_more.m3u": 1}
+
+
+@pytest.mark.parametrize("probing", [False, True])
+def test_a_run_validates_itself(spark, tmp_path, probing):
+    schema = "source_idx int, source string, url string, type string, region string, content string"
+    one = '#EXTM3U\n#EXTINF:-1 group-title="x",CCTV1 (HD)\nhttp://1\n#EXTINF:-1,某某台\nhttp://2\n#EXTINF:-1,Radio X\nhttp://3\n#EXTINF:-1,Foo TV\nhttp://4'
+    two = "G,#genre#\nCCTV-1,http://1\n湖南台,http://6"
+    payloads = spark.createDataFrame([(0, "iptv-org-cn", "", "m3u", "cn", one), (1, "b", "", "txt", "cn", two)], schema)
+    verdicts = spark.createDataFrame([(f"http://{k}", k != 6, 10 * k, "ok") for k in (1, 2, 3, 6)], "url string, alive boolean, latency_ms int, status string")
+    out = str(tmp_path / "out")
+    summary = jobs.run_catalogue(spark, payloads, *derive.dictionary(spark), out, verdicts if probing else None).first()
+    assert (summary.schema_version, summary.stage, summary.probe_enabled, summary.total) == (1, "probe" if probing else "collect", probing, summary.total_selected)
+    assert (summary.ok, summary.fail, summary.ratio) == ((4, 2, 66.7) if probing else (0, 0, 0.0))
+    checks = jobs.validate_run(spark, out).collect()
+    assert not [r for r in checks if r.severity == "fail" and not r.ok], checks
+    assert {r.check for r in checks} >= {"exists live.m3u", "exists live_more.m3u", "verified_exists", "dup_urls"}
+    lines = {(r.file, r.line) for r in quality.read_lines(spark, f"{out}/playlists").collect()}
+    if probing:
+        assert {x for f, x in lines if f == "live_verified.m3u" and not x.startswith("#")} == {"http://1", "http://2", "http://3"}
+    else:
+        assert not [f for f, _ in lines if f == "live_verified.m3u"]
+
+
+def test_match_fuzzy(spark):
+    channels = spark.createDataFrame([("CCTV-1",), ("CCTV-13",), ("湖南卫视",), ("Hunan TV",)], "standard_name string")
+    names = spark.createDataFrame([("cctv-13",), ("CCTV",), ("南卫",), ("湖",), ("unan",), ("",), (None,), ("t",), ("nothing here",)], "name string")
+    got = {tuple(r) for r in match.match_fuzzy(names, channels).collect()}
+    assert got == {("cctv-13", "CCTV-13"), ("南卫", "湖南卫视"), ("湖", "湖南卫视"), ("unan", "Hunan TV")}
