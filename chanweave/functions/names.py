@@ -71,25 +71,28 @@ def to_simplified(x: Column, traditional: str = TRADITIONAL, simplified: str = S
 
 
 def without_tags(raw: Column | str) -> Column:
-    """The steps before conversion to simplified characters. Null where the name is junk."""
+    """The steps before conversion to simplified characters. Empty where the name is junk."""
     x = strip(F.coalesce(F.col(raw) if isinstance(raw, str) else raw, F.lit("")))
     junk = is_junk_name(x)
     x = strip(strip_resolution(x))
     x = strip(strip_status(x))
     x = strip(strip_icons(x))
     x = strip(drop_empty_brackets(normalise_cctv(x)))
-    return F.when(~junk, F.regexp_replace(x, " {2,}", " "))
+    return F.when(junk, "").otherwise(F.regexp_replace(x, " {2,}", " "))
 
 
 def trimmed(x: Column) -> Column:
-    """The steps after conversion. Null where the name is shorter than two characters."""
-    x = trim_marks(x)
-    return F.when(F.length(x) >= LEAST_LENGTH, x)
+    """The steps after conversion. Empty where the name is shorter than two characters.
+
+    x occurs once: the filter on the result is pushed down, and every copy of x there would carry all steps of cleaning.
+    """
+    return F.regexp_replace(trim_marks(x), rf"(?s)\A.{{0,{LEAST_LENGTH - 1}}}\z", "")
 
 
 def clean_channel_name(raw: Column | str, traditional: str = TRADITIONAL, simplified: str = SIMPLIFIED) -> Column:
     """Null where the name is junk or shorter than two characters at the end."""
-    return trimmed(to_simplified(without_tags(raw), traditional, simplified))
+    clean = trimmed(to_simplified(without_tags(raw), traditional, simplified))
+    return F.when(clean != "", clean)
 
 
 def character_table(characters: DataFrame | None) -> tuple[str, str]:
@@ -108,11 +111,11 @@ def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame |
     names = entries.select(F.coalesce(F.col(name), F.lit("")).alias("__raw")).distinct()
     traditional, simplified = character_table(characters)
     if phrases is None:
-        names = names.select("__raw", clean_channel_name("__raw", traditional, simplified).alias("__clean"))
+        names = names.select("__raw", trimmed(to_simplified(without_tags("__raw"), traditional, simplified)).alias("__clean"))
     else:
         names = simplify_phrases(names.select("__raw", without_tags("__raw").alias("__clean")), phrases, "__clean", traditional, simplified)
         names = names.withColumn("__clean", trimmed(F.col("__clean")))
-    joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names.where("__clean IS NOT NULL"), "__raw")
+    joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names.where("__clean <> ''"), "__raw")
     return joined.withColumn(name, F.col("__clean")).drop("__raw", "__clean")
 
 

@@ -1,4 +1,4 @@
-"""Merging guides: first channel per id, first programme per channel, start and title."""
+"""Merging guides: first channel per id, first programme per channel, start and title; elements are kept whole."""
 
 from __future__ import annotations
 
@@ -13,9 +13,9 @@ def _first(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 
 def merge_guide_channels(channels: DataFrame) -> DataFrame:
-    return _first(channels.where(F.coalesce("id", F.lit("")) != ""), ["id"], ["display_name"])
+    return _first(channels.where(F.coalesce("id", F.lit("")) != ""), ["id"], ["display_name", "element"])
 
 
 def merge_guide_programmes(programmes: DataFrame) -> DataFrame:
     keyed = programmes.withColumns({c: F.coalesce(c, F.lit("")) for c in ("channel", "start", "title")})
-    return _first(keyed, ["channel", "start", "title"], ["stop"])
+    return _first(keyed, ["channel", "start", "title"], ["stop", "element"])

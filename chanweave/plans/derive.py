@@ -99,6 +99,30 @@ def named_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(raw_names(spark), "k").drop("k")
 
 
+#: Stations numbered from events: raw names in several disguises and what they clean to, and a dictionary from customers.
+STATION_NUMBER = "CAST((event_id - event_id % 4) / 4 AS BIGINT)"
+STATION_SQL = f"""
+SELECT event_id, number, region, '' AS group_title, '' AS tvg_id,
+       CASE WHEN event_id % 31 = 0 THEN concat('#EXTINF', number) WHEN event_id % 7 = 1 THEN concat(base, ' [1080P]') WHEN event_id % 7 = 2 THEN concat('[HD] ', base)
+            WHEN event_id % 7 = 3 THEN concat(base, ' [失效]') WHEN event_id % 7 = 4 THEN concat('— ', base, ' —') WHEN event_id % 7 = 5 THEN concat(base, ' (720p)  [icon]') ELSE base END AS raw
+FROM (SELECT event_id, number, region, CASE number % 3 WHEN 0 THEN concat('CCTV', number) WHEN 1 THEN concat('鳳凰', number, '衛視') ELSE concat('Kanal  ', number) END AS base
+      FROM (SELECT event_id, {STATION_NUMBER} AS number, {REGION_SQL} AS region FROM events))"""
+DICTIONARY_SQL = """
+SELECT c_custkey AS ord, CASE c_custkey % 3 WHEN 0 THEN concat('CCTV-', c_custkey) WHEN 1 THEN concat('凤凰', c_custkey, '卫视') ELSE concat('Station ', c_custkey) END AS standard_name,
+       CASE WHEN c_nationkey % 2 = 0 THEN 'cctv' ELSE 'gangtai' END AS category, concat('T', c_custkey) AS tvg_id,
+       CASE WHEN c_custkey % 5 = 0 THEN '' ELSE concat('D', c_custkey) END AS display_name, '' AS group_title FROM customer"""
+STATION_ALIAS_SQL = "SELECT concat('Kanal ', c_custkey) AS alias, concat('Station ', c_custkey) AS standard_name FROM customer"
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_events(spark, sf_dir, STATION_SQL).withColumn("name", F.col("raw")).withColumnRenamed("region", "source_region")
+
+
+def station_dictionary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    customer = table(spark, sf_dir, "customer")
+    return tuple(spark.sql(sql.replace("FROM customer", "FROM {customer}"), customer=customer) for sql in (DICTIONARY_SQL, STATION_ALIAS_SQL))
+
+
 def playlist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Playlist texts made of events, one per user and type: every third event has a group line, every fifth a stray address."""
     lines = """concat_ws('\n',
@@ -148,9 +172,10 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One guide per user: a channel and a programme per event; some ids and titles repeat over documents."""
-    channel = "concat('<channel id=\"', CASE WHEN event_id % 29 = 0 THEN '' ELSE concat('c', event_id % 300) END, '\"><display-name>D', event_id, '</display-name></channel>')"
+    channel = "concat('<channel id=\"', CASE WHEN event_id % 29 = 0 THEN '' ELSE concat('c', event_id % 300) END, '\"><display-name>D', event_id, '</display-name><icon src=\"i', event_id % 9, '\"/></channel>')"
     programme = """concat('<programme start="', event_id % 50, '" stop="', event_id, '" channel="c', event_id % 20, '">',
-      CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('<title>T', event_id % 7, '</title><title>second</title>') END, '</programme>')"""
+      CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('<title>T', event_id % 7, '</title><title>second</title>') END,
+      CASE WHEN event_id % 5 = 0 THEN '' ELSE concat('<desc lang="zh">about ', event_id, ' &amp; more</desc><category>k', event_id % 4, '</category>') END, '</programme>')"""
     rows = from_events(spark, sf_dir, f"SELECT user_id, event_id, {channel} AS c, {programme} AS p FROM events")
     docs = rows.groupBy(F.col("user_id").cast("int").alias("doc_idx")).agg(F.sort_array(F.collect_list(F.struct("event_id", "c", "p"))).alias("b"))
     part = lambda f: F.array_join(F.transform("b", lambda x: x[f]), "")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import scratch
 from ..functions import addresses, dims, names
@@ -128,7 +129,13 @@ GUIDE_CHANNELS = """SELECT user_id AS doc_idx, row_number() OVER (PARTITION BY u
 
 @query(GUIDE_PROGRAMMES)
 def s6_read_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_guides(derive.guide_documents(spark, sf_dir))[1]
+    return tables.read_guides(derive.guide_documents(spark, sf_dir))[1].drop("element")
+
+
+@query(f"SELECT g.*, concat('i', event_id % 9) AS icon FROM ({GUIDE_CHANNELS.replace('FROM events', ', event_id FROM events')}) g".replace("g.*", "doc_idx, elem_idx, id, display_name"))
+def s6_read_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    channels = tables.read_guides(derive.guide_documents(spark, sf_dir))[0]
+    return channels.select("doc_idx", "elem_idx", "id", "display_name", F.element_at("element.icon._src", 1).alias("icon"))
 
 
 @query(f"WITH {best(1)} SELECT target AS playlist, count(*) AS entries FROM tgt WHERE target <> 'dropped' GROUP BY target")
@@ -166,14 +173,18 @@ PROGRAMMES_MERGED = f"SELECT doc_idx, elem_idx, channel, start, stop, title FROM
 CHANNELS_MERGED = f"SELECT doc_idx, elem_idx, id, display_name FROM ({GUIDE_CHANNELS}) WHERE id <> '' QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_idx, elem_idx) = 1"
 
 
-@query(f"SELECT channel, start, stop FROM ({PROGRAMMES_MERGED})")
+@query(f"""SELECT channel, start, stop, CASE WHEN title <> '' THEN 'second' END AS second_title,
+CASE WHEN CAST(stop AS BIGINT) % 5 <> 0 THEN concat('about ', stop, ' & more') END AS about, CASE WHEN CAST(stop AS BIGINT) % 5 <> 0 THEN 'zh' END AS lang,
+CASE WHEN CAST(stop AS BIGINT) % 5 <> 0 THEN concat('k', CAST(stop AS BIGINT) % 4) END AS category FROM ({PROGRAMMES_MERGED})""")
 def s9_write_guide(spark: SparkSession, sf_dir: str) -> DataFrame:
     channels, programmes = jobs.merge_guides(derive.guide_documents(spark, sf_dir))
     path = scratch.shared_folder(spark, "guide")
     sinks.write_guide(channels, programmes, path)
-    schema = "_channel string, _start string, _stop string, title string"
+    schema = StructType.fromDDL(f"programme {tables.PROGRAMME_ELEMENT}")["programme"].dataType
     read = spark.read.format("xml").option("rowTag", "programme").schema(schema).load(f"{path}/programmes")
-    return read.select(F.col("_channel").alias("channel"), F.col("_start").alias("start"), F.col("_stop").alias("stop"))
+    fields = [F.col(f"_{c}").alias(c) for c in ("channel", "start", "stop")]
+    first = lambda c, k=1: F.try_element_at(F.col(c), F.lit(k))
+    return read.select(*fields, first("title._VALUE", 2).alias("second_title"), first("desc._VALUE").alias("about"), first("desc._lang").alias("lang"), first("category._VALUE").alias("category"))
 
 
 SUMMARY = f"WITH {best(1)} SELECT count(*) AS total_selected, count(*) FILTER (target = 'catalog') AS catalog_count, count(*) FILTER (target = 'more') AS more_count FROM tgt"
@@ -285,6 +296,34 @@ def j2_match_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", F.col("match_standard_name").alias("standard_name"), "matched_by")
 
 
+STATION = f"""st AS (SELECT event_id, region, CASE number % 3 WHEN 0 THEN concat('CCTV-', number) WHEN 1 THEN concat('凤凰', number, '卫视') ELSE concat('Kanal ', number) END AS clean, number
+  FROM (SELECT event_id, {derive.REGION_SQL} AS region, event_id // 4 AS number FROM events) WHERE event_id % 31 <> 0),
+sm AS (SELECT st.*, d.standard_name AS std, d.category AS cat, d.tvg_id AS tvg, d.display_name AS display FROM st LEFT JOIN ({derive.DICTIONARY_SQL}) d ON st.number = d.ord)"""
+
+
+@query(f"WITH {STATION} SELECT event_id, clean AS name FROM st")
+def f5_clean_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that grow with the table; the examples are in f5_clean_channels."""
+    return names.clean_channels(derive.stations(spark, sf_dir)).select("event_id", "name")
+
+
+@query(f"WITH {STATION} SELECT event_id, std AS standard_name, CASE WHEN number % 3 = 2 THEN 'alias' ELSE 'exact' END AS matched_by FROM sm WHERE std IS NOT NULL")
+def j2_match_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact and alias matches against a dictionary that grows with the table."""
+    cleaned = names.clean_channels(derive.stations(spark, sf_dir))
+    found = match.match_channels(cleaned, *derive.station_dictionary(spark, sf_dir)).where("matched_by IS NOT NULL")
+    return found.select("event_id", F.col("match_standard_name").alias("standard_name"), "matched_by")
+
+
+@query(f"""WITH {STATION}, r AS (SELECT *, CASE number % 3 WHEN 0 THEN 'cctv' WHEN 1 THEN 'weishi' ELSE 'overseas' END AS ruled FROM sm)
+SELECT event_id, CASE WHEN std IS NULL THEN clean WHEN display <> '' THEN display ELSE std END AS name, coalesce(std, '') AS standard_name, coalesce(tvg, '') AS tvg_id,
+CASE WHEN std IS NOT NULL THEN cat WHEN region = 'hotel' THEN 'special' WHEN region = 'overseas' AND number % 3 <> 1 THEN 'overseas' ELSE ruled END AS category FROM r""")
+def j4_classify_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary first, then rules and regions, over names that grow with the table."""
+    cleaned = names.clean_channels(derive.stations(spark, sf_dir))
+    return match.match_and_classify(cleaned, *derive.station_dictionary(spark, sf_dir)).select("event_id", "name", "standard_name", "tvg_id", "category")
+
+
 @query("""WITH p AS (SELECT DISTINCT upper(concat(p_name, ' ', p_brand)) AS p_name FROM part), s AS (SELECT DISTINCT concat(p_name, ' ', p_brand) AS s FROM part)
 SELECT p_name AS name, min(s) AS standard_name FROM p JOIN s ON contains(lower(s), lower(p_name)) GROUP BY p_name HAVING count(*) = 1""")
 def j3_match_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -485,12 +524,12 @@ def w7_dead_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CHANNELS_MERGED)
 def w8_merge_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[0]
+    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[0].drop("element")
 
 
 @query(PROGRAMMES_MERGED)
 def w9_merge_guide_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[1]
+    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[1].drop("element")
 
 
 @query(f"SELECT source_idx, row_number() OVER (PARTITION BY name ORDER BY source_idx) AS use FROM ({derive.REGISTRY_SQL}) WHERE name <> '' QUALIFY use > 1")

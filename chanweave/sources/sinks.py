@@ -28,13 +28,10 @@ def write_playlists(lines: DataFrame, path: str) -> None:
 
 
 def write_guide(channels: DataFrame, programmes: DataFrame, path: str) -> None:
-    """Channels and programmes as XML, in two folders."""
-    channels.select(F.col("id").alias("_id"), F.col("display_name").alias("display-name")).write.mode("overwrite").format("xml").options(
-        rootTag="tv", rowTag="channel"
-    ).save(f"{path}/channels")
-    programmes.select(F.col("channel").alias("_channel"), F.col("start").alias("_start"), F.col("stop").alias("_stop"), "title").write.mode("overwrite").format(
-        "xml"
-    ).options(rootTag="tv", rowTag="programme").save(f"{path}/programmes")
+    """Whole elements as XML in two folders. Every part is a document; parts follow the order of documents and elements."""
+    for rows, tag in ((channels, "channel"), (programmes, "programme")):
+        ordered = rows.orderBy("doc_idx", "elem_idx").select("element.*")
+        ordered.write.mode("overwrite").format("xml").options(rootTag="tv", rowTag=tag).save(f"{path}/{tag}s")
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -10,10 +10,25 @@ from .playlists import is_guide_payload
 
 CHANNEL_SCHEMA = "standard_name string, category string, group_title string, tvg_id string, display_name string"
 REGISTRY_SCHEMA = "source_idx int, name string, url string, type string, enabled boolean, region string"
-GUIDE_SCHEMA = (
-    "channel array<struct<_id:string,`display-name`:array<struct<_VALUE:string>>>>, "
-    "programme array<struct<_start:string,_stop:string,_channel:string,title:array<struct<_VALUE:string>>>>"
+# Elements and attributes of the XMLTV format, in the order of its document type.
+_TEXT = "array<struct<_lang:string,_VALUE:string>>"
+_ICON = "array<struct<_src:string,_width:string,_height:string,_VALUE:string>>"
+_PERSON = "array<string>"
+_RATING = f"array<struct<_system:string,value:string,icon:{_ICON}>>"
+CHANNEL_ELEMENT = f"struct<_id:string,`display-name`:{_TEXT},icon:{_ICON},url:array<string>>"
+PROGRAMME_ELEMENT = (
+    "struct<_start:string,_stop:string,`_pdc-start`:string,`_vps-start`:string,_showview:string,_videoplus:string,_channel:string,_clumpidx:string,"
+    f"title:{_TEXT},`sub-title`:{_TEXT},desc:{_TEXT},"
+    f"credits:struct<director:{_PERSON},actor:array<struct<_role:string,_VALUE:string>>,writer:{_PERSON},adapter:{_PERSON},producer:{_PERSON},"
+    f"composer:{_PERSON},editor:{_PERSON},presenter:{_PERSON},commentator:{_PERSON},guest:{_PERSON}>,"
+    f"date:string,category:{_TEXT},keyword:{_TEXT},language:{_TEXT},`orig-language`:{_TEXT},length:struct<_units:string,_VALUE:string>,"
+    f"icon:{_ICON},url:array<string>,country:{_TEXT},`episode-num`:array<struct<_system:string,_VALUE:string>>,"
+    "video:struct<present:string,colour:string,aspect:string,quality:string>,audio:struct<present:string,stereo:string>,"
+    f"`previously-shown`:struct<_start:string,_channel:string,_VALUE:string>,premiere:{_TEXT},`last-chance`:{_TEXT},new:string,"
+    f"subtitles:array<struct<_type:string,language:{_TEXT}>>,rating:{_RATING},`star-rating`:{_RATING},"
+    "review:array<struct<_type:string,_source:string,_reviewer:string,_lang:string,_VALUE:string>>>"
 )
+GUIDE_SCHEMA = f"channel array<{CHANNEL_ELEMENT}>, programme array<{PROGRAMME_ELEMENT}>"
 
 
 def read_dictionary(spark: SparkSession, channels: str, aliases: str) -> tuple[DataFrame, DataFrame]:
@@ -45,18 +60,17 @@ def disabled_sources(registry: DataFrame) -> DataFrame:
 
 
 def read_guides(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_idx, xml) -> channels (doc_idx, elem_idx, id, display_name) and programmes (doc_idx, elem_idx, channel, start, stop, title).
+    """(doc_idx, xml) -> channels (doc_idx, elem_idx, id, display_name, element) and programmes (doc_idx, elem_idx, channel,
+    start, stop, title, element). `element` is the whole element with all fields of the format.
 
     Text that is no guide or does not parse gives no rows. Only direct children of the root count.
     """
     options = {"ignoreSurroundingSpaces": "false"}
     parsed = documents.where(is_guide_payload("xml")).select("doc_idx", F.from_xml("xml", GUIDE_SCHEMA, options).alias("tv"))
-    channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "c"))
-    names = F.try_element_at(F.col("c.`display-name`._VALUE"), F.lit(1))
-    channels = channels.select("doc_idx", "elem_idx", F.col("c._id").alias("id"), names.alias("display_name"))
-    programmes = parsed.select("doc_idx", F.posexplode("tv.programme").alias("elem_idx", "p"))
-    title = F.coalesce(F.try_element_at(F.col("p.title._VALUE"), F.lit(1)), F.lit(""))
-    programmes = programmes.select(
-        "doc_idx", "elem_idx", F.col("p._channel").alias("channel"), F.col("p._start").alias("start"), F.col("p._stop").alias("stop"), title.alias("title")
-    )
-    return channels, programmes
+    channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "element"))
+    names = F.try_element_at(F.col("element.`display-name`._VALUE"), F.lit(1))
+    channels = channels.select("doc_idx", "elem_idx", F.col("element._id").alias("id"), names.alias("display_name"), "element")
+    programmes = parsed.select("doc_idx", F.posexplode("tv.programme").alias("elem_idx", "element"))
+    title = F.coalesce(F.try_element_at(F.col("element.title._VALUE"), F.lit(1)), F.lit(""))
+    fields = [F.col(f"element._{c}").alias(c) for c in ("channel", "start", "stop")]
+    return channels, programmes.select("doc_idx", "elem_idx", *fields, title.alias("title"), "element")

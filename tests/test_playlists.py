@@ -3,7 +3,10 @@
 import random
 import re
 
+from pyspark.sql.types import StructType
+
 from chanweave.operators import quality
+from chanweave.plans import jobs
 from chanweave.sources import playlists, sinks, tables
 
 SCHEMA = "source_idx int, source string, url string, type string, region string, content string"
@@ -110,3 +113,30 @@ def test_guides(spark):
     channels, programmes = tables.read_guides(docs)
     assert [(r.elem_idx, r.id, r.display_name) for r in channels.orderBy("elem_idx").collect()] == [(0, "c1", "One"), (1, "", None)]
     assert [(r.channel, r.start, r.title) for r in programmes.orderBy("elem_idx").collect()] == [("c1", "1", "T"), ("c1", "1", "")]
+
+
+def test_guides_keep_whole_elements(spark, tmp_path):
+    text = (
+        '<tv><channel id="c1"><display-name lang="zh">One &amp; two</display-name><display-name>Uno</display-name><icon src="http://h/i?a=1&amp;b=2"/><url>u</url></channel>'
+        '<channel id="c2"/><programme start="1" stop="2" channel="c1" showview="9"><title lang="en">T</title><title>U</title><sub-title>S</sub-title><desc lang="zh">a &lt; b</desc>'
+        '<credits><director>D</director><actor role="r">N</actor><actor>M</actor></credits><category>k</category><category lang="en">l</category>'
+        '<length units="minutes">60</length><episode-num system="onscreen">S1</episode-num><new/><rating system="x"><value>PG</value></rating></programme>'
+        '<programme start="1" stop="3" channel="c1"><title>T</title><desc>later</desc></programme></tv>'
+    )
+    docs = spark.createDataFrame([(0, text), (1, text)], "doc_idx int, xml string")
+    channels, programmes = jobs.merge_guides(docs)
+    sinks.write_guide(channels, programmes, str(tmp_path / "guide"))
+    load = lambda tag, fields: spark.read.format("xml").option("rowTag", tag).schema(StructType.fromDDL(f"x {fields}")["x"].dataType).load(str(tmp_path / "guide" / f"{tag}s"))
+    assert sorted(r.id for r in channels.collect()) == ["c1", "c2"]
+    first = load("channel", tables.CHANNEL_ELEMENT).where("_id = 'c1'").first()
+    assert [(n["_lang"], n["_VALUE"]) for n in first["display-name"]] == [("zh", "One & two"), (None, "Uno")]
+    assert (first.icon[0]["_src"], first.url) == ("http://h/i?a=1&b=2", ["u"])
+    kept = load("programme", tables.PROGRAMME_ELEMENT).collect()
+    assert len(kept) == 1
+    p = kept[0].asDict(recursive=True)
+    assert (p["_stop"], p["_showview"], [t["_VALUE"] for t in p["title"]], p["sub-title"][0]["_VALUE"]) == ("2", "9", ["T", "U"], "S")
+    assert (p["desc"], p["credits"]["director"]) == ([{"_lang": "zh", "_VALUE": "a < b"}], ["D"])
+    assert [(a["_role"], a["_VALUE"]) for a in p["credits"]["actor"]] == [("r", "N"), (None, "M")]
+    assert [c["_VALUE"] for c in p["category"]] == ["k", "l"]
+    assert (p["length"], p["episode-num"][0]["_VALUE"], p["rating"][0]["value"]) == ({"_units": "minutes", "_VALUE": "60"}, "S1", "PG")
+    assert p["new"] is not None and p["premiere"] is None
