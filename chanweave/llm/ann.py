@@ -4,8 +4,10 @@ Equal vectors are one node (named by their least id), so a vector shared by a th
 first graph comes from random-projection leaves: hyperplane trees fitted on a bounded sample (`SAMPLE` rows, a documented
 bound) send every row to a leaf, and rows of a leaf, in chunks of bounded size, are compared. NN-descent then joins
 neighbours of neighbours: every node's list, forward and sampled reverse, meets with the vectors attached, new pairs are
-compared in a numpy block, and only pairs that improve one of the two lists are sent on. The reverse sample bounds what a
-hub collects; sampling is part of the method, and every row is in the graph.
+compared in a numpy block, and only pairs that improve one of the two lists are sent on. Lists without a new entry stay
+out before vectors are attached, so later rounds move little. Rounds end when at most `STOP` of all entries are new; there
+is no bound on their number. The reverse sample bounds what a hub collects; sampling is part of the method, and every row
+is in the graph. The graph is built from vectors in single precision; scores come from the original ones.
 
 Queries are searched together. Each hop expands the nearest unexpanded nodes of each query's beam by one join with the
 graph and one with the vectors, and stops when no beam has an unexpanded node. The frontier is broadcast only while its
@@ -15,7 +17,7 @@ distances in double precision on the original vectors.
 Defined cases: null, zero, empty and non-finite vectors, vectors with a null component, and vectors whose length is not
 the table's commonest take no part, as query or candidate; null ids take no part; rows that repeat id and vector count
 once; ties go to the smaller id; with fewer candidates than asked for, all are returned; an empty table gives an empty
-result.
+result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, read, release
 
 SAMPLE, LEAF, TREES = 4096, 256, 8
-DEGREE, REVERSE, ROUNDS = 16, 12, 2
-BEAM, A_HOP = 48, 8
+DEGREE, REVERSE, STOP = 32, 32, 0.02
+BEAM, A_HOP = 256, 32
 BROADCAST_BYTES = 32 << 20
 
 
@@ -49,8 +51,25 @@ def _pack_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"vec_id": batch["vec_id"], "vec": [(np.asarray(x, dtype=np.float64) + 0.0).tobytes() for x in batch["v"]]})
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1) if len(vectors) else np.empty((0, 0))
+def _matrix(vectors, kind: type = np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vectors), -1).astype(np.float64) if len(vectors) else np.empty((0, 0))
+
+
+def _narrow(nodes: DataFrame) -> DataFrame:
+    """(id, vec) in single precision, divided by the table's largest component, so that no value overflows."""
+
+    def largest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"x": [np.abs(_matrix(batch["vec"].tolist())).max(initial=0.0)]})
+
+    most = nodes.mapInPandas(largest, "x double").agg(F.max("x")).first()[0] or 1.0
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = (_matrix(batch["vec"].tolist()) / most).astype(np.float32)
+            yield pd.DataFrame({"id": batch["id"], "vec": [row.tobytes() for row in x]})
+
+    return nodes.mapInPandas(narrow, "id long, vec binary")
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -85,11 +104,11 @@ def _first_graph(nodes: DataFrame, count: int, degree: int, trees: int) -> DataF
     """(u, v, d): for each node the nearest rows of its leaves."""
     depth = max(0, int(np.ceil(np.log2(max(1, count) / LEAF))))
     sample = nodes.orderBy(F.xxhash64("id")).limit(SAMPLE).select("vec").collect()
-    planes = _fit_trees(_matrix([r["vec"] for r in sample]), depth, trees if depth else 1)
+    planes = _fit_trees(_matrix([r["vec"] for r in sample], np.float32), depth, trees if depth else 1)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = _matrix(batch["vec"].tolist())
+            x = _matrix(batch["vec"].tolist(), np.float32)
             for tree, levels in enumerate(planes):
                 at = np.zeros(len(x), dtype=np.int64)
                 for plane, cuts in levels:
@@ -99,7 +118,7 @@ def _first_graph(nodes: DataFrame, count: int, degree: int, trees: int) -> DataF
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ids, vectors in zip(batch["ids"], batch["vecs"], strict=True):
-                ids, x = np.asarray(ids), _matrix(list(vectors))
+                ids, x = np.asarray(ids), _matrix(list(vectors), np.float32)
                 d = squared(x, x)
                 np.fill_diagonal(d, np.inf)
                 k = min(degree, len(ids) - 1)
@@ -128,16 +147,17 @@ def _descend(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, turn
     place = F.row_number().over(Window.partitionBy("c").orderBy(F.xxhash64("m", F.lit(turn)), "m"))
     back = back.withColumn("place", place).where(F.col("place") <= reverse).drop("place")
     lists = graph.select(F.col("u").alias("c"), F.col("v").alias("m"), "new").union(back)
-    lists = lists.groupBy("c", "m").agg(F.max("new").alias("new"))
+    lists = lists.repartition("c").groupBy("c", "m").agg(F.max("new").alias("new"))
+    lists = lists.withColumn("any", F.max("new").over(Window.partitionBy("c"))).where("any").drop("any")
     worst = graph.groupBy("u").agg(F.when(F.count(F.lit(1)) >= degree, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
     attached = nodes.join(worst.withColumnRenamed("u", "id"), "id").select(F.col("id").alias("m"), "vec", "worst")
-    met = lists.join(attached, "m").groupBy("c").agg(F.collect_list(F.struct("m", "new", "worst", "vec")).alias("l"), F.max("new").alias("any")).where("any")
+    met = lists.join(attached, "m").groupBy("c").agg(F.collect_list(F.struct("m", "new", "worst", "vec")).alias("l"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             us, vs, ds = [], [], []
             for ids, new, worst, vectors in zip(batch["ids"], batch["news"], batch["worsts"], batch["vecs"], strict=True):
-                ids, new, worst, x = np.asarray(ids), np.asarray(new, dtype=bool), np.asarray(worst), _matrix(list(vectors))
+                ids, new, worst, x = np.asarray(ids), np.asarray(new, dtype=bool), np.asarray(worst), _matrix(list(vectors), np.float32)
                 d = squared(x, x)
                 tried = (new[:, None] | new[None, :]) & (d < worst[:, None])
                 np.fill_diagonal(tried, False)
@@ -152,11 +172,19 @@ def _descend(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, turn
     return _nearest(graph.withColumn("new", F.lit(False)).unionByName(better), degree)
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, rounds: int = ROUNDS, trees: int = TREES) -> DataFrame:
-    """(id, vec) -> (id, vec, near): every node with its neighbours' ids, reverse ones included. Can be written and reread."""
-    graph = cut(_first_graph(nodes, nodes.count(), degree, trees))
-    for turn in range(rounds):
-        graph = cut(_descend(graph, nodes, degree, reverse, turn))
+def build_graph(nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, stop: float = STOP, trees: int = TREES) -> DataFrame:
+    """(id, vec) -> (id, vec, near): every node with its neighbours' ids, reverse ones included. Can be written and reread.
+
+    Each round lowers the sum of distances or changes nothing, so rounds end; stop = 1 leaves the first graph as it is.
+    """
+    small, turn = cut(_narrow(nodes)), 0
+    graph = cut(_first_graph(small, nodes.count(), degree, trees))
+    while True:
+        entries = graph.agg(F.count(F.lit(1)).alias("all"), F.count_if("new").alias("new")).first()
+        if entries["new"] <= stop * entries["all"]:
+            break
+        before, graph, turn = graph, cut(_descend(graph, small, degree, reverse, turn)), turn + 1
+        release(before)
     back = graph.select(F.col("v").alias("id"), F.col("u").alias("to"), F.row_number().over(Window.partitionBy("v").orderBy("d", "u")).alias("place"))
     links = graph.select(F.col("u").alias("id"), F.col("v").alias("to")).union(back.where(F.col("place") <= reverse).select("id", "to"))
     return nodes.join(links.groupBy("id").agg(F.collect_set("to").alias("near")), "id", "left")
@@ -192,22 +220,26 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop
     state = queries.select("q", "qvec", none.alias("ids"), none.cast("array<double>").alias("ds"), none.alias("done"), F.array("entry").alias("todo"))
     reached = state.select("q", F.explode("todo").alias("v"))
     fields = F.struct("qvec", "ids", "ds", "done").alias("s")
+    before = None
     while True:
         # State and finds meet in one shuffle by query.
         found = hint(reached).join(vectors, "v").select("q", F.lit(None).alias("s"), F.struct("v", "vec").alias("f"))
         both = state.select("q", fields, F.lit(None).alias("f")).union(found).groupBy("q").agg(F.first("s", ignorenulls=True).alias("s"), F.collect_list("f").alias("found"))
         state = cut(both.select("q", "s.*", "found").mapInPandas(lambda b: _hop(b, beam, a_hop), state_schema))
+        if before is not None:
+            release(before)
+        before = state
         frontier = state.select("q", F.explode("todo").alias("e"))
         if frontier.isEmpty():
             return state.select("q", F.slice("ids", 1, k).alias("ids"), F.slice("ds", 1, k).alias("ds"))
         reached = hint(frontier).join(links, "e").select("q", F.explode("near").alias("v"))
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", stop: float = STOP, trees: int = TREES) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest other rows of each row where `is_query` (over vec_id) holds."""
     usable = cut(_usable(rows, vec_id, vector).mapInPandas(_pack_rows, "vec_id long, vec binary").distinct())
     nodes = cut(usable.groupBy("vec").agg(F.min("vec_id").alias("id")).select("id", "vec"))
-    index = cut(build_graph(nodes))
+    index = cut(build_graph(nodes, stop=stop, trees=trees))
     member = usable.join(nodes, "vec").select("id", "vec_id")
     asked = cut(member.where(is_query))
     queries = asked.select("id").distinct().join(nodes, "id").select(F.col("id").alias("q"), F.col("vec").alias("qvec"), F.col("id").alias("entry"))

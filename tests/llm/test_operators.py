@@ -159,6 +159,34 @@ def test_ann_recall_and_scores(spark):
     assert hits >= 0.95 * 10 * len(got)
 
 
+def test_ann_descent_raises_recall(spark):
+    """From the leaves of two trees (those of one are separate graphs) rounds find most of what the leaves cut apart."""
+    x = np.random.default_rng(5).normal(size=(2500, 12))
+    nodes = ann.cut(spark.createDataFrame([(k, v.tobytes()) for k, v in enumerate(x)], "id long, vec binary"))
+    d = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    want = [set(row) for row in np.argsort(d, axis=1)[:, :10].tolist()]
+
+    def recall(stop):
+        near = {r.id: set(r.near) for r in ann.build_graph(nodes, stop=stop, trees=2).collect()}
+        assert sorted(near) == list(range(2500))
+        return sum(len(want[k] & near[k]) for k in near) / 25000
+
+    first, last = recall(1.0), recall(ann.STOP)
+    assert first < 0.7 and last > 0.95, (first, last)
+
+
+def test_ann_magnitudes(spark):
+    """Very large, very small and negative components overflow nothing."""
+    x = np.random.default_rng(6).normal(size=(600, 8))
+    for scale in (1e150, 1e-120):
+        df = spark.createDataFrame([(k, (v * scale).tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {r.vec_id for r in ann.nearest(df, F.col("vec_id") == 0).collect()}
+        d = ((x - x[0]) ** 2).sum(1)
+        d[0] = np.inf
+        assert len(got & set(np.argsort(d)[:10].tolist())) >= 9
+
+
 def test_ann_few_and_none(spark):
     df = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(4)], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, 2.0), (0, 3, 3, 3.0)]
