@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, exact_dedup, jaccard, langid, line_dedup, mixing, packing, pii, secrets, sharding
+from . import ann, conversations, exact_dedup, jaccard, langid, line_dedup, mixing, packing, pii, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_secrets": secrets.op8_secrets,
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op8_secrets": secrets.ORACLE_SQL,
     "op9_jaccard_join": jaccard.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op11_conversation_repair": conversations.ORACLE_SQL,
 }
