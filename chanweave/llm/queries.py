@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, conversations, exact_dedup, jaccard, langid, line_dedup, mixing, packing, pii, secrets, sharding
+from . import ann, collocations, conversations, embedding_dedup, exact_dedup, jaccard, langid, line_dedup, mixing, packing, pii, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_jaccard_join": jaccard.op9_jaccard_join,
     "op10_mixing": mixing.op10_mixing,
     "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_embedding_dedup": embedding_dedup.op12_embedding_dedup,
+    "op13_collocations": collocations.op13_collocations,
 }
 
 ORACLES = {
@@ -24,4 +26,6 @@ ORACLES = {
     "op9_jaccard_join": jaccard.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
     "op11_conversation_repair": conversations.ORACLE_SQL,
+    "op12_embedding_dedup": embedding_dedup.ORACLE_SQL,
+    "op13_collocations": collocations.ORACLE_SQL,
 }
