@@ -165,7 +165,7 @@ def compare(x: np.ndarray, y: np.ndarray | None, x_copies: np.ndarray, y_copies:
         near = np.triu(near)
     overflow = not all(np.isfinite(n).all() and (n > 1e-150).all() for n in lengths)
     for i, j in np.argwhere(near):
-        a, b = slice(i * LEAF, (i + 1) * LEAF), slice(j * LEAF, (j + 1) * LEAF)
+        a, b = (slice(k * LEAF, min((k + 1) * LEAF, len(side))) for k, side in ((i, x), (j, sides[other])))
         if (singles[0][a] @ singles[other][b].T).max() < cosine - SINGLE_MARGIN:
             continue
         if overflow:
