@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from .common import cut, read, text_of
 
 LEAST, TOP, COVERED, LONGEST = 30, 2000, 80, 4
-CHUNK = 8 << 20
-SLACK, PARTITION_MASS = 4, 16 << 20
+CHUNK = 4 << 20
+SLACK, PARTITION_MASS = 4, 8 << 20
 FILTER_BITS, LEAST_BITS, MASS_A_BIT = 30, 20, 16
-FLUSH_KEYS, TOP_PARTS = 16 << 20, 64
+FLUSH_KEYS, TOP_PARTS = 4 << 20, 64
 UNKNOWN = "und"
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -53,16 +53,17 @@ _KIND[list(BREAK)] = 2
 BASE, MODULUS = 0x9E3779B97F4A7C15, 1 << 64
 INVERSE = pow(BASE, -1, MODULUS)
 STEP = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[str, np.ndarray] = {}
+#: Bytes whose prefix sums are held at a time.
+BLOCK = 1 << 20
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(name: str, base: int, n: int) -> np.ndarray:
-    held = _POWERS.get(name)
-    if held is None or len(held) < n:
-        held = np.full(max(n, CHUNK), base, dtype=np.uint64)
+def _powers(base: int) -> np.ndarray:
+    if base not in _POWERS:
+        held = np.full(BLOCK, base, dtype=np.uint64)
         held[0] = 1
-        _POWERS[name] = held = np.multiply.accumulate(held)
-    return held[:n]
+        _POWERS[base] = np.multiply.accumulate(held)
+    return _POWERS[base]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -79,10 +80,9 @@ class Chunk:
         self.lang, self.skip = lang, skip
         data = np.frombuffer(raw.translate(LOWER) + b"\n", dtype=np.uint8)
         kind = _KIND[data]
-        word = np.concatenate(([0], (kind == 0).view(np.int8), [0]))
-        edge = np.diff(word)
+        edge = np.diff((kind == 0).view(np.int8), prepend=np.int8(0))  # the last byte is a break
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start] if len(self.start) else np.empty(0, np.int32)
+        self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.start).astype(np.int32)
         self.data = data
 
     def __len__(self) -> int:
@@ -90,8 +90,24 @@ class Chunk:
 
     def word_hashes(self) -> np.ndarray:
         seed = np.uint64(int.from_bytes(self.lang.encode()[:7], "little") * 2 + 1 & MODULUS - 1)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers("base", BASE, len(self.data)))))
-        own = (sums[self.end] - sums[self.start]) * _powers("inverse", INVERSE, len(self.data))[self.start]
+        own, before = np.empty(len(self), dtype=np.uint64), np.uint64(0)
+        heads, tails = (np.searchsorted(x, np.arange(0, len(self.data) + BLOCK, BLOCK)) for x in (self.start, self.end))
+        until = np.empty(len(self), dtype=np.uint64)
+        for k, at in enumerate(range(0, len(self.data), BLOCK)):
+            part = self.data[at : at + BLOCK].astype(np.uint64) + np.uint64(1)
+            part *= _powers(BASE)[: len(part)]
+            part *= np.uint64(pow(BASE, at, MODULUS))
+            sums = np.empty(len(part) + 1, dtype=np.uint64)  # of all bytes before each of the block's
+            sums[0] = before
+            np.cumsum(part, out=sums[1:])
+            sums[1:] += before
+            first, last = slice(heads[k], heads[k + 1]), slice(tails[k], tails[k + 1])
+            own[first], until[last] = sums[self.start[first] - at], sums[self.end[last] - at]
+            before = sums[-1]
+        own = until - own
+        for k, at in enumerate(range(0, len(self.data), BLOCK)):
+            first = slice(heads[k], heads[k + 1])
+            own[first] *= _powers(INVERSE)[self.start[first] - at] * np.uint64(pow(INVERSE, at, MODULUS))
         return mix(own ^ seed)
 
     def grams(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -115,3 +115,14 @@ def test_planes_and_filter():
         marks[int(s) >> 32, (int(s) & 0xFFFFFFFF) * 64 >> 32] = True
     wanted = col.tester(b"".join(np.packbits(m).tobytes() for m in marks), 64, 3)
     assert wanted(hashes[:20]).all() and not wanted(hashes[20:]).all()
+
+
+def test_word_hashes_do_not_depend_on_places(monkeypatch):
+    monkeypatch.setattr(col, "BLOCK", 8)
+    monkeypatch.setattr(col, "_POWERS", {})
+    chunk = col.Chunk("en", b"a bb a abcdefghijklmnopqrstuvw bb, a abcdefghijklmnopqrstuvw  a\nbb")
+    raw, of = chunk.data.tobytes(), {}
+    for a, b, h in zip(chunk.start, chunk.end, chunk.word_hashes().tolist(), strict=True):
+        assert of.setdefault(raw[a:b], h) == h
+    assert len(set(of.values())) == len(of) == 3
+    assert set(of.values()).isdisjoint(col.Chunk("fr", b"a bb").word_hashes().tolist())
