@@ -38,6 +38,8 @@ WORD = re.compile(r"[^\W\d_]")
 FOLD = np.array([c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)], dtype=np.uint8)
 BLOCK_DOCS, BLOCK_CHARS = 256, 1_000_000
 UNDETERMINED = "und"
+#: A text is noise if its share of known trigrams is, by three standard errors, under this part of the training texts' median.
+FLOOR, ERRORS = 0.5, 3
 
 
 @dataclass
@@ -45,6 +47,7 @@ class Model:
     languages: list[str]
     trigrams: np.ndarray  # V codes
     likelihood: np.ndarray  # V x languages, columns sum to 1
+    floor: float = 0.0  # least share of known trigrams of a text in some learned language
 
 
 def trigram_codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +97,17 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", per_language:
         for x in r["by_lang"]:
             likelihood[v, number[x["lang"]]] += x["n"]
     likelihood /= likelihood.sum(axis=0, keepdims=True) if len(table) else 1
-    return Model(languages, np.array([r["code"] for r in table], dtype=np.int64), likelihood.astype(np.float32))
+    codes = np.array([r["code"] for r in table], dtype=np.int64)
+    learned = np.sort(codes)
+
+    def shares_known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            owner, found = trigram_codes(batch["text"].tolist())
+            known = np.bincount(owner[np.isin(found, learned)], minlength=len(batch)) / np.maximum(1, np.bincount(owner, minlength=len(batch)))
+            yield pd.DataFrame({"known": known[np.array([has_letter(t) for t in batch["text"]], dtype=bool)]})
+
+    middle = sample.mapInPandas(shares_known, "known double").agg(F.median("known")).first()[0]
+    return Model(languages, codes, likelihood.astype(np.float32), (middle or 0.0) * FLOOR)
 
 
 def fit(counts: np.ndarray, likelihood: np.ndarray, shares: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,13 +148,24 @@ def infer(counts: np.ndarray, likelihood: np.ndarray, most: int = 4, steps: int
     return chosen
 
 
+def is_noise(known: np.ndarray, trigrams: np.ndarray, floor: float) -> np.ndarray:
+    """Whether the share of known trigrams is under the floor even at the upper end of its interval (Wilson's).
+
+    Trigrams overlap, so three of them count as one observation.
+    """
+    n = np.maximum(trigrams, 1) / 3
+    share, z = known / np.maximum(trigrams, 1), ERRORS**2 / n
+    return (share + z / 2 + np.sqrt(z * share * (1 - share) + z * z / 4)) / (1 + z) < floor
+
+
 def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str = "text") -> DataFrame:
-    """The columns `keep`, then lang_pred, score and languages (the selected shares, as "en:0.93,fr:0.07").
+    """The columns `keep`, then lang_pred, score, languages (the selected shares, as "en:0.93,fr:0.07") and noise (whether
+    so few trigrams are known that no learned language fits; short texts get the benefit of the doubt).
 
     A column in `keep` with the name of a result gives way to it.
     """
-    kept = docs.select(*keep).drop("lang_pred", "score", "languages").columns
-    names, trigrams, likelihood = np.array(model.languages, dtype=object), model.trigrams, model.likelihood
+    kept = docs.select(*keep).drop("lang_pred", "score", "languages", "noise").columns
+    names, trigrams, likelihood, floor = np.array(model.languages, dtype=object), model.trigrams, model.likelihood, model.floor
 
     def blocks(texts: list[str]) -> Iterator[list[str]]:
         lo = size = 0
@@ -154,42 +178,46 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
             yield texts[lo:]
 
     # Only the texts go to Python; what is kept stays in the JVM.
-    @F.pandas_udf("lang_pred string, score double, languages string")
+    @F.pandas_udf("lang_pred string, score double, languages string, noise boolean")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         place = np.full(1 << 24, -1, dtype=np.int16)
         place[trigrams] = np.arange(len(trigrams))
         for batch in batches:
-            langs, scores, listed = [], [], []
+            langs, scores, listed, noise = [], [], [], []
             for part in blocks([t or "" for t in batch]):
                 letters = [has_letter(t) for t in part]
                 if not len(names):
-                    letters, shares = [False] * len(part), np.zeros((len(part), 1))
+                    letters, shares, odd = [False] * len(part), np.zeros((len(part), 1)), np.zeros(len(part), dtype=bool)
                 else:
                     owner, codes = trigram_codes(part)
                     at = place[codes]
+                    odd = is_noise(np.bincount(owner[at >= 0], minlength=len(part)), np.bincount(owner, minlength=len(part)), floor)
                     owner, at = owner[at >= 0].astype(np.int64), at[at >= 0]
                     width = len(trigrams)
                     counts = np.bincount(owner * width + at, minlength=len(part) * width).reshape(len(part), width).astype(np.float32)
                     shares = infer(counts, likelihood)
+                noise += (odd & np.array(letters, dtype=bool)).tolist()
                 for has, row in zip(letters, shares, strict=True):
                     best = int(row.argmax())
                     langs.append(names[best] if has else UNDETERMINED)
                     scores.append(min(1.0, float(row[best])) if has else 0.0)
                     listed.append(",".join(f"{names[k]}:{row[k]:.2f}" for k in np.argsort(-row, kind="stable") if row[k] >= 0.005) if has else "")
-            yield pd.DataFrame({"lang_pred": langs, "score": scores, "languages": listed})
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "languages": listed, "noise": noise})
 
     rows = docs.select(*keep, F.col(text).alias("__text")).withColumn("__answer", answer("__text"))
     return rows.select(*[F.col(f"`{c}`") for c in kept], "__answer.*")
 
 
 def keep_known(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """The rows of `docs` whose language is determined; trained on their own labels.
+    """The rows of `docs` whose language is determined, a null one filled in; trained on their own labels.
 
-    The score takes no part: it is the share of one language, and a document may well be in several.
+    Texts without a letter and noise in letters of no learned language go. The score takes no part: it is the share of
+    one language, and a document may well be in several; all of its languages are known, so it stays.
     """
-    columns = docs.columns
-    inner = docs.select(F.struct(*columns).alias("row"), F.col(text).alias("text"))
-    return predict(inner, train(docs, lang, text), ["row"]).where(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    inner = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    kept = predict(inner, train(docs, lang, text), ["row"]).where((F.col("lang_pred") != UNDETERMINED) & ~F.col("noise"))
+    filled = {lang: F.coalesce(F.col("row")[lang], F.col("lang_pred")).alias(lang)}
+    return kept.select(*[filled.get(c, F.col("row")[c].alias(c)) for c in docs.columns])
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -199,4 +227,4 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = train(docs.where(~held_out()))
-    return predict(docs, model, ["doc_id", held_out().alias("held_out")])
+    return predict(docs, model, ["doc_id", held_out().alias("held_out")]).drop("noise")

@@ -40,6 +40,8 @@ from .common import cut, read, release, text_of
 MIN_WORDS = 50
 DOCUMENT = "doc_id long, hash long"
 NAMES = ["doc_id", "hash"]
+#: A line without blanks at its ends, matched once from its start: linear however long its blanks are.
+STRIPPED = r"(?sU)\A\s*(.*\S)?\s*\z"
 #: More lines than a text can have.
 ALL = (1 << 31) - 1
 
@@ -50,7 +52,7 @@ def _key(doc_id: str, text: str) -> Column:
 
 def line_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row per document: d, then hash, number of words and place of each line with words."""
-    lines = F.transform(F.split(text_of(text), "\n"), lambda x, k: F.struct(F.regexp_replace(x, r"(?U)^\s+|\s+$", "").alias("line"), k.alias("place")))
+    lines = F.transform(F.split(text_of(text), "\n"), lambda x, k: F.struct(F.regexp_extract(x, STRIPPED, 1).alias("line"), k.alias("place")))
     counted = F.transform(lines, lambda x: F.struct(F.xxhash64(x["line"]).alias("hash"), F.regexp_count(x["line"], F.lit(r"\S+")).cast("int").alias("words"), x["place"].alias("place")))
     rows = docs.select(_key(doc_id, text).alias("d"), F.filter(counted, lambda x: x["words"] > 0).alias("lines"))
     return rows.select("d", F.col("lines.hash").alias("hashes"), F.col("lines.words").alias("words"), F.col("lines.place").alias("places"))

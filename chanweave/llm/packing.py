@@ -32,7 +32,8 @@ from .common import cut, read
 
 LATIN_END = "\u0250"
 #: A run of white space this long goes to the tokenizers library: tiktoken's expression recurses over such runs.
-LONG_BLANK = re.compile(r"\s{20000}")
+LONG_BLANK = 20_000
+BLANKS = re.compile(r"\s{8,}")
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, offset long, bucket int"
 
 
@@ -61,8 +62,13 @@ class Encoder:
             return max(text) < LATIN_END
         return True
 
+    @staticmethod
+    def long_blank(text: str) -> bool:
+        """Each run is matched once and measured."""
+        return len(text) >= LONG_BLANK and any(m.end() - m.start() >= LONG_BLANK for m in BLANKS.finditer(text))
+
     def encode(self, text: str) -> bytes:
-        fast = self.fast and self.latin(text) and not (len(text) >= 20_000 and LONG_BLANK.search(text))
+        fast = self.fast and self.latin(text) and not self.long_blank(text)
         ids = self.fast(text) if fast else self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
