@@ -13,13 +13,14 @@ from chanweave.llm.common import delete, read, shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a determined language go: those without a letter. Documents in several languages stay."""
+    """Documents without a determined language go: those without a letter, and noise in letters of no learned language.
+    Documents in several languages stay. A null language is filled in."""
     return langid.keep_known(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated runs of lines go; a document with nothing left goes."""
-    marked = line_dedup.mark(docs, runs="__runs", clean="__clean").where(F.trim(F.coalesce("__clean", F.lit(""))) != "")
+    marked = line_dedup.mark(docs, runs="__runs", clean="__clean").where(F.col("__clean").rlike(r"(?U)\S"))
     new = {"text": F.col("__clean"), "n_chars": F.length("__clean").cast("long")}
     return marked.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
