@@ -14,7 +14,8 @@ from ..functions.names import strip
 
 LINE_BITS = 40
 ENTRY_COLUMNS = ("ord", "name", "url", "tvg_id", "tvg_name", "tvg_logo", "group_title", "source", "source_region")
-EXTINF = r"(?iuU)^#EXTINF\s*:\s*-?\d+\s*(?:[^,]*,)(.+)"
+# Marks of the playlist format, in any case; the name follows the first comma.
+EXTINF = r"(?iuU)^#EXTINF\s*+:\s*+-?\d++\s*+(?:[^,]*+,)(.+)"
 
 
 def read_payloads(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
