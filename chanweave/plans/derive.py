@@ -150,6 +150,25 @@ def txt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("source_idx", name.alias("source"), F.lit("").alias("url"), F.lit("txt").alias("type"), F.lit("cn").alias("region"), content.alias("content"))
 
 
+#: Lines of a few long lists: all events of a third of the users, in order of user and event.
+M3U_LINES = """filter(array(CASE WHEN event_id % 5 = 0 THEN 'http://stray.example.com/x' END,
+  concat('#EXTINF:-1 tvg-id="t', event_id % 10, '" group-title="g', event_id % 4, '",Name ', event_id),
+  CASE WHEN event_id % 3 = 0 THEN concat('#EXTGRP: late', event_id % 2) END, CASE WHEN event_id % 7 = 0 THEN '#EXTVLCOPT:http-user-agent=x' END,
+  concat('http://h.example.com/', event_id)), x -> x IS NOT NULL)"""
+TXT_LINES = """filter(array(CASE WHEN event_id % 64 = 0 THEN concat('G', event_id % 6, ',#genre#') END,
+  concat('Name ', event_id, ',', CASE WHEN event_id % 9 = 0 THEN 'rtp' ELSE 'http' END, '://h.example.com/', event_id, ',x'),
+  '# comment, http://no.example.com'), x -> x IS NOT NULL)"""
+
+
+def land_long_lists(spark: SparkSession, sf_dir: str, lines: str, kind: str, path: str) -> DataFrame:
+    """Write three lists, one file each, and give their registry."""
+    rows = from_events(spark, sf_dir, f"SELECT concat('l', user_id % 3) AS source, user_id, event_id, {lines} AS lines FROM events")
+    rows = rows.repartition("source").sortWithinPartitions("source", "user_id", "event_id")
+    rows.select("source", F.explode("lines").alias("value")).write.partitionBy("source").text(path)
+    source = F.concat(F.lit("l"), "id")
+    return spark.range(3).select(F.col("id").cast("int").alias("source_idx"), source.alias("name"), F.lit("").alias("url"), F.lit(kind).alias("type"), F.lit(True).alias("enabled"), F.lit("cn").alias("region"))
+
+
 PROBE_SQL = f"""
 SELECT event_id, {URL_SQL.replace("''", "concat('http://z/', event_id)")} AS url, CAST(CASE WHEN event_id % 19 = 0 THEN NULL WHEN event_id % 4 = 0 THEN 404 ELSE 200 END AS INT) AS head_status,
        CAST(CASE WHEN event_id % 10 = 0 THEN 500 ELSE 200 END AS INT) AS get_status,

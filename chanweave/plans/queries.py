@@ -75,14 +75,17 @@ SELECT user_id, 9 + sum(length(concat_ws(chr(10), CASE WHEN event_id % 5 = 0 THE
 FROM events GROUP BY user_id"""
 
 
-@query(f"SELECT concat('u', user_id) AS source, 'cn' AS region, CAST(n AS BIGINT) AS n_chars FROM ({BLOCK_LENGTH}) WHERE user_id % 3 <> 0")
+@query(f"""SELECT concat('u', user_id) AS source, 'cn' AS region, CASE WHEN user_id % 7 = 1 THEN {len(playlists.NOT_LANDED)} ELSE CAST(n AS BIGINT) END AS n_chars,
+user_id % 7 = 1 AS failed FROM ({BLOCK_LENGTH}) WHERE user_id % 3 <> 0""")
 def s1_read_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents are landed as files, then read with the registry of their sources (every third is disabled)."""
+    """Documents are landed as files, then read with the registry of their sources: every third is disabled, and of every
+    seventh nothing landed."""
     docs, path = derive.playlist_documents(spark, sf_dir), scratch.shared_folder(spark, "landing")
-    docs.select("source", "content").repartition("source").write.partitionBy("source").text(path)
+    docs.where("source_idx % 7 <> 1").select("source", "content").repartition("source").write.partitionBy("source").text(path)
     registry = docs.select("source_idx", F.col("source").alias("name"), "url", "type", "region", (F.col("source_idx") % 3 != 0).alias("enabled"))
     read = playlists.read_payloads(spark, path, registry, folders=True)
-    return read.select("source", "region", F.length(F.regexp_replace("content", "\n$", "")).cast("long").alias("n_chars"))
+    text = F.regexp_replace("content", "\n$", "")
+    return read.select("source", "region", F.length(text).cast("long").alias("n_chars"), playlists.is_error_payload("content").alias("failed"))
 
 
 M3U_ROWS = """SELECT user_id AS source_idx, concat('Name ', event_id) AS name, concat('http://h.example.com/', event_id) AS url,
@@ -107,6 +110,35 @@ def s3_parse_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(playlists.parse_txt(derive.txt_documents(spark, sf_dir)))
 
 
+def _landed(spark: SparkSession, sf_dir: str, lines: str, kind: str) -> DataFrame:
+    """Entries of long lists, read in splits so small that each list has several."""
+    path = scratch.shared_folder(spark, "lists")
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    small.conf.set("spark.sql.files.openCostInBytes", "1k")
+    entries = playlists.parse_landed(small, path, derive.land_long_lists(small, sf_dir, lines, kind, path), folders=True)
+    line_no = F.col("ord").bitwiseAND(F.lit((1 << playlists.LINE_BITS) - 1))
+    return entries.select(F.shiftright("ord", playlists.LINE_BITS).alias("source_idx"), line_no.alias("line_no"), "name", "url", "tvg_id", "group_title")
+
+
+@query("""SELECT CAST(user_id % 3 AS BIGINT) AS source_idx, CAST(sum(2 + CAST(event_id % 5 = 0 AS INT) + CAST(event_id % 3 = 0 AS INT) + CAST(event_id % 7 = 0 AS INT))
+    OVER (PARTITION BY user_id % 3 ORDER BY user_id, event_id) - 1 AS BIGINT) AS line_no, concat('Name ', event_id) AS name, concat('http://h.example.com/', event_id) AS url,
+  concat('t', event_id % 10) AS tvg_id, CASE WHEN event_id % 3 = 0 THEN concat('late', event_id % 2) ELSE concat('g', event_id % 4) END AS group_title FROM events""")
+def s2_parse_landed_m3u(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three long lists, each in several splits."""
+    return _landed(spark, sf_dir, derive.M3U_LINES, "m3u")
+
+
+@query("""SELECT source_idx, line_no, name, url, '' AS tvg_id, group_title FROM (
+  SELECT CAST(user_id % 3 AS BIGINT) AS source_idx, event_id, concat('Name ', event_id) AS name, concat('http://h.example.com/', event_id, ',x') AS url,
+    CAST(sum(2 + CAST(event_id % 64 = 0 AS INT)) OVER w - 2 AS BIGINT) AS line_no,
+    coalesce(last_value(CASE WHEN event_id % 64 = 0 THEN concat('G', event_id % 6) END IGNORE NULLS) OVER w, '') AS group_title
+  FROM events WINDOW w AS (PARTITION BY user_id % 3 ORDER BY user_id, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) WHERE event_id % 9 <> 0""")
+def s3_parse_landed_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with text lists, whose group headers lie far apart and are carried over splits."""
+    return _landed(spark, sf_dir, derive.TXT_LINES, "txt")
+
+
 def _mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even users as playlists, odd ones as text lists; every tenth fetch failed."""
     m3u, txt = derive.playlist_documents(spark, sf_dir).where("source_idx % 2 = 0"), derive.txt_documents(spark, sf_dir).where("source_idx % 2 = 1")
