@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A run of blanks is tried once, from its start (the lookbehind). Patterns carry (?U) so that \s, \d, \w and \b follow Unicode, whatever the Java version.
@@ -20,6 +21,8 @@ CCTV = r"(?iuU)\bCCTV\s*(\d+)((?:\s*[-—]\s*)?)"
 EMPTY_BRACKETS = r"(?U)\(\s*\)|\[\s*\]"
 EDGE_MARKS = "—\\-–\\s,，、"
 LEAST_LENGTH = 2
+#: A conversion table up to this size is sent to every task; an entry counts its texts and ROW_BYTES.
+TABLE_BYTES, ROW_BYTES = 32 << 20, 64
 
 # Traditional characters and their simplified forms, as far as channel names use them. Users with wider
 # needs pass tables of their own.
@@ -95,12 +98,11 @@ def clean_channel_name(raw: Column | str, traditional: str = TRADITIONAL, simpli
     return F.when(clean != "", clean)
 
 
-def character_table(characters: DataFrame | None) -> tuple[str, str]:
-    """The fixed characters and those of the table (traditional, simplified: one character each), which come first."""
-    table = dict(zip(TRADITIONAL, SIMPLIFIED, strict=True))
-    if characters is not None:
-        table |= {r["traditional"]: r["simplified"] for r in characters.select("traditional", "simplified").collect()}
-    return "".join(table), "".join(table.values())
+def _small(table: DataFrame) -> list[tuple[str, str]] | None:
+    """The rows of a conversion table, or None where they are over TABLE_BYTES: Spark measures them first."""
+    rows = table.select("traditional", "simplified").where("traditional <> '' AND simplified IS NOT NULL")
+    size = rows.agg(F.sum(F.octet_length("traditional") + F.octet_length("simplified") + ROW_BYTES)).first()[0] or 0
+    return [tuple(r) for r in rows.groupBy("traditional").agg(F.min("simplified")).collect()] if size <= TABLE_BYTES else None
 
 
 def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame | None = None, characters: DataFrame | None = None) -> DataFrame:
@@ -109,41 +111,92 @@ def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame |
     phrases, characters: (traditional, simplified) tables for the conversion, phrases first; characters add to the fixed ones.
     """
     names = entries.select(F.coalesce(F.col(name), F.lit("")).alias("__raw")).distinct()
-    traditional, simplified = character_table(characters)
-    if phrases is None:
-        names = names.select("__raw", trimmed(to_simplified(without_tags("__raw"), traditional, simplified)).alias("__clean"))
+    if phrases is None and characters is None:
+        names = names.select("__raw", trimmed(to_simplified(without_tags("__raw"))).alias("__clean"))
     else:
-        names = simplify_phrases(names.select("__raw", without_tags("__raw").alias("__clean")), phrases, "__clean", traditional, simplified)
+        names = simplify_phrases(names.select("__raw", without_tags("__raw").alias("__clean")), phrases, "__clean", characters)
         names = names.withColumn("__clean", trimmed(F.col("__clean")))
     joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names.where("__clean <> ''"), "__raw")
     return joined.withColumn(name, F.col("__clean")).drop("__raw", "__clean")
 
 
-def simplify_phrases(names: DataFrame, phrases: DataFrame, name: str = "name", traditional: str = TRADITIONAL, simplified: str = SIMPLIFIED) -> DataFrame:
-    """Phrase first (longest match from the left), then character by character.
+def conversion(phrases: DataFrame | None, characters: DataFrame | None, spark: SparkSession) -> DataFrame:
+    """One table (traditional, simplified): of a key's entries the phrase counts, then the character, then
+    the fixed one (the least, if a table has several)."""
+    fixed = spark.createDataFrame(list(zip(TRADITIONAL, SIMPLIFIED, strict=True)), "traditional string, simplified string")
+    tables = [t.select("traditional", "simplified") for t in (phrases, characters, fixed) if t is not None]
+    ranked = [t.withColumn("rank", F.lit(k)) for k, t in enumerate(tables)]
+    known = reduce(DataFrame.unionByName, ranked).where("traditional <> '' AND simplified IS NOT NULL")
+    return known.groupBy("traditional").agg(F.min(F.struct("rank", "simplified"))["simplified"].alias("simplified"))
 
-    phrases: (traditional, simplified), a dictionary that fits a task's memory. Names go to it in Arrow batches; those
-    without a character above ASCII come back as they are.
+
+def simplify_phrases(names: DataFrame, phrases: DataFrame | None, name: str = "name", characters: DataFrame | None = None) -> DataFrame:
+    """Replace from the left, the longest phrase first; a character that begins no phrase stays as it is.
+
+    Single characters are phrases of length one, so one pass does all. While the table is small (TABLE_BYTES, measured
+    before it is collected), it goes to every task, which makes a trie of it once and sends names through it in Arrow batches.
+    Beyond that the names' pieces meet the table in a join.
     """
-    table = {r["traditional"]: r["simplified"] for r in phrases.select("traditional", "simplified").collect()}
-    longest, single = max(map(len, table), default=0), str.maketrans(traditional, simplified)
-
-    def convert(text: str) -> str:
-        out, k = [], 0
-        while k < len(text):
-            for n in range(min(longest, len(text) - k), 0, -1):
-                if text[k : k + n] in table:
-                    out.append(table[text[k : k + n]])
-                    k += n
-                    break
-            else:
-                out.append(text[k].translate(single))
-                k += 1
-        return "".join(out)
+    table = conversion(phrases, characters, names.sparkSession)
+    rows = _small(table)
+    return _by_trie(names, name, rows) if rows is not None else _by_join(names, name, table)
+
+
+def phrase_trie(rows: list[tuple[str, str]]) -> dict:
+    """Nested by character; under the empty key, what the phrase that ends there becomes."""
+    root: dict = {}
+    for traditional, simplified in rows:
+        node = root
+        for c in traditional:
+            node = node.setdefault(c, {})
+        node[""] = simplified
+    return root
+
+
+def replaced(text: str, trie: dict) -> str:
+    out, at = [], 0
+    while at < len(text):
+        node, found, end = trie, text[at], at + 1
+        for k in range(at, len(text)):
+            node = node.get(text[k])
+            if node is None:
+                break
+            if "" in node:
+                found, end = node[""], k + 1
+        out.append(found)
+        at = end
+    return "".join(out)
+
+
+def _by_trie(names: DataFrame, name: str, rows: list[tuple[str, str]]) -> DataFrame:
+    shared = names.sparkSession.sparkContext.broadcast(rows)
 
     @F.pandas_udf("string")
     def converted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        trie = phrase_trie(shared.value)
         for batch in texts:
-            yield batch.map(lambda x: x if x.isascii() else convert(x), na_action="ignore")
+            yield batch.map(lambda x: replaced(x, trie), na_action="ignore")
 
     return names.withColumn(name, converted(name))
+
+
+def _by_join(names: DataFrame, name: str, table: DataFrame) -> DataFrame:
+    """Pieces of each distinct name, as long as phrases can be, are looked up by an equi-join; the matches are then walked
+    from the left."""
+    longest = table.agg(F.max(F.length("traditional"))).first()[0] or 0
+    text = F.col("__text")
+    once = names.select(F.col(name).alias("__text")).where("__text IS NOT NULL").distinct()
+    starts = F.explode(F.sequence(F.lit(1), F.length(text))).alias("at")
+    pieces = once.where("__text <> ''").select("__text", starts)
+    pieces = pieces.select("__text", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length(text) - F.col("at") + 1))).alias("n"))
+    pieces = pieces.withColumn("traditional", F.substr(text, F.col("at"), F.col("n"))).join(table, "traditional")
+    best = pieces.groupBy("__text", "at").agg(F.max(F.struct("n", "simplified")).alias("m"))
+    found = best.groupBy("__text").agg(F.sort_array(F.collect_list(F.struct("at", "m.n", "m.simplified"))).alias("found"))
+    begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+    step = lambda s, m: F.when(m["at"] < s["at"], s).otherwise(
+        F.struct((m["at"] + m["n"]).alias("at"), F.concat(s["out"], F.substr(text, s["at"], m["at"] - s["at"]), m["simplified"]).alias("out"))
+    )
+    walked = found.withColumn("s", F.aggregate("found", begin, step))
+    changed = walked.select("__text", F.concat("s.out", F.substr(text, F.col("s.at"), F.length(text))).alias("__changed"))
+    joined = names.join(changed, F.col(name) == F.col("__text"), "left")
+    return joined.withColumn(name, F.coalesce("__changed", name)).drop("__text", "__changed")

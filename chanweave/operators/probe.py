@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.addresses import probe_status
 
 ERROR_LENGTH = 120
+SLOWEST = (1 << 31) - 1
 
 
 def probe_verdict(observations: DataFrame) -> DataFrame:
@@ -23,8 +24,12 @@ def urls_to_probe(rows: DataFrame) -> DataFrame:
 
 
 def apply_probe(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Each row gets the verdict on its address; rows without address get none. Duplicate verdicts count once."""
-    one = verdicts.groupBy("url").agg(F.min_by(F.struct("alive", "latency_ms", "status"), "latency_ms").alias("v"))
+    """Each row gets the verdict on its address; rows without address get none.
+
+    Of several verdicts the fastest counts, those without a latency last, ties by status.
+    """
+    order = F.struct(F.coalesce("latency_ms", F.lit(SLOWEST)), "status", "alive")
+    one = verdicts.groupBy("url").agg(F.min_by(F.struct("alive", "latency_ms", "status"), order).alias("v"))
     joined = rows.drop("alive", "latency_ms", "probe_status").join(one, "url", "left")
     return joined.select(*[c for c in joined.columns if c != "v"], F.col("v.alive").alias("alive"), F.col("v.latency_ms").alias("latency_ms"), F.col("v.status").alias("probe_status"))
 

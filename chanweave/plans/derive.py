@@ -114,6 +114,11 @@ SELECT c_custkey AS ord, CASE c_custkey % 3 WHEN 0 THEN concat('CCTV-', c_custke
 STATION_ALIAS_SQL = "SELECT concat('Kanal ', c_custkey) AS alias, concat('Station ', c_custkey) AS standard_name FROM customer"
 
 
+#: Phrases that begin with each other, one per customer, and names made of them.
+PHRASE_SQL = "SELECT concat('龍', c_custkey) AS traditional, concat('<', c_custkey, '>') AS simplified FROM customer"
+PHRASE_NAME_SQL = "SELECT event_id, concat('龍', event_id, ' 鳳龍', user_id, 'x灣') AS name FROM events"
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_events(spark, sf_dir, STATION_SQL).withColumn("name", F.col("raw")).withColumnRenamed("region", "source_region")
 
@@ -174,7 +179,7 @@ SELECT event_id, {URL_SQL.replace("''", "concat('http://z/', event_id)")} AS url
        CAST(CASE WHEN event_id % 10 = 0 THEN 500 ELSE 200 END AS INT) AS get_status,
        CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 6 = 0 THEN '#EXTM3U' ELSE concat('#EXTM3U\n#X\nseg', event_id % 3, '.ts') END AS body,
        CAST(CASE WHEN event_id % 8 = 1 THEN 403 ELSE 200 END AS INT) AS seg_status, event_id % 2 = 0 AS timed_out, 'reset' AS error,
-       CAST(event_id % 900 AS INT) AS latency_ms FROM events"""
+       CAST(CASE WHEN event_id % 5 > 2 THEN NULL ELSE event_id % 900 END AS INT) AS latency_ms FROM events"""
 
 DAYS_SQL = "SELECT concat('u', user_id) AS source, concat('http://u/', user_id) AS url, CAST(ts AS DATE) AS day, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) = 0 AS success FROM events GROUP BY user_id, CAST(ts AS DATE)"
 

@@ -117,10 +117,10 @@ def run_catalogue(
     return summary
 
 
-def merge_guides(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Channels and programmes of all guide documents, first ones kept."""
-    channels, programmes = read_guides(documents)
-    return guide.merge_guide_channels(channels), guide.merge_guide_programmes(programmes)
+def merge_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Channels and programmes of all guide documents, first ones kept; with `element`, whole ones to be written."""
+    channels, programmes = read_guides(documents, element)
+    return guide.merge_guide_channels(channels, element), guide.merge_guide_programmes(programmes, element)
 
 
 def source_health(history: DataFrame, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1) -> DataFrame:

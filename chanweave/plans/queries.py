@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -161,7 +163,7 @@ GUIDE_CHANNELS = """SELECT user_id AS doc_idx, row_number() OVER (PARTITION BY u
 
 @query(GUIDE_PROGRAMMES)
 def s6_read_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_guides(derive.guide_documents(spark, sf_dir))[1].drop("element")
+    return tables.read_guides(derive.guide_documents(spark, sf_dir), element=False)[1]
 
 
 @query(f"SELECT g.*, concat('i', event_id % 9) AS icon FROM ({GUIDE_CHANNELS.replace('FROM events', ', event_id FROM events')}) g".replace("g.*", "doc_idx, elem_idx, id, display_name"))
@@ -261,6 +263,34 @@ def f5_clean_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.clean_channels(derive.named_events(spark, sf_dir).withColumn("name", F.col("raw"))).select("event_id", "raw", "name")
 
 
+#: The longest customer number that the digits begin with, in brackets; else the single character's own form.
+LONGEST = """(SELECT max(length(CAST(c_custkey AS VARCHAR))) FROM customer WHERE starts_with(CAST({0} AS VARCHAR), CAST(c_custkey AS VARCHAR)))"""
+PHRASED = "CASE WHEN {1} IS NULL THEN concat('龙', {0}) ELSE concat('<', left(CAST({0} AS VARCHAR), CAST({1} AS INT)), '>', substr(CAST({0} AS VARCHAR), CAST({1} AS INT) + 1)) END"
+PHRASES = f"""WITH k AS (SELECT n, {LONGEST.format("n")} AS m FROM (SELECT event_id AS n FROM events UNION SELECT user_id FROM events))
+SELECT event_id, concat({PHRASED.format("event_id", "a.m")}, ' 凤', {PHRASED.format("user_id", "b.m")}, 'x湾') AS name FROM events JOIN k a ON a.n = event_id JOIN k b ON b.n = user_id"""
+
+
+def _phrased(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Names, and a phrase table that is written as text and read from its path."""
+    path = scratch.shared_folder(spark, "phrases")
+    phrases = spark.sql(derive.PHRASE_SQL.replace("FROM customer", "FROM {customer}"), customer=derive.table(spark, sf_dir, "customer"))
+    phrases.select(F.concat_ws("\t", "traditional", "simplified")).write.text(path)
+    return derive.from_events(spark, sf_dir, derive.PHRASE_NAME_SQL), tables.read_conversion(spark, path)
+
+
+@query(PHRASES)
+def r1g_simplify_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases from a table, the longest first, then single characters, by the trie."""
+    return names.simplify_phrases(*_phrased(spark, sf_dir)).select("event_id", "name")
+
+
+@query(PHRASES)
+def r1g_simplify_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in the form that a table beyond the size bound takes."""
+    rows, phrases = _phrased(spark, sf_dir)
+    return names._by_join(rows, "name", names.conversion(phrases, None, spark)).select("event_id", "name")
+
+
 @query(f"WITH {C} SELECT ord FROM c WHERE alive IS NULL OR alive")
 def f7_alive_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.alive_only(derive.candidates(spark, sf_dir)).select("ord")
@@ -378,13 +408,12 @@ VERDICT = f"""v AS (SELECT *, CASE WHEN head_status <> 200 THEN concat('HTTP ',
   WHEN head_status = 200 THEN concat('seg_HTTP ', seg_status) WHEN timed_out THEN 'timeout' ELSE 'error' END AS status FROM ({derive.PROBE_SQL.replace(chr(10) + '#X' + chr(10), ' ')}))"""
 
 
-@query(f"""WITH {VERDICT}, one AS (SELECT url, arg_min({{'s': status, 'l': latency_ms}}, {{'l': latency_ms, 'e': event_id}}) AS x FROM v GROUP BY url)
-SELECT event_id, one.url, x.s = 'ok' AS alive FROM v JOIN one ON v.url = one.url""")
+@query(f"""WITH {VERDICT}, one AS (SELECT url, min({{'l': coalesce(latency_ms, 2147483647), 's': status}}) AS x FROM v GROUP BY url)
+SELECT event_id, one.url, x.s = 'ok' AS alive, nullif(x.l, 2147483647) AS latency_ms, x.s AS probe_status FROM v JOIN one ON v.url = one.url""")
 def j5_apply_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each address is judged once (its fastest record), then the verdict fans out to all of its rows."""
+    """An address has several verdicts, some without a latency: the fastest one fans out to all of its rows."""
     rows = derive.from_events(spark, sf_dir, derive.PROBE_SQL)
-    first = rows.groupBy("url").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "url"]), F.struct("latency_ms", "event_id")).alias("f")).select("url", "f.*")
-    return probe.apply_probe(rows.select("event_id", "url"), probe.probe_verdict(first)).select("event_id", "url", "alive")
+    return probe.apply_probe(rows.select("event_id", "url"), probe.probe_verdict(rows)).select("event_id", "url", "alive", "latency_ms", "probe_status")
 
 
 @query(f"WITH {C} SELECT ord FROM c WHERE category = 'radio' AND (url = '' OR url NOT IN (SELECT url FROM c WHERE category <> 'radio' AND url <> ''))")
@@ -423,22 +452,30 @@ def j9_orphan_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Aggregations
 
-PAYLOAD = "SELECT doc_id, source, doc_id % 10 = 3 AS bad FROM documents"
+PAYLOAD = "SELECT doc_id, source, doc_id % 10 = 3 OR doc_id % 20 = 5 AS bad FROM documents"
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    content = F.when(F.col("doc_id") % 10 == 3, "HTTP 500").otherwise(F.col("text"))
+    content = F.when(F.col("doc_id") % 10 == 3, "HTTP 500").when(F.col("doc_id") % 20 == 5, playlists.NOT_LANDED).otherwise(F.col("text"))
     return derive.table(spark, sf_dir, "documents").select("doc_id", "source", content.alias("content"))
 
 
 @query(f"SELECT count(*) FILTER (NOT bad) AS ok, count(*) AS total, count(*) FILTER (NOT bad) * 100.0::DOUBLE / count(*) AS rate FROM ({PAYLOAD})")
 def a1_source_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failed and absent sources count in the total."""
     return quality.source_success(_payloads(spark, sf_dir), playlists.is_error_payload("content"))
 
 
-@query(f"SELECT count(*) FILTER (NOT bad AND source IN ('src1', 'src2')) AS core_ok, count(*) FILTER (source IN ('src1', 'src2')) AS core_total, count(*) FILTER (bad AND source IN ('src1', 'src2')) > 0 AS failed FROM ({PAYLOAD})")
+GATES = {"all there": ("src1", "src2"), "some failed": ("src1", "src3"), "some absent": ("src2", "src5"), "unknown": ("elsewhere",)}
+
+
+@query(" UNION ALL ".join(f"""SELECT '{gate}' AS gate, {strict} AS strict, count(*) FILTER (NOT bad) AS core_ok, count(*) AS core_total, {strict} AND count(*) FILTER (bad) > 0 AS failed
+FROM ({PAYLOAD}) WHERE source IN {core if len(core) > 1 else f"('{core[0]}')"}""" for gate, core in GATES.items() for strict in (True, False)))
 def a2_core_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.core_gate(_payloads(spark, sf_dir), playlists.is_error_payload("content"), F.col("source").isin("src1", "src2"))
+    """The gate over sets of core sources that are there, have failed, did not land, or are unknown; strict and lax."""
+    payloads, error = _payloads(spark, sf_dir), playlists.is_error_payload("content")
+    rows = [quality.core_gate(payloads, error, F.col("source").isin(*core), strict).withColumns({"gate": F.lit(gate), "strict": F.lit(strict)}) for gate, core in GATES.items() for strict in (True, False)]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(f"WITH {C} SELECT category, count(*) AS n FROM c GROUP BY category")
@@ -556,12 +593,12 @@ def w7_dead_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(CHANNELS_MERGED)
 def w8_merge_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[0].drop("element")
+    return jobs.merge_guides(derive.guide_documents(spark, sf_dir), element=False)[0]
 
 
 @query(PROGRAMMES_MERGED)
 def w9_merge_guide_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.merge_guides(derive.guide_documents(spark, sf_dir))[1].drop("element")
+    return jobs.merge_guides(derive.guide_documents(spark, sf_dir), element=False)[1]
 
 
 @query(f"SELECT source_idx, row_number() OVER (PARTITION BY name ORDER BY source_idx) AS use FROM ({derive.REGISTRY_SQL}) WHERE name <> '' QUALIFY use > 1")

@@ -29,6 +29,8 @@ PROGRAMME_ELEMENT = (
     "review:array<struct<_type:string,_source:string,_reviewer:string,_lang:string,_VALUE:string>>>"
 )
 GUIDE_SCHEMA = f"channel array<{CHANNEL_ELEMENT}>, programme array<{PROGRAMME_ELEMENT}>"
+#: What merging needs to choose.
+NARROW_SCHEMA = f"channel array<struct<_id:string,`display-name`:{_TEXT}>>, programme array<struct<_start:string,_stop:string,_channel:string,title:{_TEXT}>>"
 
 
 def read_dictionary(spark: SparkSession, channels: str, aliases: str) -> tuple[DataFrame, DataFrame]:
@@ -38,6 +40,13 @@ def read_dictionary(spark: SparkSession, channels: str, aliases: str) -> tuple[D
     return table, pairs
 
 
+def read_conversion(spark: SparkSession, path: str) -> DataFrame:
+    """(traditional, simplified) from tab-separated text: one entry a line, further fields and lines without a tab are ignored."""
+    fields = F.split("value", "\t")
+    rows = spark.read.text(path).select(F.try_element_at(fields, F.lit(1)).alias("traditional"), F.try_element_at(fields, F.lit(2)).alias("simplified"))
+    return rows.where("traditional <> '' AND simplified IS NOT NULL")
+
+
 def with_registry_defaults(registry: DataFrame) -> DataFrame:
     defaults = {"type": F.lit("m3u"), "enabled": F.lit(True), "region": F.lit("cn")}
     return registry.withColumns({c: F.coalesce(c, v) for c, v in defaults.items()})
@@ -59,18 +68,20 @@ def disabled_sources(registry: DataFrame) -> DataFrame:
     return numbered(off, "source_idx").withColumn("number", F.col("number").cast("int"))
 
 
-def read_guides(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def read_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame, DataFrame]:
     """(doc_idx, xml) -> channels (doc_idx, elem_idx, id, display_name, element) and programmes (doc_idx, elem_idx, channel,
-    start, stop, title, element). `element` is the whole element with all fields of the format.
+    start, stop, title, element). `element` is the whole element with all fields of the format; without it, only the other
+    columns' fields are parsed.
 
     Text that is no guide or does not parse gives no rows. Only direct children of the root count.
     """
     options = {"ignoreSurroundingSpaces": "false"}
-    parsed = documents.where(is_guide_payload("xml")).select("doc_idx", F.from_xml("xml", GUIDE_SCHEMA, options).alias("tv"))
+    parsed = documents.where(is_guide_payload("xml")).select("doc_idx", F.from_xml("xml", GUIDE_SCHEMA if element else NARROW_SCHEMA, options).alias("tv"))
     channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "element"))
     names = F.try_element_at(F.col("element.`display-name`._VALUE"), F.lit(1))
-    channels = channels.select("doc_idx", "elem_idx", F.col("element._id").alias("id"), names.alias("display_name"), "element")
+    whole = ["element"] if element else []
+    channels = channels.select("doc_idx", "elem_idx", F.col("element._id").alias("id"), names.alias("display_name"), *whole)
     programmes = parsed.select("doc_idx", F.posexplode("tv.programme").alias("elem_idx", "element"))
     title = F.coalesce(F.try_element_at(F.col("element.title._VALUE"), F.lit(1)), F.lit(""))
     fields = [F.col(f"element._{c}").alias(c) for c in ("channel", "start", "stop")]
-    return channels, programmes.select("doc_idx", "elem_idx", *fields, title.alias("title"), "element")
+    return channels, programmes.select("doc_idx", "elem_idx", *fields, title.alias("title"), *whole)

@@ -1,5 +1,8 @@
 """Cleaning, classification and addresses, by example."""
 
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from chanweave.functions import addresses, dims, names
 from chanweave.functions.rules import classify_by_rules, classify_with_region
 from chanweave.plans import jobs
 from chanweave.plans.derive import RAW_NAMES
+from chanweave.sources import tables
 
 
 def column(spark, rows, schema, expression):
@@ -99,3 +103,48 @@ def test_urls_and_times(spark):
     assert column(spark, [("2026-08-23 01:02:03",), ("2026-08-23",), (None,)], "t string", addresses.is_timestamp("t")) == [True, False, False]
     at = spark.range(1).select(addresses.run_timestamp(F.lit("2026-08-22 20:00:00").cast("timestamp")).alias("x")).first().x
     assert at == "2026-08-23 04:00:00"
+
+
+def test_phrases_against_a_walk_from_the_left(spark):
+    """Trie and join against the plain rule, over overlapping phrases of few characters."""
+    rng = random.Random(7)
+    for _ in range(6):
+        table = {"".join(rng.choice("abcß衛") for _ in range(rng.randrange(1, 5))): rng.choice(["", "X", "yz", "衛"]) for _ in range(12)}
+        texts = ["".join(rng.choice("abcß衛 ") for _ in range(rng.randrange(0, 14))) for _ in range(150)] + [None, "", "鳳凰"]
+
+        def plain(text):
+            out, k = [], 0
+            both = dict(zip(names.TRADITIONAL, names.SIMPLIFIED, strict=True)) | table
+            while k < len(text):
+                n = next((n for n in range(5, 0, -1) if text[k : k + n] in both and k + n <= len(text)), 0)
+                out.append(both[text[k : k + n]] if n else text[k])
+                k += n or 1
+            return "".join(out)
+
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, name string")
+        phrases = spark.createDataFrame(list(table.items()), "traditional string, simplified string")
+        want = {k: None if t is None else plain(t) for k, t in enumerate(texts)}
+        assert {r.k: r.name for r in names.simplify_phrases(df, phrases).collect()} == want
+        assert {r.k: r.name for r in names._by_join(df, "name", names.conversion(phrases, None, spark)).collect()} == want
+
+
+def test_large_tables_take_the_join(spark, monkeypatch):
+    df = spark.createDataFrame([("衛視台衛",)], "name string")
+    phrases = spark.createDataFrame([("衛視台", "X")], "traditional string, simplified string")
+    taken = []
+    monkeypatch.setattr(names, "TABLE_BYTES", 10)
+    monkeypatch.setattr(names, "_by_trie", lambda *a: taken.append(a))
+    assert [r.name for r in names.simplify_phrases(df, phrases).collect()] == ["X卫"] and not taken
+
+
+def test_conversion_table_is_read_from_its_path(spark, tmp_path):
+    (tmp_path / "table.txt").write_text("衛視\tTV\textra\nno tab\n\tempty\n臺\t台\n")
+    assert sorted(map(tuple, tables.read_conversion(spark, str(tmp_path)).collect())) == [("臺", "台"), ("衛視", "TV")]
+
+
+def test_long_blanks_in_names(spark):
+    blanks = " " * 200_000
+    df = spark.createDataFrame([(f"a{blanks}b",), (f"{blanks}CCTV 1{blanks}[HD]{blanks}",), (f"—{blanks}x—y{blanks}，",)], "name string")
+    began = time.time()
+    assert [r.name for r in df.select(names.clean_channel_name("name").alias("name")).collect()] == ["a b", "CCTV-1", "x—y"]
+    assert time.time() - began < 20
