@@ -12,7 +12,7 @@ from ..functions.dims import CORE_SOURCES, RADIO, categories, file_for, normalis
 from ..functions.names import clean_channels
 from ..operators import guide, health, probe, quality, select, split
 from ..operators.match import match_and_classify
-from ..sources import sinks
+from ..sources import history, sinks
 from ..sources.playlists import is_error_payload, parse_payloads
 from ..sources.tables import read_guides
 
@@ -123,6 +123,21 @@ def merge_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame,
     return guide.merge_guide_channels(channels, element), guide.merge_guide_programmes(programmes, element)
 
 
-def source_health(history: DataFrame, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1) -> DataFrame:
+def source_health(old: DataFrame, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1) -> DataFrame:
     """Actions after a day's results have been added to the history."""
-    return health.flag_dead_sources(health.upsert_history(history, new), registry, probe_mode, total)
+    return health.flag_dead_sources(health.upsert_history(old, new), registry, probe_mode, total)
+
+
+def daily_health(spark: SparkSession, store: str, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1, dead_days: int = health.DEAD_DAYS) -> DataFrame:
+    """A day's results into the stored history, the stored streaks on by that day, and the actions that follow.
+
+    Reads the folders of the day and the states, not the history; that only for sources whose last success was taken back.
+    Running a day again changes nothing.
+    """
+    days = history.upsert_days(spark, f"{store}/days", new)
+    written, whole = history.read_history(spark, f"{store}/days", days), history.read_history(spark, f"{store}/days")
+    states = history.read_streaks(spark, f"{store}/streaks")
+    states = health.streak_states(whole) if states is None else health.advance_states(states, written, whole)
+    history.write_streaks(spark, states, f"{store}/streaks")
+    known = health.history_in_registry(history.read_streaks(spark, f"{store}/streaks"), registry).where(F.lit(probe_mode and total > 0))
+    return health.actions(health.streaks_of(known, dead_days))

@@ -13,7 +13,7 @@ from .. import scratch
 from ..functions import addresses, dims, names
 from ..functions.rules import classify_by_rules
 from ..operators import guide, health, match, probe, quality, select, split
-from ..sources import playlists, sinks, tables
+from ..sources import history, playlists, sinks, tables
 from . import derive, jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -591,6 +591,20 @@ def w7_dead_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.dead_streaks(_history(spark, sf_dir))
 
 
+@query(f"""WITH h0 AS ({derive.DAYS_SQL}), h AS (SELECT source, day, success AND dayofmonth(day) % 7 <> 3 AS success FROM h0), s AS (SELECT source, count(*) FILTER (NOT seen) AS streak FROM
+(SELECT source, max(CAST(success AS INT)) OVER (PARTITION BY source ORDER BY day DESC) = 1 AS seen FROM h) GROUP BY source) SELECT source, streak, streak >= 3 AS dead FROM s""")
+def w7_incremental_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days arrive in four batches that lie mixed in time, then some successes are taken back; each batch meets the states alone."""
+    rows = _history(spark, sf_dir)
+    whole, states = rows.limit(0), None
+    for k in (2, 0, 3, 1):
+        batch = rows.where(F.pmod(F.dayofmonth("day"), F.lit(4)) == k)
+        whole = health.upsert_history(whole, batch)
+        states = health.streak_states(batch) if states is None else scratch.cut(health.advance_states(states, batch, whole))
+    back = rows.where("success AND dayofmonth(day) % 7 = 3").withColumns({"success": F.lit(False), "written_at": F.lit(2)})
+    return health.streaks_of(health.advance_states(states, back, health.upsert_history(rows, back)))
+
+
 @query(CHANNELS_MERGED)
 def w8_merge_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.merge_guides(derive.guide_documents(spark, sf_dir), element=False)[0]
@@ -651,6 +665,17 @@ def u4_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.upsert_history(old, new).select("source", F.col("day").cast("string").alias("day"), "success")
 
 
+@query(f"WITH h AS ({derive.DAYS_SQL}) SELECT source, CAST(day AS VARCHAR) AS day, CASE WHEN dayofmonth(day) = 5 THEN NOT success ELSE success END AS success, url, CASE WHEN dayofmonth(day) = 5 THEN 2 ELSE 1 END AS written_at FROM h")
+def u4_stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store is written, one day of each month is written again with the other value (twice, as a rerun does), and read."""
+    path, rows = scratch.shared_folder(spark, "history"), _history(spark, sf_dir)
+    history.upsert_days(spark, path, rows)
+    again = rows.where("dayofmonth(day) = 5").select("source", "url", "day", (~F.col("success")).alias("success"), F.lit(2).alias("written_at"))
+    for _ in range(2):
+        history.upsert_days(spark, path, again)
+    return history.read_history(spark, path).withColumns({"day": F.col("day").cast("string"), "written_at": F.col("written_at").cast("int")})
+
+
 # Scalars
 
 @query(f"WITH {NAMED} SELECT event_id, CASE clean {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in (RULED | {'CCTV-1': 'cctv', '湖南卫视': 'weishi', '凤凰卫视': 'weishi', 'TVB Jade': 'gangtai', '湖南台': 'local'}).items())} END AS category FROM e")

@@ -158,7 +158,7 @@ def test_streaks(spark):
                 break
             n += 1
         want[s] = (n, n >= 3)
-    for f in (health.dead_streaks, health.dead_streaks_windowed):
+    for f in (health.dead_streaks, lambda h, *a: health.streaks_of(health.streak_states(h), *a)):
         assert {r.source: (r.streak, r.dead) for r in f(history).collect()} == want
     registry = spark.createDataFrame([(s,) for s in sorted(want)[:20]], "name string")
     flagged = {r.source: r.action for r in health.flag_dead_sources(history, registry, True, 5, core=("s0",)).collect()}
