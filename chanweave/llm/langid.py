@@ -204,7 +204,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str | Column], text: str =
                     listed.append(",".join(f"{names[k]}:{row[k]:.2f}" for k in np.argsort(-row, kind="stable") if row[k] >= 0.005) if has else "")
             yield pd.DataFrame({"lang_pred": langs, "score": scores, "languages": listed, "noise": noise})
 
-    rows = docs.select(*keep, F.col(text).alias("__text")).withColumn("__answer", answer("__text"))
+    # A filter on the answer is not pushed below it, which would ask twice.
+    answered = answer.asNondeterministic()("__text")
+    rows = docs.select(*keep, F.col(text).alias("__text")).withColumn("__answer", answered)
     return rows.select(*[F.col(f"`{c}`") for c in kept], "__answer.*")
 
 
