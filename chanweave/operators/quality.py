@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.addresses import LINE_END, is_timestamp
 from ..functions.dims import CATEGORIES, RADIO
 from ..functions.names import strip
+from .order import numbered
 
 OTHER_TITLE = dict(CATEGORIES)["other"]
 OTHER_LEAST, OTHER_FAIL, OTHER_WARN = 50, 85, 70
@@ -55,11 +56,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_written(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ord, line) of written playlists: a list is one file, so the order of its rows is that of its lines."""
-    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    """(file, ord, line) of written playlists: parts by their names, and in a part's one file the order of its lines."""
+    at = F.struct("part", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     return spark.read.text(path).select(F.col("playlist").alias("file"), at.alias("ord"), F.col("value").alias("line"))
 
 
+def line_numbers(lines: DataFrame) -> DataFrame:
+    """(file, ord, line) -> (file, line_no, line): the place of each line in its list, over all parts."""
+    placed = numbered(lines, "file", "ord")
+    first = placed.groupBy("file").agg(F.min("number").alias("first"))
+    return placed.join(first, "file").select("file", (F.col("number") - F.col("first") + 1).alias("line_no"), "line")
+
+
 def file_overview(lines: DataFrame) -> DataFrame:
     return count_entries(lines, lines.select("file").distinct()).orderBy("file")
 
@@ -81,9 +89,12 @@ def playlist_names_urls(lines: DataFrame) -> DataFrame:
 
 
 def quality_stats(rows: DataFrame) -> DataFrame:
-    """entries, names, urls, max_per_name, dup_names, dup_urls; each key is counted in a two-level aggregation."""
+    """entries, names, urls, max_per_name, dup_names, dup_urls; each key is counted in a two-level aggregation.
+
+    An empty or missing name or address is none.
+    """
     def of(column: str, most: str, repeated: str) -> DataFrame:
-        counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        counts = rows.where(F.col(column) != "").groupBy(column).agg(F.count(F.lit(1)).alias("n"))
         return counts.agg(
             F.sum("n").alias("entries"), F.count(F.lit(1)).alias(column), F.max("n").alias(most), F.count_if(F.col("n") > 1).alias(repeated)
         )
@@ -109,7 +120,7 @@ def bad_groups(rows: DataFrame, allowed: DataFrame) -> DataFrame:
 
 
 def parse_written(lines: DataFrame) -> DataFrame:
-    """(file, ord, line) of written lists -> file, ord, name, url, group_title; an address follows its entry's line.
+    """(file, ord, line) of written lists -> file, ord, name, url, group_title; an address follows its entry's line, or is null.
 
     Without a file column it is one list.
     """
@@ -117,7 +128,8 @@ def parse_written(lines: DataFrame) -> DataFrame:
     kept = lines.select("file" if named else F.lit("").alias("file"), "ord", line.alias("line")).where("line <> '' AND line NOT LIKE '#EXTM3U%'")
     ahead = kept.withColumn("url", F.lead("line").over(Window.partitionBy("file").orderBy("ord"))).where("line LIKE '#EXTINF:%'")
     title = F.regexp_extract(F.substring_index("line", ",", 1), GROUP_TITLE, 1)
-    return ahead.select(*(["file"] if named else []), "ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), "url", title.alias("group_title"))
+    url = F.when(~F.col("url").startswith("#"), F.col("url")).alias("url")
+    return ahead.select(*(["file"] if named else []), "ord", strip(F.regexp_replace("line", "^[^,]*,", "")).alias("name"), url, title.alias("group_title"))
 
 
 def validate_outputs(live: DataFrame, more: DataFrame, verified_exists: bool, summary: DataFrame, allowed: DataFrame) -> DataFrame:

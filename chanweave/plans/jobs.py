@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
+from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.addresses import run_timestamp
-from ..functions.dims import CORE_SOURCES, RADIO, categories, file_for, normalise_group_title, position_of
+from ..functions.dims import CORE_SOURCES, RADIO, categories, core_flag, file_for, normalise_group_title, position_of
 from ..functions.names import clean_channels
 from ..operators import guide, health, probe, quality, select, split
 from ..operators.match import match_and_classify
+from ..operators.order import numbered
 from ..sources import history, sinks
 from ..sources.playlists import is_error_payload, parse_payloads
-from ..sources.tables import read_guides
+from ..sources.tables import read_conversion, read_guides
 
 
 VERIFIED = "live_verified.m3u"
@@ -79,40 +81,68 @@ def playlists(selected: DataFrame, settings: Settings = Settings(), verified: Da
     extended = more.select(F.lit("live_more.m3u").alias("playlist"), by_name.alias("o"), *columns)
 
     def placed(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("pos", F.row_number().over(Window.partitionBy("playlist").orderBy("o"))).drop("o")
-
-    lists = placed(main.unionByName(each)).unionByName(placed(extended))
+        """Places in each list, from ranges of all lists: no list meets in one task."""
+        ordered = numbered(rows, "playlist", "o")
+        first = ordered.groupBy("playlist").agg(F.min("number").alias("first"))
+        return ordered.join(first, "playlist").withColumn("pos", F.col("number") - F.col("first") + 1).drop("o", "number", "first")
+
+    # The extended list has settings.more_most entries at most.
+    capped = extended.withColumn("pos", F.row_number().over(Window.partitionBy("playlist").orderBy("o")).cast("long")).drop("o")
+    lists = placed(main.unionByName(each)).unionByName(capped)
     return lists if verified is None else lists.unionByName(placed(verified.select(F.lit(VERIFIED).alias("playlist"), F.col("ord").alias("o"), *columns)))
 
 
+class CoreSourcesFailed(RuntimeError):
+    """Some core source did not come, and the run is strict: nothing is written, the last good lists stay."""
+
+
 def run_catalogue(
     spark: SparkSession, payloads: DataFrame, channels: DataFrame, aliases: DataFrame, out: str, verdicts: DataFrame | None = None, settings: Settings = Settings(),
-    phrases: DataFrame | None = None, characters: DataFrame | None = None,
+    phrases: DataFrame | str | None = None, characters: DataFrame | str | None = None,
 ) -> DataFrame:
-    """Write all lists and the summary; gives the summary row. With verdicts the run is a probing one and lists what is verified."""
-    probing = verdicts is not None
-    matched(payloads, channels, aliases, verdicts, phrases, characters).write.mode("overwrite").parquet(f"{out}/entries")
+    """Write all lists and the summary; gives the summary row. With verdicts the run is a probing one and lists what is verified.
+
+    phrases, characters: conversion tables, or paths of such (read_conversion). A strict run whose core sources are not all
+    there raises CoreSourcesFailed before the first write.
+    """
+    gate = quality.core_gate(payloads, is_error_payload("content"), core_flag("source", settings.core_sources), settings.strict_sources).first()
+    if gate["failed"]:
+        raise CoreSourcesFailed(f"{gate['core_ok']} of {gate['core_total']} core sources")
+    phrases, characters = (read_conversion(spark, t) if isinstance(t, str) else t for t in (phrases, characters))
+    return write_run(spark, matched(payloads, channels, aliases, verdicts, phrases, characters), out, verdicts is not None, settings)
+
+
+SUMMARY_SCHEMA = (
+    "schema_version int, stage string, generated_at string, timezone string, region string, total long, catalog_count long, more_count long, ok long, fail long, ratio double, "
+    "probe_enabled boolean, probe_concurrency int, probe_timeout int, channels array<string>"
+)
+
+
+def write_run(spark: SparkSession, entries: DataFrame, out: str, probing: bool, settings: Settings = Settings(), generated_at: str | None = None) -> DataFrame:
+    """Entries of a run to its tables, lists and summary.
+
+    What the summary counts is observed while the tables are written, so no table is read again to be counted.
+    """
+    liveness, targets = Observation("liveness"), Observation("targets")
+    alive = F.count_if(F.col("alive").eqNullSafe(F.lit(True))).alias("ok")
+    entries.observe(liveness, alive, F.count(F.lit(1)).alias("entries")).write.mode("overwrite").parquet(f"{out}/entries")
     entries = spark.read.parquet(f"{out}/entries")
-    selected = chosen(entries, settings)
-    selected.write.mode("overwrite").parquet(f"{out}/selected")
+    of = lambda t: F.count_if(F.col("target") == t).alias(t)
+    chosen(entries, settings).observe(targets, F.count(F.lit(1)).alias("total"), of("catalog"), of("more")).write.mode("overwrite").parquet(f"{out}/selected")
     selected = spark.read.parquet(f"{out}/selected")
-    gate = quality.core_gate(payloads, is_error_payload("content"), F.col("source").isin(*settings.core_sources), settings.strict_sources)
-    seen = selected.select(file_for("category").alias("playlist")).distinct()
-    names = seen.union(categories(spark).limit(1).select(F.lit("live.m3u").alias("playlist")))
+
+    names = selected.select(file_for("category").alias("playlist")).distinct()
+    always = ["live.m3u", "live_more.m3u", *([VERIFIED] if probing else [])]
+    names = names.union(spark.createDataFrame([(n,) for n in always], "playlist string"))
     verified = select.verified(entries) if probing else None
-    if probing:
-        names = names.union(categories(spark).limit(1).select(F.lit(VERIFIED).alias("playlist")))
     sinks.write_playlists(sinks.playlist_lines(playlists(selected, settings, verified), names), f"{out}/playlists")
-    one = F.lit(1).alias("one")  # both sides have one row
+
     # Without probing nothing is counted as alive or dead.
-    stats = probe.probe_stats(entries if probing else entries.limit(0))
-    summary = quality.run_summary(selected).select("*", one).join(gate.select("*", one), "one").join(stats.select("*", one), "one").drop("one")
-    summary = summary.select(
-        F.lit(1).alias("schema_version"), F.lit("probe" if probing else "collect").alias("stage"), run_timestamp(F.current_timestamp()).alias("generated_at"),
-        F.lit("Asia/Shanghai").alias("timezone"), F.lit(settings.probe_region).alias("region"), F.col("total_selected").alias("total"), "*",
-        F.lit(probing).alias("probe_enabled"), F.lit(settings.probe_concurrency).alias("probe_concurrency"), F.lit(settings.probe_timeout).alias("probe_timeout"),
-        F.array().cast("array<string>").alias("channels"),
-    )
+    ok, seen, counts = liveness.get["ok"] if probing else 0, liveness.get["entries"] if probing else 0, targets.get
+    ratio = float(Decimal(100 * ok / seen).quantize(Decimal("0.1"), ROUND_HALF_UP)) if seen else 0.0
+    at = generated_at or (datetime.now(timezone.utc) + timedelta(hours=8)).strftime("%Y-%m-%d %H:%M:%S")
+    row = (1, "probe" if probing else "collect", at, "Asia/Shanghai", settings.probe_region, counts["total"], counts["catalog"], counts["more"], ok, seen - ok, ratio, probing, settings.probe_concurrency, settings.probe_timeout, [])
+    summary = spark.createDataFrame([row], SUMMARY_SCHEMA)
     sinks.write_summary(summary, f"{out}/summary")
     return summary
 
@@ -141,3 +171,8 @@ def daily_health(spark: SparkSession, store: str, new: DataFrame, registry: Data
     history.write_streaks(spark, states, f"{store}/streaks")
     known = health.history_in_registry(history.read_streaks(spark, f"{store}/streaks"), registry).where(F.lit(probe_mode and total > 0))
     return health.actions(health.streaks_of(known, dead_days))
+
+
+def run_guides(documents: DataFrame, out: str) -> None:
+    """All guide documents into one."""
+    sinks.write_guide(*merge_guides(documents), out)

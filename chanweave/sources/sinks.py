@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEADER = "#EXTM3U"
+from ..operators.order import numbered
+
+HEADER, ROOT = "#EXTM3U", "tv"
+#: Entries of a part of a list; parts' numbers have so many digits, so their names are in order.
+PART_ENTRIES, PART_DIGITS = 100_000, 9
 
 
 def render_entry(name: str = "name", url: str = "url", tvg_id: str = "tvg_id", tvg_logo: str = "tvg_logo", group_title: str = "group_title") -> Column:
@@ -21,17 +25,35 @@ def playlist_lines(entries: DataFrame, playlists: DataFrame) -> DataFrame:
     return headers.unionByName(entries.select("playlist", F.col("pos").cast("long").alias("pos"), render_entry().alias("value")))
 
 
-def write_playlists(lines: DataFrame, path: str) -> None:
-    """One folder per playlist, its lines in order, in one file. Playlists go to tasks by hash."""
-    ordered = lines.repartition("playlist").sortWithinPartitions("playlist", "pos")
-    ordered.select("playlist", "value").write.mode("overwrite").partitionBy("playlist").text(path)
+def write_playlists(lines: DataFrame, path: str, part_entries: int = PART_ENTRIES) -> None:
+    """One folder per playlist; in it, numbered parts of `part_entries` entries, one file each. Read in the order of their
+    names, the parts are the list.
+
+    Parts go to tasks by hash, so a long list is many tasks. `_manifest` beside the lists names each part's first position
+    and number of entries.
+    """
+    part = F.concat(F.lit("p"), F.lpad(F.floor(F.col("pos") / part_entries).cast("string"), PART_DIGITS, "0"))
+    parts = lines.withColumn("part", part)
+    ordered = parts.repartition("playlist", "part").sortWithinPartitions("playlist", "part", "pos")
+    ordered.select("playlist", "part", "value").write.mode("overwrite").partitionBy("playlist", "part").text(path)
+    counted = parts.groupBy("playlist", "part").agg(F.min("pos").alias("first"), F.count_if(F.col("pos") > 0).alias("entries"))
+    counted.coalesce(1).sortWithinPartitions("playlist", "part").write.mode("overwrite").json(f"{path}/_manifest")
+
+
+GUIDE = "guide.xml"
 
 
-def write_guide(channels: DataFrame, programmes: DataFrame, path: str) -> None:
-    """Whole elements as XML in two folders. Every part is a document; parts follow the order of documents and elements."""
-    for rows, tag in ((channels, "channel"), (programmes, "programme")):
-        ordered = rows.orderBy("doc_idx", "elem_idx").select("element.*")
-        ordered.write.mode("overwrite").format("xml").options(rootTag="tv", rowTag=tag).save(f"{path}/{tag}s")
+def write_guide(channels: DataFrame, programmes: DataFrame, path: str, part_entries: int = PART_ENTRIES) -> None:
+    """One guide, in numbered parts that make one document when put together in order: a root element with all channels,
+    then all programmes, each in the order of documents and elements. Elements are whole, one entry each."""
+    spark = channels.sparkSession
+    options = {"ignoreSurroundingSpaces": "false"}
+    kinds = [numbered(rows, "doc_idx", "elem_idx").select("number", F.to_xml("element", {**options, "rowTag": tag}).alias("value")) for rows, tag in ((channels, "channel"), (programmes, "programme"))]
+    before = [kinds[0].count()]  # numbers are places, so one count tells where programmes begin
+    last = before[0] + kinds[1].count() + 1
+    ends = spark.createDataFrame([(0, f'<?xml version="1.0" encoding="UTF-8"?>\n<{ROOT}>'), (last, f"</{ROOT}>")], "pos long, value string")
+    body = kinds[0].select(F.col("number").alias("pos"), "value").unionByName(kinds[1].select((F.col("number") + before[0]).alias("pos"), "value"))
+    write_playlists(ends.unionByName(body).select(F.lit(GUIDE).alias("playlist"), "pos", "value"), path, part_entries)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import random
 import re
+from xml.etree import ElementTree
 
 from pyspark.sql.types import StructType
 
@@ -79,8 +80,14 @@ def test_write_and_count(spark, tmp_path):
     rows = [("live", k, f"N{k}", f"http://{k}", "", "", "央视") for k in range(1, 30)]
     entries = spark.createDataFrame(rows, "playlist string, pos long, name string, url string, tvg_id string, tvg_logo string, group_title string")
     lists = spark.createDataFrame([("live",), ("empty",)], "playlist string")
-    sinks.write_playlists(sinks.playlist_lines(entries, lists), str(tmp_path / "out"))
-    text = "".join(p.read_text() for p in (tmp_path / "out" / "playlist=live").glob("part-*"))
+    sinks.write_playlists(sinks.playlist_lines(entries, lists), str(tmp_path / "out"), part_entries=7)
+    parts = sorted((tmp_path / "out" / "playlist=live").glob("part=*/part-*"))
+    text = "".join(p.read_text() for p in parts)
+    assert len(parts) == 5
+    manifest = {(r.playlist, r.part): (r.first, r.entries) for r in spark.read.json(str(tmp_path / "out" / "_manifest")).collect()}
+    assert manifest["live", "p000000000"] == (0, 6) and manifest["live", "p000000004"] == (28, 2) and manifest["empty", "p000000000"] == (0, 0)
+    numbered = {(r.file, r.line_no): r.line for r in quality.line_numbers(quality.read_written(spark, str(tmp_path / "out"))).collect()}
+    assert [numbered["live", k] for k in range(1, 60)] == text.splitlines() and numbered["empty", 1] == "#EXTM3U"
     assert text.splitlines()[:3] == ["#EXTM3U", '#EXTINF:-1 group-title="央视",N1', "http://1"]
     assert [f"http://{k}" for k in range(1, 30)] == [x for x in text.splitlines() if x.startswith("http")]
     counted = quality.count_entries(quality.read_lines(spark, str(tmp_path / "out")), spark.createDataFrame([("live",), ("empty",), ("missing",)], "file string"))
@@ -125,8 +132,12 @@ def test_guides_keep_whole_elements(spark, tmp_path):
     )
     docs = spark.createDataFrame([(0, text), (1, text)], "doc_idx int, xml string")
     channels, programmes = jobs.merge_guides(docs)
-    sinks.write_guide(channels, programmes, str(tmp_path / "guide"))
-    load = lambda tag, fields: spark.read.format("xml").option("rowTag", tag).schema(StructType.fromDDL(f"x {fields}")["x"].dataType).load(str(tmp_path / "guide" / f"{tag}s"))
+    sinks.write_guide(channels, programmes, str(tmp_path / "guide"), part_entries=2)
+    parts = sorted((tmp_path / "guide" / f"playlist={sinks.GUIDE}").glob("part=*/part-*"))
+    whole = ElementTree.fromstring("".join(p.read_text() for p in parts).encode())
+    assert len(parts) == 3 and [(e.tag, e.get("id") or e.get("channel")) for e in whole] == [("channel", "c1"), ("channel", "c2"), ("programme", "c1")]
+    assert whole.find("programme/desc").text == "a < b" and whole.find("channel/icon").get("src") == "http://h/i?a=1&b=2"
+    load = lambda tag, fields: spark.read.format("xml").options(rowTag=tag, mode="DROPMALFORMED").schema(StructType.fromDDL(f"x {fields}")["x"].dataType).load(str(tmp_path / "guide" / f"playlist={sinks.GUIDE}"))
     assert sorted(r.id for r in channels.collect()) == ["c1", "c2"]
     first = load("channel", tables.CHANNEL_ELEMENT).where("_id = 'c1'").first()
     assert [(n["_lang"], n["_VALUE"]) for n in first["display-name"]] == [("zh", "One & two"), (None, "Uno")]

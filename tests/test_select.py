@@ -202,7 +202,7 @@ def test_whole_run(spark, tmp_path):
     two = "G,#genre#\nCCTV-1,http://5\n湖南台,http://6"
     payloads = spark.createDataFrame([(0, "iptv-org-cn", "", "m3u", "cn", one), (1, "b", "", "txt", "cn", two), (2, "c", "", "m3u", "cn", "HTTP 500")], schema)
     summary = jobs.run_catalogue(spark, payloads, *derive.dictionary(spark), str(tmp_path / "out")).first()
-    assert (summary.total_selected, summary.catalog_count, summary.more_count, summary.failed) == (5, 3, 1, False)
+    assert (summary.total, summary.catalog_count, summary.more_count) == (5, 3, 1) and len(summary) == 15
     files = {r.file: r.entries for r in quality.file_overview(quality.read_lines(spark, str(tmp_path / "out" / "playlists"))).collect()}
     assert files == {"live.m3u": 2, "live_cctv.m3u": 1, "live_weishi.m3u": 1, "live_radio.m3u": 1, "live_local.m3u": 0, "live_overseas.m3u": 0, "live_more.m3u": 1}
 
@@ -216,7 +216,7 @@ def test_a_run_validates_itself(spark, tmp_path, probing):
     verdicts = spark.createDataFrame([(f"http://{k}", k != 6, 10 * k, "ok") for k in (1, 2, 3, 6)], "url string, alive boolean, latency_ms int, status string")
     out = str(tmp_path / "out")
     summary = jobs.run_catalogue(spark, payloads, *derive.dictionary(spark), out, verdicts if probing else None).first()
-    assert (summary.schema_version, summary.stage, summary.probe_enabled, summary.total) == (1, "probe" if probing else "collect", probing, summary.total_selected)
+    assert (summary.schema_version, summary.stage, summary.probe_enabled) == (1, "probe" if probing else "collect", probing)
     assert (summary.ok, summary.fail, summary.ratio) == ((4, 2, 66.7) if probing else (0, 0, 0.0))
     checks = jobs.validate_run(spark, out).collect()
     assert not [r for r in checks if r.severity == "fail" and not r.ok], checks
@@ -228,6 +228,29 @@ def test_a_run_validates_itself(spark, tmp_path, probing):
         assert not [f for f, _ in lines if f == "live_verified.m3u"]
 
 
+def test_a_run_without_its_core_sources_writes_nothing(spark, tmp_path):
+    schema = "source_idx int, source string, url string, type string, region string, content string"
+    rows = [(0, "iptv-org-cn", "", "m3u", "cn", "#EXTM3U\n#EXTINF:-1,CCTV1\nhttp://1"), (1, "iptv-org-hk", "", "m3u", "cn", "#EXTM3U\n#EXTINF:-1,TVB\nhttp://2")]
+    good = spark.createDataFrame(rows, schema)
+    failed = good.withColumn("content", F.when(F.col("source") == "iptv-org-hk", "ERROR: not landed").otherwise(F.col("content")))
+    out = tmp_path / "out"
+    jobs.run_catalogue(spark, good, *derive.dictionary(spark), str(out))
+    before = {p: p.stat().st_mtime_ns for p in out.rglob("*") if p.is_file()}
+    with pytest.raises(jobs.CoreSourcesFailed):
+        jobs.run_catalogue(spark, failed, *derive.dictionary(spark), str(out))
+    assert {p: p.stat().st_mtime_ns for p in out.rglob("*") if p.is_file()} == before
+    lax = jobs.run_catalogue(spark, failed, *derive.dictionary(spark), str(out), settings=jobs.Settings(strict_sources=False)).first()
+    assert lax.total == 1
+
+
+def test_verdicts_without_latency_count(spark):
+    rows = spark.createDataFrame([("u1",), ("u2",), ("u3",), ("",)], "url string")
+    verdicts = spark.createDataFrame([("u1", False, None, "timeout"), ("u2", False, None, "error"), ("u2", True, 7, "ok"), ("u3", True, 9, "ok"), ("u3", False, 9, "HTTP 404")], "url string, alive boolean, latency_ms int, status string")
+    got = {r.url: (r.alive, r.latency_ms, r.probe_status) for r in probe.apply_probe(rows, verdicts).collect()}
+    assert got == {"u1": (False, None, "timeout"), "u2": (True, 7, "ok"), "u3": (False, 9, "HTTP 404"), "": (None, None, None)}
+    assert sorted(r.url for r in select.alive_only(probe.apply_probe(rows, verdicts)).collect()) == ["", "u2"]
+
+
 def test_match_fuzzy(spark):
     channels = spark.createDataFrame([("CCTV-1",), ("CCTV-13",), ("湖南卫视",), ("Hunan TV",)], "standard_name string")
     names = spark.createDataFrame([("cctv-13",), ("CCTV",), ("南卫",), ("湖",), ("unan",), ("",), (None,), ("t",), ("nothing here",)], "name string")
