@@ -226,7 +226,8 @@ def s9_write_guide(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch.shared_folder(spark, "guide")
     jobs.run_guides(derive.guide_documents(spark, sf_dir), path)
     schema = StructType.fromDDL(f"programme {tables.PROGRAMME_ELEMENT}")["programme"].dataType
-    read = spark.read.format("xml").options(rowTag="programme", mode="DROPMALFORMED").schema(schema).load(f"{path}/playlist={sinks.GUIDE}")
+    read = spark.read.format("xml").option("rowTag", "programme").schema(schema).load(f"{path}/playlist={sinks.GUIDE}")
+    read = read.where("_channel IS NOT NULL")  # a part that only ends the root gives an empty row
     fields = [F.col(f"_{c}").alias(c) for c in ("channel", "start", "stop")]
     first = lambda c, k=1: F.try_element_at(F.col(c), F.lit(k))
     return read.select(*fields, first("title._VALUE", 2).alias("second_title"), first("desc._VALUE").alias("about"), first("desc._lang").alias("lang"), first("category._VALUE").alias("category"))
