@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import scratch
 from ..functions import addresses, dims, names
@@ -224,10 +223,9 @@ CASE WHEN CAST(stop AS BIGINT) % 5 <> 0 THEN concat('k', CAST(stop AS BIGINT) %
 def s9_write_guide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One guide in parts, read again as elements; their order and the document as a whole are in s9_guide_lines and the tests."""
     path = scratch.shared_folder(spark, "guide")
-    jobs.run_guides(derive.guide_documents(spark, sf_dir), path)
-    schema = StructType.fromDDL(f"programme {tables.PROGRAMME_ELEMENT}")["programme"].dataType
-    read = spark.read.format("xml").option("rowTag", "programme").schema(schema).load(f"{path}/playlist={sinks.GUIDE}")
-    read = read.where("_channel IS NOT NULL")  # a part that only ends the root gives an empty row
+    channels, programmes = jobs.merge_guides(derive.guide_documents(spark, sf_dir))
+    sinks.write_guide(channels, programmes, path, part_entries=250)
+    read = tables.read_written_guide(spark, path)[1].select("element.*")
     fields = [F.col(f"_{c}").alias(c) for c in ("channel", "start", "stop")]
     first = lambda c, k=1: F.try_element_at(F.col(c), F.lit(k))
     return read.select(*fields, first("title._VALUE", 2).alias("second_title"), first("desc._VALUE").alias("about"), first("desc._lang").alias("lang"), first("category._VALUE").alias("category"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.order import numbered
 from .playlists import is_guide_payload
+from .sinks import PART_DIGITS
 
 CHANNEL_SCHEMA = "standard_name string, category string, group_title string, tvg_id string, display_name string"
 REGISTRY_SCHEMA = "source_idx int, name string, url string, type string, enabled boolean, region string"
@@ -85,3 +86,14 @@ def read_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame,
     title = F.coalesce(F.try_element_at(F.col("element.title._VALUE"), F.lit(1)), F.lit(""))
     fields = [F.col(f"element._{c}").alias(c) for c in ("channel", "start", "stop")]
     return channels, programmes.select("doc_idx", "elem_idx", *fields, title.alias("title"), *whole)
+
+
+def read_written_guide(spark: SparkSession, path: str, element: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Channels and programmes of a guide that write_guide wrote, as read_guides gives them; doc_idx is the part's number.
+
+    A part is a piece of the one document; between the root's tags it is a document of its own.
+    """
+    parts = spark.read.text(path, wholetext=True)
+    inside = F.regexp_replace("value", r"\A(<\?xml[^>]*\?>)?\s*<tv>|</tv>\s*\z", "")
+    number = F.substring("part", 2, PART_DIGITS).cast("int")
+    return read_guides(parts.select(number.alias("doc_idx"), F.concat(F.lit("<tv>"), inside, F.lit("</tv>")).alias("xml")), element)

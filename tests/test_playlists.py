@@ -4,7 +4,6 @@ import random
 import re
 from xml.etree import ElementTree
 
-from pyspark.sql.types import StructType
 
 from chanweave.operators import quality
 from chanweave.plans import jobs
@@ -137,12 +136,12 @@ def test_guides_keep_whole_elements(spark, tmp_path):
     whole = ElementTree.fromstring("".join(p.read_text() for p in parts).encode())
     assert len(parts) == 3 and [(e.tag, e.get("id") or e.get("channel")) for e in whole] == [("channel", "c1"), ("channel", "c2"), ("programme", "c1")]
     assert whole.find("programme/desc").text == "a < b" and whole.find("channel/icon").get("src") == "http://h/i?a=1&b=2"
-    load = lambda tag, fields: spark.read.format("xml").option("rowTag", tag).schema(StructType.fromDDL(f"x {fields}")["x"].dataType).load(str(tmp_path / "guide" / f"playlist={sinks.GUIDE}"))
+    read = tables.read_written_guide(spark, str(tmp_path / "guide"))
     assert sorted(r.id for r in channels.collect()) == ["c1", "c2"]
-    first = load("channel", tables.CHANNEL_ELEMENT).where("_id = 'c1'").first()
+    first = read[0].where("id = 'c1'").select("element.*").first()
     assert [(n["_lang"], n["_VALUE"]) for n in first["display-name"]] == [("zh", "One & two"), (None, "Uno")]
     assert (first.icon[0]["_src"], first.url) == ("http://h/i?a=1&b=2", ["u"])
-    kept = load("programme", tables.PROGRAMME_ELEMENT).where("_channel IS NOT NULL").collect()  # a part that only ends the root gives an empty row
+    kept = read[1].select("element.*").collect()
     assert len(kept) == 1
     p = kept[0].asDict(recursive=True)
     assert (p["_stop"], p["_showview"], [t["_VALUE"] for t in p["title"]], p["sub-title"][0]["_VALUE"]) == ("2", "9", ["T", "U"], "S")
