@@ -57,7 +57,9 @@ def match_fuzzy(names: DataFrame, channels: DataFrame, name: str = "name") -> Da
     found = index.groupBy("size", "gram").agg(F.count(F.lit(1)).alias("entries"))
     asked = wanted.withColumn("size", F.least(F.lit(GRAM), F.length("low"))).withColumn("gram", F.explode(_grams(F.col("low"), F.col("size"))))
     asked = asked.join(found, ["size", "gram"], "left").groupBy("name", "low", "size")
-    rarest = asked.agg(F.min_by("gram", F.struct(F.coalesce("entries", F.lit(0)), "gram")).alias("gram"))
+    rarest = asked.agg(F.min(F.struct(F.coalesce("entries", F.lit(0)).alias("entries"), "gram")).alias("r")).select("name", "low", "size", "r.entries", "r.gram")
+    # A name that is one piece lies in as many standard names as the piece has entries.
+    rarest = rarest.where((F.length("low") > F.col("size")) | (F.col("entries") == 1))
     hits = rarest.join(index, ["size", "gram"]).where(F.contains("inside", "low"))
     return hits.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("standard_name").alias("standard_name")).where("n = 1").drop("n")
 

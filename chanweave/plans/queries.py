@@ -171,6 +171,25 @@ def s6_read_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels.select("doc_idx", "elem_idx", "id", "display_name", F.element_at("element.icon._src", 1).alias("icon"))
 
 
+def _landed_guides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Guides are landed as files, broken ones too, and read element by element."""
+    docs, path = derive.guide_documents(spark, sf_dir), scratch.shared_folder(spark, "guides")
+    source = F.concat(F.lit("g"), "doc_idx")
+    docs.select(source.alias("source"), "xml").repartition("source").write.partitionBy("source").text(path)
+    registry = docs.select(F.col("doc_idx").alias("source_idx"), source.alias("name"), F.lit(True).alias("enabled"))
+    return tables.read_landed_guides(spark, path, registry, folders=True)
+
+
+@query(GUIDE_PROGRAMMES)
+def s6_landed_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed_guides(spark, sf_dir)[1].drop("element")
+
+
+@query(GUIDE_CHANNELS)
+def s6_landed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed_guides(spark, sf_dir)[0].drop("element")
+
+
 def rendered(entries: str, lists: str) -> str:
     """Lines of the playlists in `entries` (playlist, pos, title, name, url), after a header for each of `lists`."""
     return f"""SELECT playlist AS file, 1::BIGINT AS line_no, '#EXTM3U' AS line FROM ({lists})
@@ -305,6 +324,21 @@ def s11_read_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.with_registry_defaults(derive.registry(spark, sf_dir)).select("source_idx", "type", "enabled", "region")
 
 
+@query(f"""SELECT CAST(row_number() OVER (ORDER BY source_idx) - 1 AS INT) AS source_idx, name, nullif(url, '') AS url, coalesce(type, 'm3u') AS type, coalesce(enabled, TRUE) AS enabled, region
+FROM ({derive.REGISTRY_SQL}) WHERE name <> ''""")
+def s11_registry_yaml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry as a settings file, with comments, quotes and another section, and what is missing left out."""
+    rows, path = derive.registry(spark, sf_dir).where("name <> ''"), scratch.shared_folder(spark, "registry")
+    field = lambda c, v: F.when(F.col(c).isNotNull(), F.concat(F.lit(f"    {c}: "), v))
+    item = F.concat_ws(
+        "\n", F.lit("  # next"), F.concat(F.lit('  - name: "'), "name", F.lit('"')), field("url", F.concat(F.lit("'"), F.col("url"), F.lit("'"))), field("type", F.col("type")),
+        field("enabled", F.concat(F.col("enabled").cast("string"), F.lit("  # now"))), field("region", F.col("region")),
+    )
+    items = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("source_idx", item.alias("item")))), lambda x: x["item"]), "\n\n")
+    rows.agg(F.concat(F.lit("other:\n  - name: no\n\nsources:\n"), items, F.lit("\nlast:\n  name: no\n")).alias("value")).write.text(path)
+    return tables.read_registry_yaml(spark, path)
+
+
 # Filters
 
 @query(f"SELECT source_idx FROM ({derive.REGISTRY_SQL}) WHERE coalesce(enabled, TRUE)")
@@ -471,6 +505,18 @@ def j4_match_and_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return match.match_and_classify(rows, *derive.dictionary(spark)).select("event_id", "name", "standard_name", "tvg_id", "category")
 
 
+@query(f"WITH {STATION} SELECT event_id, CASE number % 3 WHEN 0 THEN 'cctv' WHEN 1 THEN 'weishi' ELSE 'overseas' END AS category FROM st")
+def r2_classify_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules over names that grow with the table."""
+    cleaned = names.clean_channels(derive.stations(spark, sf_dir))
+    return cleaned.select("event_id", classify_by_rules("name", "group_title").alias("category"))
+
+
+@query(f"SELECT event_id, regexp_matches(raw, '[一-鿿]') AS chinese FROM ({derive.STATION_SQL})")
+def f10_has_chinese_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive.stations(spark, sf_dir).select("event_id", names.has_chinese("raw").alias("chinese"))
+
+
 SEGMENT = "concat(regexp_replace(url, '/[^/]*$', ''), '/seg', event_id % 3, '.ts')"
 VERDICT = f"""v AS (SELECT *, CASE WHEN head_status <> 200 THEN concat('HTTP ', head_status) WHEN head_status = 200 AND get_status <> 200 THEN concat('HTTP ', get_status)
   WHEN head_status = 200 AND event_id % 29 = 0 THEN CASE WHEN timed_out THEN 'timeout' ELSE 'error' END WHEN head_status = 200 AND event_id % 6 = 0 THEN 'no_segment' WHEN head_status = 200 AND seg_status = 200 THEN 'ok'

@@ -21,7 +21,7 @@ ENTRY_COLUMNS = ("ord", "name", "url", "tvg_id", "tvg_name", "tvg_logo", "group_
 EXTINF = r"(?iuU)^#EXTINF\s*+:\s*+-?\d++\s*+(?:[^,]*+,)(.+)"
 
 
-def _source_name(folders: bool) -> Column:
+def source_name(folders: bool) -> Column:
     """The file's name without its ending; with folders, the name of its folder (after an equals sign, if there is one)."""
     return F.regexp_extract("file_path", "/(?:[^/=]*=)?([^/]+)/[^/]+$", 1) if folders else F.regexp_replace("file_name", r"\.[^.]*$", "")
 
@@ -34,7 +34,7 @@ def read_payloads(spark: SparkSession, path: str, registry: DataFrame, folders:
     see it. The registry is small (one row per source) and its side of the join is broadcast below Spark's threshold.
     """
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select("value", "_metadata.file_path", "_metadata.file_name")
-    landed = files.select(_source_name(folders).alias("name"), F.col("value").alias("content"))
+    landed = files.select(source_name(folders).alias("name"), F.col("value").alias("content"))
     enabled = enabled_sources(registry)
     absent = enabled.join(landed.select("name").distinct(), "name", "left_anti").withColumn("content", F.lit(NOT_LANDED))
     both = landed.join(enabled, "name").unionByName(absent)
@@ -72,7 +72,7 @@ def read_landed_lines(spark: SparkSession, path: str, registry: DataFrame, folde
     """
     read = spark.read.option("recursiveFileLookup", "true").text(path)
     read = read.select("value", "_metadata.file_path", "_metadata.file_name", F.col("_metadata.file_block_start").alias("segment"), F.monotonically_increasing_id().alias("row"))
-    named = read.select(_source_name(folders).alias("name"), F.col("file_path").alias("file"), "segment", "row", F.posexplode(F.split("value", LINE_END)).alias("sub", "raw"))
+    named = read.select(source_name(folders).alias("name"), F.col("file_path").alias("file"), "segment", "row", F.posexplode(F.split("value", LINE_END)).alias("sub", "raw"))
     known = named.join(enabled_sources(registry).select("source_idx", "name", "type", "region"), "name")
     return known.select(
         "source_idx", F.col("name").alias("source"), "region", F.lit(True).alias("long"), "file", "segment", F.struct("segment", "row", "sub").alias("at"),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.order import numbered
-from .playlists import is_guide_payload
+from .playlists import enabled_sources, is_guide_payload, source_name
 from .sinks import PART_DIGITS
 
 CHANNEL_SCHEMA = "standard_name string, category string, group_title string, tvg_id string, display_name string"
+BROKEN = "_broken"
 REGISTRY_SCHEMA = "source_idx int, name string, url string, type string, enabled boolean, region string"
 # Elements and attributes of the XMLTV format, in the order of its document type.
 _TEXT = "array<struct<_lang:string,_VALUE:string>>"
@@ -58,6 +60,26 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return with_registry_defaults(spark.read.schema(REGISTRY_SCHEMA).json(path))
 
 
+def read_registry_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """Registry from a settings file in block style: under `sources:`, one item a source, one `key: value` a line.
+
+    Comments, blank lines, quotes and unknown keys are passed over; a source without name is left out. source_idx is the
+    item's place from 0. The file has a few lines a source.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("at", "line")).where(~F.col("line").rlike(r"^\s*(#|$)"))
+    so_far = Window.partitionBy(F.lit(1)).orderBy("at")  # a settings file is one small text
+    section = F.last(F.when(F.col("line").rlike(r"^\w"), F.regexp_extract("line", r"^(\w+)\s*:", 1)), ignorenulls=True).over(so_far)
+    item = F.count_if(F.col("line").rlike(r"^\s*-(\s|$)")).over(Window.partitionBy("section").orderBy("at"))
+    pair = r"^[\s-]*(\w+)\s*:\s*(?:\"([^\"]*)\"|'([^']*)'|([^#]*?))\s*(?:#.*)?$"
+    value = F.coalesce(*[F.nullif(F.regexp_extract("line", pair, k), F.lit("")) for k in (2, 3, 4)])
+    fields = lines.withColumn("section", section).select("section", item.alias("item"), F.regexp_extract("line", pair, 1).alias("key"), value.alias("value"))
+    of = lambda key: F.max(F.when(F.col("key") == key, F.col("value")))
+    rows = fields.where("section = 'sources' AND item > 0").groupBy("item").agg(
+        *[of(c).alias(c) for c in ("name", "url", "type")], of("enabled").cast("boolean").alias("enabled"), of("region").alias("region")
+    )
+    return with_registry_defaults(rows.select((F.col("item") - 1).cast("int").alias("source_idx"), "name", "url", "type", "enabled", "region").where("name IS NOT NULL"))
+
+
 def list_sources(registry: DataFrame, width: int = 60) -> DataFrame:
     """Numbered listing; long addresses end in three dots."""
     url = F.when(F.length("url") < width, F.col("url")).otherwise(F.concat(F.substring("url", 1, width - 3), F.lit("...")))
@@ -78,14 +100,44 @@ def read_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame,
     """
     options = {"ignoreSurroundingSpaces": "false"}
     parsed = documents.where(is_guide_payload("xml")).select("doc_idx", F.from_xml("xml", GUIDE_SCHEMA if element else NARROW_SCHEMA, options).alias("tv"))
-    channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "element"))
-    names = F.try_element_at(F.col("element.`display-name`._VALUE"), F.lit(1))
     whole = ["element"] if element else []
-    channels = channels.select("doc_idx", "elem_idx", F.col("element._id").alias("id"), names.alias("display_name"), *whole)
+    channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "element"))
     programmes = parsed.select("doc_idx", F.posexplode("tv.programme").alias("elem_idx", "element"))
+    return _channels(channels, whole), _programmes(programmes, whole)
+
+
+def _channels(rows: DataFrame, whole: list[str]) -> DataFrame:
+    names = F.try_element_at(F.col("element.`display-name`._VALUE"), F.lit(1))
+    return rows.select("doc_idx", "elem_idx", F.col("element._id").alias("id"), names.alias("display_name"), *whole)
+
+
+def _programmes(rows: DataFrame, whole: list[str]) -> DataFrame:
     title = F.coalesce(F.try_element_at(F.col("element.title._VALUE"), F.lit(1)), F.lit(""))
     fields = [F.col(f"element._{c}").alias(c) for c in ("channel", "start", "stop")]
-    return channels, programmes.select("doc_idx", "elem_idx", *fields, title.alias("title"), *whole)
+    return rows.select("doc_idx", "elem_idx", *fields, title.alias("title"), *whole)
+
+
+def read_landed_guides(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Channels and programmes of landed guides of enabled sources, as read_guides gives them, element by element: Spark's
+    reader streams through a file, so no guide is ever one value. doc_idx is the source's place in the registry.
+
+    A file that does not parse to its end gives no rows at all. Elements count wherever they lie; the format has them only
+    below the root.
+    """
+    element = {"channel": CHANNEL_ELEMENT, "programme": PROGRAMME_ELEMENT}
+
+    def rows(tag: str) -> DataFrame:
+        schema = StructType.fromDDL(f"x {element[tag]}")["x"].dataType
+        fields = schema.names
+        options = {"rowTag": tag, "columnNameOfCorruptRecord": BROKEN, "ignoreSurroundingSpaces": "false", "recursiveFileLookup": "true"}
+        read = spark.read.format("xml").options(**options).schema(schema.add(BROKEN, "string")).load(path)
+        read = read.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("element"), F.col(BROKEN).isNotNull().alias("broken"), "_metadata.file_path", "_metadata.file_name", F.monotonically_increasing_id().alias("row"))
+        named = read.select(source_name(folders).alias("name"), "file_path", "element", "broken", "row").join(enabled_sources(registry).select("source_idx", "name"), "name")
+        own = Window.partitionBy("file_path")
+        whole = named.withColumns({"elem_idx": F.row_number().over(own.orderBy("row")) - 1, "any": F.max("broken").over(own)})
+        return whole.where(~F.col("any")).select(F.col("source_idx").alias("doc_idx"), "elem_idx", "element")
+
+    return _channels(rows("channel"), ["element"]), _programmes(rows("programme"), ["element"])
 
 
 def read_written_guide(spark: SparkSession, path: str, element: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -150,3 +150,38 @@ def test_guides_keep_whole_elements(spark, tmp_path):
     assert [c["_VALUE"] for c in p["category"]] == ["k", "l"]
     assert (p["length"], p["episode-num"][0]["_VALUE"], p["rating"][0]["value"]) == ({"_units": "minutes", "_VALUE": "60"}, "S1", "PG")
     assert p["new"] is not None and p["premiere"] is None
+
+
+def test_registry_settings_file(spark, tmp_path):
+    text = """# sources
+settings:
+  name: "no"
+sources:
+  # first
+  - name: "a-b"   # a comment
+    url: "https://h/x?y=1#z"
+    type: "txt"
+    enabled: false
+
+  - url: 'http://nameless'
+  -
+    name: c
+    url: http://c/d
+    region: hk_tw
+last: 1
+"""
+    (tmp_path / "sources.yaml").write_text(text)
+    got = [tuple(r) for r in tables.read_registry_yaml(spark, str(tmp_path / "sources.yaml")).orderBy("source_idx").collect()]
+    assert got == [(0, "a-b", "https://h/x?y=1#z", "txt", False, "cn"), (2, "c", "http://c/d", "m3u", True, "hk_tw")]
+
+
+def test_landed_guides_equal_whole_texts(spark, tmp_path):
+    parts = "".join(f'<channel id="c{k}"><display-name>D{k}</display-name></channel>' for k in range(4)), "".join(f'<programme start="{k}" channel="c{k}"><title>T</title></programme>' for k in range(5))
+    texts = ["<?xml version='1.0'?><tv>" + "".join(parts) + "</tv>", "<tv>" + parts[0] + "</broken", "no guide", "<tv></tv>", "<tv>" + parts[1] + "</tv>"]
+    for k, t in enumerate(texts):
+        (tmp_path / f"g{k}.xml").write_text(t)
+    registry = spark.createDataFrame([(k, f"g{k}", True) for k in range(5)], "source_idx int, name string, enabled boolean")
+    whole = tables.read_guides(spark.createDataFrame(list(enumerate(texts)), "doc_idx int, xml string"))
+    landed = tables.read_landed_guides(spark, str(tmp_path), registry)
+    for a, b in zip(whole, landed, strict=True):
+        assert sorted(map(tuple, a.drop("element").collect())) == sorted(map(tuple, b.drop("element").collect()))
