@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .dims import title_for
 from .names import has_chinese, strip
 
 # Keywords by category, in the order in which categories are tried; within one, order does not matter.
@@ -55,7 +54,3 @@ def classify_with_region(name: Column | str, group_title: Column | str, region:
     ruled, region = classify_by_rules(name, group_title), F.coalesce(_column(region), F.lit("cn"))
     foreign = F.when(has_chinese(_column(name)), ruled).otherwise("overseas")
     return F.when(region == "hotel", "special").when(region == "overseas", foreign).otherwise(ruled)
-
-
-def classified_title(category: Column | str) -> Column:
-    return title_for(category)

@@ -427,11 +427,11 @@ def f12_default_alive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # What each clean name matches: standard name, how; else the category by rules.
 MATCHED = {
-    "CCTV-1": ("CCTV-1", "exact"), "湖南卫视": ("湖南卫视", "exact"), "凤凰卫视": ("凤凰卫视中文台", "alias"), "TVB Jade": ("TVB Jade", "exact"), "湖南台": ("湖南卫视", "alias"),
+    "CCTV-7": ("CCTV-7", "exact"), "东方卫视": ("东方卫视", "exact"), "凤凰资讯台": ("凤凰卫视中文台", "alias"), "TVB Jade": ("TVB Jade", "exact"), "湖南台": ("湖南卫视", "alias"),
 }
 RULED = {
-    "CCTV-1综合": "cctv", "CCTV-1 综合": "cctv", "CCTV": "cctv", "TV": "overseas", "央视CCTV1": "cctv", "CCTV-5+": "cctv", "BBC News": "overseas", "北京新闻": "local",
-    "ESPN 2": "sports", "Radio One": "radio", "斗鱼直播": "live", "某某频道": "local", "CNN": "overseas", "香港开电视": "gangtai",
+    "{} 东方卫视": "weishi", "东方影业": "local", "CCTV-07 军事": "cctv", "CCTV-7 - 国防": "cctv", "CCTV - 7": "cctv", "Kanal 8": "overseas", "TV": "overseas", "我的CCTV9": "cctv",
+    "CCTV-17+ 农业": "cctv", "BBC News": "overseas", "北京新闻": "local", "ESPN 2": "sports", "Radio One": "radio", "斗鱼直播": "live", "某某频道": "local", "CNN": "overseas", "香港开电视": "gangtai",
 }
 CHANNEL = {c[0]: c for c in derive.CHANNELS}
 NAME_ROWS = text_list(
@@ -801,7 +801,7 @@ def u4_stored_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Scalars
 
-@query(f"WITH {NAMED} SELECT event_id, CASE clean {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in (RULED | {'CCTV-1': 'cctv', '湖南卫视': 'weishi', '凤凰卫视': 'weishi', 'TVB Jade': 'gangtai', '湖南台': 'local'}).items())} END AS category FROM e")
+@query(f"WITH {NAMED} SELECT event_id, CASE clean {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in (RULED | {'CCTV-7': 'cctv', '东方卫视': 'weishi', '凤凰资讯台': 'gangtai', 'TVB Jade': 'gangtai', '湖南台': 'local'}).items())} END AS category FROM e")
 def r2_classify_by_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned(spark, sf_dir).select("event_id", classify_by_rules("name", "group_title").alias("category"))
 
