@@ -7,8 +7,8 @@ third of all rows is one row), then looked up: the slot's digest is compared byt
 group, and nonmembers form groups of their own.
 
 Defined cases: null text counts as empty; the largest id of a group wins (a null id only where all are null); rows that
-repeat id and text are one document and share the verdict; an empty table gives an empty result; further columns of the
-input are ignored.
+repeat id and text are one document and share the verdict; texts are hashed whole, however long; an empty table gives an
+empty result; further columns of the input, whatever their names, are not read.
 """
 
 from __future__ import annotations

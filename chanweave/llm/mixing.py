@@ -9,7 +9,7 @@ order, the last document in part. The order is by MD5 of "seed:doc_id"; running
 source with a third of all rows never meets in one task.
 
 Defined cases: null or empty text has size 0 and takes 0; a null source is a source; rows that repeat an id are counted
-each; null ids are ordered by the MD5 of their text; an empty table gives an empty result; only the three named columns are read,
+each; null ids are ordered by the MD5 of their text; an empty table gives an empty result; a text counts by its words, however long; only the three named columns are read,
 and `repeat` passes all columns through whatever their names. Rows of one repeated id share a hash cell: an id that
 repeats in a great part of all rows is sorted in one task, which spills.
 """

@@ -9,7 +9,8 @@ Match places come from the lengths of the matches and of what stands between the
 document's matches of a rule; lengths are in code points.
 
 Defined cases: null text is empty; a document without a match gives zero counts and the digest of an empty string; rows
-that repeat id and text get the same answer; an empty table gives an empty result; texts are scanned whole.
+that repeat id and text get the same answer; an empty table gives an empty result; texts are scanned whole, however long.
+Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ input), so it runs on the driver and comes back as one literal. Rows get their r
 cells, so that no window holds more than about `rows_per_cell` of them.
 
 Defined cases: null text has size 1 and checksum 0; rows with a null id are placed by checksum and size; rows that
-repeat an id share its ring position and take neighbouring ranks; an empty table gives an empty result.
+repeat an id share its ring position and take neighbouring ranks; a text counts by its bytes, however long; an empty table
+gives an empty result. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
