@@ -1,6 +1,12 @@
 """From documents to packed training sequences, one operator a stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+
+Defined cases: a null or empty text, and one of white space alone, has no language and goes in the first stage; null
+languages are filled in there; null ids and sources stay, as the operators' modules say. Ties: of near copies the least id
+stays. Rows that repeat id and text stay repeated until the near-duplicate join, which keeps one. Texts are read whole,
+however long. An empty table, or a stage that keeps nothing, gives empty tables from there on. Further columns pass through
+to mixing; those named `__runs`, `__clean` or `__key` would clash with the stages' own and must be renamed.
 """
 
 from __future__ import annotations
