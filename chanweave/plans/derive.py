@@ -21,6 +21,9 @@ SELECT event_id AS ord, concat('n', user_id % 997) AS name, {URL_SQL} AS url, {C
        CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(event_id * 31 % 1000 AS INT) END AS latency_ms
 FROM events"""
 
+#: The same with so few addresses that names in different categories share them.
+SHARED_SQL = CANDIDATE_SQL.replace("concat('http://h', event_id % 11, '.example.com/', event_id % 499)", "concat('http://s.example.com/', event_id % 97)")
+
 #: Raw names with the names they clean to (null: dropped): examples of our own for every step of cleaning.
 RAW_NAMES = (
     ("{720i} 东方卫视", "{} 东方卫视"),

@@ -699,6 +699,12 @@ def w5_select_best_3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selected(spark, sf_dir, 3).select(*SEL)
 
 
+@query(f"WITH {best(1)} SELECT ord, name, url, category, standard_name FROM sel".replace(derive.CANDIDATE_SQL, derive.SHARED_SQL))
+def w5_select_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One link a name, where addresses are shared over categories: the global owner and radio lose rows, too."""
+    return select.select_best(derive.from_events(spark, sf_dir, derive.SHARED_SQL), 1).select(*SEL)
+
+
 @query(f"WITH {C} SELECT ord, url FROM c WHERE alive AND url <> '' QUALIFY row_number() OVER (PARTITION BY url ORDER BY ord) = 1")
 def w6_dedup_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also the filter on rows known alive (F8)."""
