@@ -29,12 +29,27 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read, release
+from .common import cut, delete, read, shared_folder
 
 SAMPLE, LEAF, TREES = 4096, 256, 8
 DEGREE, REVERSE, STOP = 32, 32, 0.02
-BEAM, A_HOP = 256, 32
+BEAM, A_HOP = 160, 64
 BROADCAST_BYTES = 32 << 20
+SINGLE, DOUBLE = "<f4", "<f8"
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Written once and read again: rounds and hops start from what the last one left, and compute nothing twice."""
+    spark, folder = df.sparkSession, shared_folder(df.sparkSession, "ann")
+    df.write.parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out.folder = folder
+    return out
+
+
+def _forget(df: DataFrame) -> None:
+    """Delete what `_stored` wrote, when nothing reads it any more."""
+    delete(df.sparkSession, df.folder)
 
 
 def _usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -46,27 +61,32 @@ def _usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return good.where(F.size("v") == (length["n"] if length else 0))
 
 
-def _pack_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"vec_id": batch["vec_id"], "vec": [(np.asarray(x, dtype=np.float64) + 0.0).tobytes() for x in batch["v"]]})
+def _packed(rows: DataFrame, kind: str) -> DataFrame:
+    """(vec_id, vec): components as bytes, in the column's own precision."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"vec_id": batch["vec_id"], "vec": [(np.asarray(x, dtype=kind) + 0.0).astype(kind).tobytes() for x in batch["v"]]})
+
+    return rows.mapInPandas(run, "vec_id long, vec binary")
 
 
-def _matrix(vectors, kind: type = np.float64) -> np.ndarray:
+def _matrix(vectors, kind: str = DOUBLE) -> np.ndarray:
     return np.frombuffer(b"".join(vectors), dtype=kind).reshape(len(vectors), -1).astype(np.float64) if len(vectors) else np.empty((0, 0))
 
 
-def _narrow(nodes: DataFrame) -> DataFrame:
+def _narrow(nodes: DataFrame, kind: str) -> DataFrame:
     """(id, vec) in single precision, divided by the table's largest component, so that no value overflows."""
 
     def largest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"x": [np.abs(_matrix(batch["vec"].tolist())).max(initial=0.0)]})
+            yield pd.DataFrame({"x": [np.abs(_matrix(batch["vec"].tolist(), kind)).max(initial=0.0)]})
 
     most = nodes.mapInPandas(largest, "x double").agg(F.max("x")).first()[0] or 1.0
 
     def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = (_matrix(batch["vec"].tolist()) / most).astype(np.float32)
+            x = (_matrix(batch["vec"].tolist(), kind) / most).astype(SINGLE)
             yield pd.DataFrame({"id": batch["id"], "vec": [row.tobytes() for row in x]})
 
     return nodes.mapInPandas(narrow, "id long, vec binary")
@@ -104,11 +124,11 @@ def _first_graph(nodes: DataFrame, count: int, degree: int, trees: int) -> DataF
     """(u, v, d): for each node the nearest rows of its leaves."""
     depth = max(0, int(np.ceil(np.log2(max(1, count) / LEAF))))
     sample = nodes.orderBy(F.xxhash64("id")).limit(SAMPLE).select("vec").collect()
-    planes = _fit_trees(_matrix([r["vec"] for r in sample], np.float32), depth, trees if depth else 1)
+    planes = _fit_trees(_matrix([r["vec"] for r in sample], SINGLE), depth, trees if depth else 1)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = _matrix(batch["vec"].tolist(), np.float32)
+            x = _matrix(batch["vec"].tolist(), SINGLE)
             for tree, levels in enumerate(planes):
                 at = np.zeros(len(x), dtype=np.int64)
                 for plane, cuts in levels:
@@ -118,7 +138,7 @@ def _first_graph(nodes: DataFrame, count: int, degree: int, trees: int) -> DataF
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ids, vectors in zip(batch["ids"], batch["vecs"], strict=True):
-                ids, x = np.asarray(ids), _matrix(list(vectors), np.float32)
+                ids, x = np.asarray(ids), _matrix(list(vectors), SINGLE)
                 d = squared(x, x)
                 np.fill_diagonal(d, np.inf)
                 k = min(degree, len(ids) - 1)
@@ -157,7 +177,7 @@ def _descend(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, turn
         for batch in batches:
             us, vs, ds = [], [], []
             for ids, new, worst, vectors in zip(batch["ids"], batch["news"], batch["worsts"], batch["vecs"], strict=True):
-                ids, new, worst, x = np.asarray(ids), np.asarray(new, dtype=bool), np.asarray(worst), _matrix(list(vectors), np.float32)
+                ids, new, worst, x = np.asarray(ids), np.asarray(new, dtype=bool), np.asarray(worst), _matrix(list(vectors), SINGLE)
                 d = squared(x, x)
                 tried = (new[:, None] | new[None, :]) & (d < worst[:, None])
                 np.fill_diagonal(tried, False)
@@ -172,43 +192,45 @@ def _descend(graph: DataFrame, nodes: DataFrame, degree: int, reverse: int, turn
     return _nearest(graph.withColumn("new", F.lit(False)).unionByName(better), degree)
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, reverse: int = REVERSE, stop: float = STOP, trees: int = TREES) -> DataFrame:
+def build_graph(nodes: DataFrame, kind: str = DOUBLE, degree: int = DEGREE, reverse: int = REVERSE, stop: float = STOP, trees: int = TREES) -> DataFrame:
     """(id, vec) -> (id, vec, near): every node with its neighbours' ids, reverse ones included. Can be written and reread.
 
     Each round lowers the sum of distances or changes nothing, so rounds end; stop = 1 leaves the first graph as it is.
     """
-    small, turn = cut(_narrow(nodes)), 0
-    graph = cut(_first_graph(small, nodes.count(), degree, trees))
+    small, turn = _stored(_narrow(nodes, kind)), 0
+    graph = _stored(_first_graph(small, nodes.count(), degree, trees))
     while True:
         entries = graph.agg(F.count(F.lit(1)).alias("all"), F.count_if("new").alias("new")).first()
         if entries["new"] <= stop * entries["all"]:
             break
-        before, graph, turn = graph, cut(_descend(graph, small, degree, reverse, turn)), turn + 1
-        release(before)
+        before, graph, turn = graph, _stored(_descend(graph, small, degree, reverse, turn)), turn + 1
+        _forget(before)
+    _forget(small)
     back = graph.select(F.col("v").alias("id"), F.col("u").alias("to"), F.row_number().over(Window.partitionBy("v").orderBy("d", "u")).alias("place"))
     links = graph.select(F.col("u").alias("id"), F.col("v").alias("to")).union(back.where(F.col("place") <= reverse).select("id", "to"))
     return nodes.join(links.groupBy("id").agg(F.collect_set("to").alias("near")), "id", "left")
 
 
-def _hop(batches: Iterator[pd.DataFrame], beam: int, a_hop: int) -> Iterator[pd.DataFrame]:
-    """Merge what a hop found into each query's beam and choose what the next hop expands."""
+def _hop(batches: Iterator[pd.DataFrame], beam: int, a_hop: int, kind: str) -> Iterator[pd.DataFrame]:
+    """Merge what a hop found into each query's list and choose what the next hop expands."""
     for batch in batches:
         out = []
-        for q, vec, ids, dists, done, found in zip(batch["q"], batch["qvec"], batch["ids"], batch["ds"], batch["done"], batch["found"], strict=True):
-            best = dict(zip(map(int, ids), map(float, dists), strict=True))
-            fresh = [(v, x) for v, x in {int(f["v"]): f["vec"] for f in found}.items() if v not in best]
-            if fresh:
-                d = np.sqrt(((_matrix([x for _, x in fresh]) - np.frombuffer(vec, dtype=np.float64)) ** 2).sum(axis=1))
-                best.update(zip((v for v, _ in fresh), d.tolist(), strict=True))
-            order = sorted(best, key=lambda v: (best[v], v))
-            expanded = set(map(int, done))
-            todo = [v for v in order[:beam] if v not in expanded][:a_hop]
-            # Everything seen stays in the list, so that nothing is fetched twice.
-            out.append((q, vec, order, [best[v] for v in order], sorted(expanded | set(todo)), todo))
+        for q, vec, ids, ds, done, found, vectors in zip(*(batch[c] for c in ("q", "qvec", "ids", "ds", "done", "found", "vectors")), strict=True):
+            ids, ds, done = np.asarray(ids, dtype=np.int64), np.asarray(ds, dtype=np.float64), np.asarray(done, dtype=np.int64)
+            v, at = np.unique(np.asarray(found, dtype=np.int64), return_index=True)
+            fresh = ~np.isin(v, ids)
+            if fresh.any():
+                d = np.sqrt(((_matrix([vectors[k] for k in at[fresh]], kind) - np.frombuffer(vec, dtype=kind).astype(np.float64)) ** 2).sum(axis=1))
+                ids, ds = np.concatenate([ids, v[fresh]]), np.concatenate([ds, d])
+                order = np.lexsort((ids, ds))
+                ids, ds = ids[order], ds[order]
+            todo = ids[:beam][~np.isin(ids[:beam], done)][:a_hop]
+            # Everything seen stays in the list, so that nothing is compared twice.
+            out.append((q, vec, ids, ds, np.concatenate([done, todo]), todo))
         yield pd.DataFrame(out, columns=["q", "qvec", "ids", "ds", "done", "todo"])
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop: int = A_HOP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, kind: str = DOUBLE, beam: int = BEAM, a_hop: int = A_HOP, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """index: (id, vec, near); queries: (q, qvec, entry), entry a node's id. Gives (q, ids, ds), nearest first, k nodes at most."""
     state_schema = "q long, qvec binary, ids array<long>, ds array<double>, done array<long>, todo array<long>"
     vectors = index.select(F.col("id").alias("v"), "vec")
@@ -225,9 +247,10 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop
         # State and finds meet in one shuffle by query.
         found = hint(reached).join(vectors, "v").select("q", F.lit(None).alias("s"), F.struct("v", "vec").alias("f"))
         both = state.select("q", fields, F.lit(None).alias("f")).union(found).groupBy("q").agg(F.first("s", ignorenulls=True).alias("s"), F.collect_list("f").alias("found"))
-        state = cut(both.select("q", "s.*", "found").mapInPandas(lambda b: _hop(b, beam, a_hop), state_schema))
+        flat = both.select("q", "s.*", F.col("found.v").alias("found"), F.col("found.vec").alias("vectors"))
+        state = _stored(flat.mapInPandas(lambda b: _hop(b, beam, a_hop, kind), state_schema))
         if before is not None:
-            release(before)
+            _forget(before)
         before = state
         frontier = state.select("q", F.explode("todo").alias("e"))
         if frontier.isEmpty():
@@ -237,13 +260,14 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM, a_hop
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", vector: str = "embedding", stop: float = STOP, trees: int = TREES) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest other rows of each row where `is_query` (over vec_id) holds."""
-    usable = cut(_usable(rows, vec_id, vector).mapInPandas(_pack_rows, "vec_id long, vec binary").distinct())
+    kind = SINGLE if dict(rows.dtypes)[vector] == "array<float>" else DOUBLE
+    usable = cut(_packed(_usable(rows, vec_id, vector), kind).distinct())
     nodes = cut(usable.groupBy("vec").agg(F.min("vec_id").alias("id")).select("id", "vec"))
-    index = cut(build_graph(nodes, stop=stop, trees=trees))
+    index = _stored(build_graph(nodes, kind, stop=stop, trees=trees))
     member = usable.join(nodes, "vec").select("id", "vec_id")
     asked = cut(member.where(is_query))
     queries = asked.select("id").distinct().join(nodes, "id").select(F.col("id").alias("q"), F.col("vec").alias("qvec"), F.col("id").alias("entry"))
-    found = search(index, queries, k + 1)
+    found = search(index, queries, k + 1, kind)
     near = found.select("q", F.explode(F.arrays_zip("ids", "ds")).alias("n")).select("q", F.col("n.ids").alias("id"), F.col("n.ds").alias("score"))
     # The k + 1 least ids of a node are all that can be asked for: first in parts of it, then whole.
     part = F.pmod(F.xxhash64("vec_id"), F.lit(64))
