@@ -149,8 +149,12 @@ def write_run(spark: SparkSession, entries: DataFrame, out: str, probing: bool,
 
 def merge_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame, DataFrame]:
     """Channels and programmes of all guide documents, first ones kept; with `element`, whole ones to be written."""
-    channels, programmes = read_guides(documents, element)
-    return guide.merge_guide_channels(channels, element), guide.merge_guide_programmes(programmes, element)
+    channels, programmes = read_guides(documents, element=False)
+    channels, programmes = guide.merge_guide_channels(channels), guide.merge_guide_programmes(programmes)
+    if not element:
+        return channels, programmes
+    whole = read_guides(documents)
+    return guide.with_elements(channels, whole[0]), guide.with_elements(programmes, whole[1])
 
 
 def source_health(old: DataFrame, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1) -> DataFrame:

@@ -242,7 +242,7 @@ CASE WHEN CAST(stop AS BIGINT) % 5 <> 0 THEN concat('k', CAST(stop AS BIGINT) %
 def s9_write_guide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One guide in parts, read again as elements; their order and the document as a whole are in s9_guide_lines and the tests."""
     path = scratch.shared_folder(spark, "guide")
-    channels, programmes = jobs.merge_guides(derive.guide_documents(spark, sf_dir))
+    channels, programmes = jobs.merge_guides(scratch.cut(derive.guide_documents(spark, sf_dir)))
     sinks.write_guide(channels, programmes, path, part_entries=250)
     read = tables.read_written_guide(spark, path)[1].select("element.*")
     fields = [F.col(f"_{c}").alias(c) for c in ("channel", "start", "stop")]
@@ -255,7 +255,7 @@ SELECT 0::BIGINT AS place, '<tv>' AS what UNION ALL SELECT row_number() OVER (OR
 def s9_guide_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The guide's parts put together in order: root, channels, programmes, end of the root."""
     path = scratch.shared_folder(spark, "guide")
-    channels, programmes = jobs.merge_guides(derive.guide_documents(spark, sf_dir))
+    channels, programmes = jobs.merge_guides(scratch.cut(derive.guide_documents(spark, sf_dir)))
     sinks.write_guide(channels, programmes, path, part_entries=100)
     line = quality.line_numbers(quality.read_written(spark, path)).withColumn("line", F.trim("line"))
     tag = F.regexp_extract("line", "^<(/?tv|channel|programme)[ >/]", 1)
