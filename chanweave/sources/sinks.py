@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.order import numbered
+from ..scratch import delete, shared_folder
 
 HEADER, ROOT = "#EXTM3U", "tv"
 #: Entries of a part of a list; parts' numbers have so many digits, so their names are in order.
@@ -48,12 +49,17 @@ def write_guide(channels: DataFrame, programmes: DataFrame, path: str, part_entr
     then all programmes, each in the order of documents and elements. Elements are whole, one entry each."""
     spark = channels.sparkSession
     options = {"ignoreSurroundingSpaces": "false"}
-    kinds = [numbered(rows, "doc_idx", "elem_idx").select("number", F.to_xml("element", {**options, "rowTag": tag}).alias("value")) for rows, tag in ((channels, "channel"), (programmes, "programme"))]
-    before = [kinds[0].count()]  # numbers are places, so one count tells where programmes begin
-    last = before[0] + kinds[1].count() + 1
+    folder = shared_folder(spark, "guide")
+    kinds = []
+    for rows, tag in ((channels, "channel"), (programmes, "programme")):  # made once; dealing out by ranges looks at its rows twice
+        rows.select("doc_idx", "elem_idx", F.to_xml("element", {**options, "rowTag": tag}).alias("value")).write.parquet(f"{folder}/{tag}")
+        kinds.append(numbered(spark.read.parquet(f"{folder}/{tag}"), "doc_idx", "elem_idx"))
+    before = kinds[0].count()  # numbers are places, so one count tells where programmes begin
+    last = before + kinds[1].count() + 1
     ends = spark.createDataFrame([(0, f'<?xml version="1.0" encoding="UTF-8"?>\n<{ROOT}>'), (last, f"</{ROOT}>")], "pos long, value string")
-    body = kinds[0].select(F.col("number").alias("pos"), "value").unionByName(kinds[1].select((F.col("number") + before[0]).alias("pos"), "value"))
+    body = kinds[0].select(F.col("number").alias("pos"), "value").unionByName(kinds[1].select((F.col("number") + before).alias("pos"), "value"))
     write_playlists(ends.unionByName(body).select(F.lit(GUIDE).alias("playlist"), "pos", "value"), path, part_entries)
+    delete(spark, folder)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
