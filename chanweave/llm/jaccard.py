@@ -6,10 +6,10 @@ A document is the set of its distinct word shingles (64-bit hashes). Equal sets
 Roots. With sizes in one band, linked sets differ in at most d tokens. The hash range is cut into more than d segments,
 so linked sets agree in whole segments, and non-empty ones among them (a set with too many empty segments also files
 those). All classes that share a segment are put into the group of the least class among them, so every link lies inside
-a group; the many segments that two near copies share lead to few groups. A segment that over `HOT` sets share, such as a
-frequent shingle alone, is left out of a set if with its empty segments that leaves enough: there are `spare` segments
-more than needed, so two linked sets agree in at least one that neither leaves out. Nothing is lost, and a frequent
-passage does not bring unlike documents together.
+a group; the many segments that two near copies share lead to few groups. There are `spare` segments more than needed, so
+a set leaves out its most frequent ones, as many as are spare after its empty ones, among those that over `HOT` sets
+share. Frequency is one order for all sets: of the segments in which two linked sets agree, which are more than either may
+leave out, the rarest stays in both. Nothing is lost, and a frequent passage does not bring unlike documents together.
 
 Trees. Each group is a tree whose nodes hold the OR of their members' token bitmaps and the range of their sizes. The
 dual traversal starts at the root paired with itself and drops a pair of nodes when the largest possible overlap (common
@@ -21,7 +21,10 @@ against the members not reached yet, and each link found is one of a spanning fo
 at most m - 1 links and never its pairs.
 
 Large groups (over `CHUNK` members or `CHUNK_TOKENS` tokens) are dealt out in chunks. First each chunk is settled alone
-and together with the first one, so rows stay in proportion to members, and the components are computed. Then only
+and together with the first one, so rows stay in proportion to members, and the components are computed. The members of
+groups of over two chunks are then filed a second time, in a fine layout of little more than a token a segment, where
+sets that have a long passage in common and are unlike otherwise leave the whole passage out; groups of one component are
+done with. Then only
 members outside the group's largest component remain to be held against the rest: pairs of chunks inside it are left out.
 Components come from alternating star contraction, every step an aggregation with map-side combine and a join that
 adaptive execution can split.
@@ -100,18 +103,21 @@ def _bands(largest: int = 1 << 40) -> list[int]:
 BANDS = np.array(_bands())
 
 
-def layout(band: int, percent: int) -> tuple[int, int, np.ndarray]:
-    """(most differing tokens, spare segments, where segments begin) for pairs whose larger set is in the band."""
+def layout(band: int, percent: int, fine: bool = False) -> tuple[int, int, np.ndarray]:
+    """(most differing tokens, spare segments, where segments begin) for pairs whose larger set is in the band.
+
+    fine: segments of about a token at 0.85, most of them spare.
+    """
     differ = (100 - percent) * 2 * (int(BANDS[band + 1]) - 1) // (100 + percent)
-    spare = 8 + differ // 8
+    spare = 8 + (4 * differ if fine else differ // 8)
     segments = differ + 1 + spare
     step = (1 << 64) / segments
     return differ, spare, np.array([min(int(j * step), (1 << 64) - 1) for j in range(segments)], dtype=np.uint64)
 
 
-def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> tuple[np.ndarray, dict[int, int]]:
-    """Keys such that linked, unequal sets share one; and by band how many of them may be left out, if all that are
-    left out are left out of every set. layouts: remembers the layout of each band met."""
+def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple], fine: bool = False) -> tuple[np.ndarray, dict[int, int]]:
+    """Keys such that linked, unequal sets share one; and by band how many of them may be left out, the last ones in an
+    order of all keys that is the same for all sets. layouts: remembers the layout of each band met."""
     n = len(tokens)
     own = int(np.searchsorted(BANDS, n, side="right")) - 1
     sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(_mix(tokens), dtype=np.uint64)))
@@ -120,7 +126,7 @@ def block_keys(tokens: np.ndarray, percent: int, layouts: dict[int, tuple]) -> t
         if 100 * n < percent * BANDS[band]:
             break
         if band not in layouts:
-            layouts[band] = layout(band, percent)
+            layouts[band] = layout(band, percent, fine)
         differ, spare, begins = layouts[band]
         if not differ:
             continue
@@ -228,7 +234,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
 
 
-def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, k: int, percent: int, fine: bool = False) -> DataFrame:
     """(doc_id, hash, n, class, bits, keys, rooms) of every row; classes met before in the task have no keys.
 
     rooms: how many keys of each band (by its number modulo 8) may be left out.
@@ -243,7 +249,7 @@ def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
             seen: set[int] = set()
             keys, rooms = [], []
             for own, tokens in zip(classes, found, strict=True):
-                filed = (None, {}) if own in seen or not len(tokens) else block_keys(tokens, percent, layouts)
+                filed = (None, {}) if own in seen or not len(tokens) else block_keys(tokens, percent, layouts, fine)
                 keys.append(filed[0])
                 rooms.append([filed[1].get(band, -1) for band in range(1 << BAND_BITS)] if filed[1] else None)
                 seen.add(own)
@@ -256,16 +262,18 @@ def _sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
 def _lead_groups(sets: DataFrame) -> DataFrame:
     """(lead, id): classes that share a key, in the group of the least of them."""
     filed = sets.select(F.explode("keys").alias("key"), F.col("class").alias("id"))
-    own = Window.partitionBy("key")
-    known = filed.withColumn("lead", F.min("id").over(own)).withColumn("most", F.max("id").over(own)).withColumn("times", F.count(F.lit(1)).over(own))
+    shared = filed.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("most"), F.count(F.lit(1)).alias("times"))
+    # Cut, so that in the join adaptive execution can split a key that many sets share.
+    shared = cut(shared.where("lead <> most").select("key", "lead", "times"))
+    known = cut(filed.join(shared, "key").select("lead", "id", "key", "times"))
+    release(shared)
     band = F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int").alias("band")
-    known = cut(known.where("lead <> most").select("lead", "id", band, (F.col("times") > HOT).alias("hot")))
-    hot = known.where("hot").groupBy("id", "band").agg(F.count(F.lit(1)).alias("hot_keys"))
+    # Distinct, since several tasks may have filed a class.
+    hot = known.where(F.col("times") > HOT).select("lead", "id", "key", "times", band).distinct()
     rooms = sets.where("rooms IS NOT NULL").select(F.col("class").alias("id"), "rooms").dropDuplicates(["id"])
-    # A class filed by several tasks counts as often there, so it keeps its keys rather than lose one.
-    spared = hot.join(rooms, "id").where(F.col("hot_keys") <= F.get("rooms", "band")).select("id", "band")
-    rest = known.where("hot").join(spared, ["id", "band"], "left_anti")
-    groups = known.where("NOT hot").select("lead", "id").union(rest.select("lead", "id")).distinct()
+    place = F.row_number().over(Window.partitionBy("id", "band").orderBy(F.desc("times"), F.desc("key")))
+    rest = hot.withColumn("place", place).join(rooms, "id").where(F.col("place") > F.get("rooms", "band"))
+    groups = known.where(F.col("times") <= HOT).select("lead", "id").union(rest.select("lead", "id")).distinct()
     found = cut(groups)
     release(known)
     return found
@@ -276,15 +284,20 @@ def _few(rows: DataFrame, bytes_each: int) -> DataFrame:
     return F.broadcast(rows) if rows.count() * bytes_each <= BROADCAST_BYTES else rows
 
 
+def _texts_of(docs: DataFrame, owners: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, doc_id, hash, text) of the classes named, from one document each."""
+    named = cut(owners.join(ids, "id").select("id", "d"))
+    texts = docs.select(F.struct("doc_id", "hash").alias("d"), "text").join(_few(named, 64), "d")
+    return texts.select("id", "d.doc_id", "d.hash", "text")
+
+
 def _tokens_of(docs: DataFrame, owners: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     """(id, tokens) of the classes named, from one document each; tokens are packed 64-bit integers."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (b.iloc[lo : lo + BLOCK_DOCS] for b in batches for lo in range(0, len(b), BLOCK_DOCS)):
             yield pd.DataFrame({"id": batch["id"], "tokens": [shingles(t, k).tobytes() for t in batch["text"]]})
 
-    named = cut(owners.join(ids, "id").select("id", "d"))
-    texts = docs.select(F.struct("doc_id", "hash").alias("d"), "text").join(_few(named, 64), "d")
-    return texts.select("id", "text").mapInPandas(run, "id long, tokens binary").dropDuplicates(["id"])
+    return _texts_of(docs, owners, ids).select("id", "text").mapInPandas(run, "id long, tokens binary").dropDuplicates(["id"])
 
 
 def _trees(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
@@ -415,17 +428,17 @@ def _chunks(members: str, tokens: str):
 
 
 def _first_trees(groups: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Each chunk of a group alone, and together with the group's first chunk."""
+    """(lead, id, g, n, bits): each chunk of a group alone, and together with the group's first chunk."""
     rows = groups.join(sizes, "lead").withColumn("own", F.pmod(F.xxhash64("id"), "chunks").cast("int"))
     others = F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), F.col("own")))
-    rows = rows.select("lead", "id", "n", "bits", "own", F.explode(others).alias("other"))
+    rows = rows.select("lead", "id", "g", "n", "bits", "own", F.explode(others).alias("other"))
     pair = (F.when((F.col("own") == 0) | (F.col("other") == 0), 0).otherwise(F.col("own")), F.greatest("own", "other"))
-    return rows.select(F.xxhash64("lead", *pair).alias("tree"), "id", F.col("id").alias("g"), "n", "bits")
+    return rows.select(F.xxhash64("lead", *pair).alias("tree"), "id", "g", "n", "bits")
 
 
 def _last_trees(groups: DataFrame, sizes: DataFrame, known: DataFrame) -> DataFrame:
     """Of groups with over two chunks: members outside the largest component against each other and against that one."""
-    rows = groups.join(sizes.where("chunks > 2").select("lead"), "lead").join(known, "id", "left").withColumn("g", F.coalesce("component", "id"))
+    rows = groups.drop("g").join(sizes.where("chunks > 2").select("lead"), "lead").join(known, "id", "left").withColumn("g", F.coalesce("component", "id"))
     counts = rows.groupBy("lead", "g").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
     whole = counts.groupBy("lead").agg(
         F.max_by(F.struct("g", "members", "tokens"), F.struct("members", "g")).alias("most"), F.sum("members").alias("members"), F.sum("tokens").alias("tokens"),
@@ -457,21 +470,46 @@ def classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFr
     named = cut(sets.select("doc_id", "hash", "n", "class"))
     release(sets)
 
-    groups = cut(pairs.join(owners.select("id", "n", "bits"), "id"))
+    groups = cut(pairs.join(owners.select("id", F.col("id").alias("g"), "n", "bits"), "id"))
     release(pairs)
-    sizes = cut(groups.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens")).select("lead", _chunks("members", "tokens").alias("chunks")))
-    links = cut(_links(_first_trees(groups, sizes), docs, owners, k, percent))
-    known = cut(components(links))
-    if not sizes.where("chunks > 2").isEmpty():
-        # Later links join whole components, so only the contracted graph is settled again.
-        more = _links(_last_trees(groups, sizes, known), docs, owners, k, percent)
-        of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
-        between = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
-        known = cut(_merged(known, components(cut(between))))
-    release(groups, sizes, owners, links)
+    sizes = cut(_chunks_of(groups))
+    known = cut(components(cut(_links(_first_trees(groups, sizes), docs, owners, k, percent))))
+    large = sizes.where("chunks > 2").select("lead")
+    if not large.isEmpty():
+        again = cut(groups.join(large, "lead").select("id").distinct())
+        release(groups, sizes)
+        groups = cut(_fine_groups(_texts_of(docs, owners, again), owners, known, k, percent))
+        sizes = cut(_chunks_of(groups))
+        known = _extended(known, _links(_first_trees(groups, sizes), docs, owners, k, percent))
+        if not sizes.where("chunks > 2").isEmpty():
+            known = _extended(known, _links(_last_trees(groups, sizes, known), docs, owners, k, percent))
+    release(groups, sizes, owners)
     return named, known
 
 
+def _chunks_of(groups: DataFrame) -> DataFrame:
+    counts = groups.groupBy("lead").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+    return counts.select("lead", _chunks("members", "tokens").alias("chunks"))
+
+
+def _fine_groups(texts: DataFrame, owners: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
+    """(lead, id, g, n, bits): groups of the classes of `texts` in the fine layout that hold more than one component."""
+    sets = cut(_sets(texts.select("doc_id", "hash", "text"), k, percent, fine=True))
+    pairs = _lead_groups(sets)
+    release(sets)
+    rows = cut(pairs.join(owners.select("id", "n", "bits"), "id").join(known, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component"))
+    release(pairs)
+    mixed = rows.groupBy("lead").agg(F.min("g").alias("least"), F.max("g").alias("most")).where("least <> most").select("lead")
+    return rows.join(cut(mixed), "lead")
+
+
+def _extended(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with further links. Those join whole components, so only the contracted graph is settled again."""
+    of = lambda c: known.select(F.col("id").alias(c), F.col("component").alias(f"g{c}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b"))
+    return cut(_merged(known, components(cut(between))))
+
+
 def _merged(known: DataFrame, joined: DataFrame) -> DataFrame:
     """Components of ids, and of those components, as one table."""
     joined = joined.select(F.col("id").alias("component"), F.col("component").alias("top"))

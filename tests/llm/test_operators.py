@@ -642,13 +642,16 @@ def test_frequent_segments_are_left_out_and_lose_no_link():
             common = len(np.intersect1d(x, y))
             if 100 * common < percent * (len(x) + len(y) - common) or not len(np.setxor1d(x, y)):
                 continue
-            hot = {int(k) for k in jaccard.block_keys(x, percent, {})[0] if rng.random() < 0.2}
-            filed = []
-            for tokens in (x, y):
-                keys, room = jaccard.block_keys(tokens, percent, {})
-                left = Counter(int(k) & 7 for k in keys if int(k) in hot)
-                filed.append({int(k) for k in keys if int(k) not in hot or left[int(k) & 7] > room[int(k) & 7]})
-            assert filed[0] & filed[1]
+            for fine in (False, True):
+                times = defaultdict(lambda: int(rng.integers(1, 5)))
+                filed = []
+                for tokens in (x, y):
+                    keys, room = jaccard.block_keys(tokens, percent, {}, fine)
+                    bands = defaultdict(list)
+                    for key in sorted(keys.tolist(), key=lambda key: (times[key], key), reverse=True):
+                        bands[key & 7].append(key)
+                    filed.append({key for band, own in bands.items() for key in own[max(0, room[band]) :]})
+                assert filed[0] & filed[1]
 
 
 @pytest.mark.parametrize("hot", [1, 3])
@@ -679,6 +682,21 @@ def test_jaccard_groups_of_many_chunks(spark, monkeypatch):
     assert Counter(map(tuple, jaccard.join(docs, 4, 85).collect())) == want
 
 
+def test_jaccard_long_common_passage(spark, monkeypatch):
+    rng = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(90))
+    texts = [f"{passage} " + " ".join(f"{g}x{k}" for k in range(30)) for g in range(60)]  # no two of them link
+    texts += [t + " more" for t in texts[:20]]
+    docs = documents(spark, [(1000 + k, t, "en", "s", 0, None, None, None) for k, t in enumerate(texts)])
+    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    want = plain_components([r.asDict() for r in docs.collect()], 4, 85)
+    monkeypatch.setattr(jaccard, "HOT", 30)
+    monkeypatch.setattr(jaccard, "CHUNK", 4)
+    biggest = lambda fine: jaccard._lead_groups(jaccard._sets(rows, 4, 85, fine)).groupBy("lead").count().agg(F.max("count")).first()[0]
+    assert biggest(True) < 20 < 40 <= biggest(False)
+    assert Counter(map(tuple, jaccard.join(docs, 4, 85).collect())) == want
+
+
 def test_jaccard_one_group_of_copies_with_clashing_columns(spark):
     copies = [(k, "one two three four five six seven", "en", "s", 0, 0.0, None, None) for k in range(50)]
     docs = documents(spark, copies).where("doc_id is not null").cache().selectExpr("doc_id", "text", "lang as id", "source as tree", "n_chars as lead", "score as class", "key as component", "row as first")
