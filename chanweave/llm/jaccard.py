@@ -463,9 +463,9 @@ def classes_of(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFr
     """docs: doc_id, hash, text -> (doc_id, hash, n, class) of every row; (id, component) of linked classes."""
     sets = cut(_sets(docs, k, percent))
     pairs = _lead_groups(sets)
-    # One document of each class in a group stands for it.
+    # One document of each class in a group stands for it. Of copies in a block only the first has keys, so few meet here.
     own = F.struct("doc_id", "hash")
-    owners = sets.join(pairs.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
+    owners = sets.where("size(keys) > 0").join(pairs.select(F.col("id").alias("class")).distinct(), "class", "left_semi")
     owners = cut(owners.groupBy(F.col("class").alias("id")).agg(F.min(own).alias("d"), F.first("n").alias("n"), F.first("bits").alias("bits")))
     named = cut(sets.select("doc_id", "hash", "n", "class"))
     release(sets)
