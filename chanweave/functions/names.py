@@ -181,22 +181,33 @@ def _by_trie(names: DataFrame, name: str, rows: list[tuple[str, str]]) -> DataFr
 
 
 def _by_join(names: DataFrame, name: str, table: DataFrame) -> DataFrame:
-    """Pieces of each distinct name, as long as phrases can be, are looked up by an equi-join; the matches are then walked
-    from the left."""
-    longest = table.agg(F.max(F.length("traditional"))).first()[0] or 0
-    text = F.col("__text")
-    once = names.select(F.col(name).alias("__text")).where("__text IS NOT NULL").distinct()
-    starts = F.explode(F.sequence(F.lit(1), F.length(text))).alias("at")
-    pieces = once.where("__text <> ''").select("__text", starts)
-    pieces = pieces.select("__text", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length(text) - F.col("at") + 1))).alias("n"))
-    pieces = pieces.withColumn("traditional", F.substr(text, F.col("at"), F.col("n"))).join(table, "traditional")
-    best = pieces.groupBy("__text", "at").agg(F.max(F.struct("n", "simplified")).alias("m"))
-    found = best.groupBy("__text").agg(F.sort_array(F.collect_list(F.struct("at", "m.n", "m.simplified"))).alias("found"))
-    begin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+    """Each distinct name is cut at the characters that begin a phrase, into windows as long as such phrases can be. Beginnings
+    of distinct windows are looked up by an equi-join, and the matches are walked from the left.
+
+    The table of first characters has at most a row per character there is, so it goes to every task. Single characters are
+    looked up in it; what is shuffled grows with the places where a longer phrase can begin, not with the length of names.
+    """
+    text, length = F.col("__text"), F.length("traditional")
+    firsts = table.groupBy(F.substring("traditional", 1, 1).alias("first")).agg(F.max(length).alias("longest"), F.max(F.when(length == 1, F.col("simplified"))).alias("single"))
+    once = names.select(F.col(name).alias("__text")).where("__text <> ''").distinct()
+    starts = once.select("__text", F.explode(F.sequence(F.lit(1), F.length(text))).alias("at"))
+    starts = starts.withColumn("first", F.substr(text, F.col("at"), F.lit(1))).join(F.broadcast(firsts), "first")
+    starts = starts.select("__text", "at", F.substr(text, F.col("at"), F.col("longest")).alias("window"), "single")
+    long = starts.where(F.length("window") > 1)
+    windows = long.select("window").distinct()
+    begin = lambda n: F.substr(F.col("window"), F.lit(1), n)
+    pieces = windows.select("window", F.explode(F.sequence(F.lit(2), F.length("window"))).alias("n"))
+    # Lengths first: the aggregate over all matches stays free of texts that no window keeps.
+    best = pieces.join(table.where(length > 1).select("traditional"), begin(F.col("n")) == F.col("traditional")).groupBy("window").agg(F.max("n").alias("n"))
+    best = best.join(table, begin(F.col("n")) == F.col("traditional")).select("window", "n", "simplified")
+    looked_up = long.join(best, "window", "left").select("__text", "at", F.coalesce("n", F.lit(1)).alias("n"), F.when(F.col("n").isNull(), F.col("single")).otherwise(F.col("simplified")).alias("simplified"))
+    matches = looked_up.unionByName(starts.where(F.length("window") == 1).select("__text", "at", F.lit(1).alias("n"), F.col("single").alias("simplified"))).where("simplified IS NOT NULL")
+    found = matches.groupBy("__text").agg(F.sort_array(F.collect_list(F.struct("at", "n", "simplified"))).alias("found"))
+    origin = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
     step = lambda s, m: F.when(m["at"] < s["at"], s).otherwise(
         F.struct((m["at"] + m["n"]).alias("at"), F.concat(s["out"], F.substr(text, s["at"], m["at"] - s["at"]), m["simplified"]).alias("out"))
     )
-    walked = found.withColumn("s", F.aggregate("found", begin, step))
+    walked = found.withColumn("s", F.aggregate("found", origin, step))
     changed = walked.select("__text", F.concat("s.out", F.substr(text, F.col("s.at"), F.length(text))).alias("__changed"))
     joined = names.join(changed, F.col(name) == F.col("__text"), "left")
     return joined.withColumn(name, F.coalesce("__changed", name)).drop("__text", "__changed")

@@ -148,3 +148,26 @@ def test_long_blanks_in_names(spark):
     began = time.time()
     assert [r.name for r in df.select(names.clean_channel_name("name").alias("name")).collect()] == ["a b", "CCTV-1", "x—y"]
     assert time.time() - began < 20
+
+
+def _shuffled(spark, job):
+    """Rows that the job writes to shuffles."""
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    spark.sparkContext.setJobGroup("measured", "measured")
+    job()
+    ids = {s for j in spark.sparkContext.statusTracker().getJobIdsForGroup("measured") for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = store.stageList(None, False, False, none, None)
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()) if stages.apply(k).stageId() in ids)
+
+
+def test_join_shuffles_only_where_a_phrase_can_begin(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    phrases = session.createDataFrame([("龍12345678901", "x"), ("龍1", "y"), ("龍", "z")], "traditional string, simplified string")
+    rows = session.createDataFrame([(k, f"龍1 {k:04d} {'m' * 40} 龍{k}") for k in range(300)], "k int, name string")
+    want = {k: names.replaced(n, names.phrase_trie([("龍12345678901", "x"), ("龍1", "y"), ("龍", "z")])) for k, n in rows.collect()}
+    got = []
+    moved = _shuffled(session, lambda: got.extend(names._by_join(rows, "name", phrases).collect()))
+    assert {r.k: r.name for r in got} == want
+    assert moved < 60 * 300  # before: every piece of every name, over 500 a name
