@@ -122,22 +122,30 @@ def read_landed_guides(spark: SparkSession, path: str, registry: DataFrame, fold
     reader streams through a file, so no guide is ever one value. doc_idx is the source's place in the registry.
 
     A file that does not parse to its end gives no rows at all. Elements count wherever they lie; the format has them only
-    below the root.
+    below the root. Each of the two lists and reads the folder; where one is wanted, read_landed_channels and
+    read_landed_programmes do so once.
     """
-    element = {"channel": CHANNEL_ELEMENT, "programme": PROGRAMME_ELEMENT}
-
-    def rows(tag: str) -> DataFrame:
-        schema = StructType.fromDDL(f"x {element[tag]}")["x"].dataType
-        fields = schema.names
-        options = {"rowTag": tag, "columnNameOfCorruptRecord": BROKEN, "ignoreSurroundingSpaces": "false", "recursiveFileLookup": "true"}
-        read = spark.read.format("xml").options(**options).schema(schema.add(BROKEN, "string")).load(path)
-        read = read.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("element"), F.col(BROKEN).isNotNull().alias("broken"), "_metadata.file_path", "_metadata.file_name", F.monotonically_increasing_id().alias("row"))
-        named = read.select(source_name(folders).alias("name"), "file_path", "element", "broken", "row").join(enabled_sources(registry).select("source_idx", "name"), "name")
-        own = Window.partitionBy("file_path")
-        whole = named.withColumns({"elem_idx": F.row_number().over(own.orderBy("row")) - 1, "any": F.max("broken").over(own)})
-        return whole.where(~F.col("any")).select(F.col("source_idx").alias("doc_idx"), "elem_idx", "element")
-
-    return _channels(rows("channel"), ["element"]), _programmes(rows("programme"), ["element"])
+    return read_landed_channels(spark, path, registry, folders), read_landed_programmes(spark, path, registry, folders)
+
+
+def read_landed_channels(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
+    return _channels(_landed_elements(spark, path, registry, folders, "channel", CHANNEL_ELEMENT), ["element"])
+
+
+def read_landed_programmes(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
+    return _programmes(_landed_elements(spark, path, registry, folders, "programme", PROGRAMME_ELEMENT), ["element"])
+
+
+def _landed_elements(spark: SparkSession, path: str, registry: DataFrame, folders: bool, tag: str, element: str) -> DataFrame:
+    schema = StructType.fromDDL(f"x {element}")["x"].dataType
+    fields = schema.names
+    options = {"rowTag": tag, "columnNameOfCorruptRecord": BROKEN, "ignoreSurroundingSpaces": "false", "recursiveFileLookup": "true"}
+    read = spark.read.format("xml").options(**options).schema(schema.add(BROKEN, "string")).load(path)
+    read = read.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("element"), F.col(BROKEN).isNotNull().alias("broken"), "_metadata.file_path", "_metadata.file_name", F.monotonically_increasing_id().alias("row"))
+    named = read.select(source_name(folders).alias("name"), "file_path", "element", "broken", "row").join(enabled_sources(registry).select("source_idx", "name"), "name")
+    own = Window.partitionBy("file_path")
+    whole = named.withColumns({"elem_idx": F.row_number().over(own.orderBy("row")) - 1, "any": F.max("broken").over(own)})
+    return whole.where(~F.col("any")).select(F.col("source_idx").alias("doc_idx"), "elem_idx", "element")
 
 
 def read_written_guide(spark: SparkSession, path: str, element: bool = True) -> tuple[DataFrame, DataFrame]:

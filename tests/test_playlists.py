@@ -4,9 +4,10 @@ import random
 import re
 from xml.etree import ElementTree
 
+import pytest
 
 from chanweave.operators import quality
-from chanweave.plans import jobs
+from chanweave.plans import jobs, queries
 from chanweave.sources import playlists, sinks, tables
 
 SCHEMA = "source_idx int, source string, url string, type string, region string, content string"
@@ -185,3 +186,15 @@ def test_landed_guides_equal_whole_texts(spark, tmp_path):
     landed = tables.read_landed_guides(spark, str(tmp_path), registry)
     for a, b in zip(whole, landed, strict=True):
         assert sorted(map(tuple, a.drop("element").collect())) == sorted(map(tuple, b.drop("element").collect()))
+
+
+@pytest.mark.parametrize("query", ["s6_landed_programmes", "s6_landed_channels"])
+def test_landed_guides_are_listed_once(spark, tmp_path, query):
+    spark.range(80).selectExpr("id AS event_id", "id % 40 AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    spark.sparkContext.setJobGroup(query, query)
+    rows = queries.QUERIES[query](spark, str(tmp_path))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(query) for s in tracker.getJobInfo(j).stageIds]
+    assert sum(s is not None and s.name.startswith("load ") for s in stages) == 1  # Spark lists so many folders in a job
+    assert len(rows.collect()) == 2 * 39  # the guide of user 7 is broken
