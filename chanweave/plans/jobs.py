@@ -14,12 +14,15 @@ from ..functions.names import clean_channels
 from ..operators import guide, health, probe, quality, select, split
 from ..operators.match import match_and_classify
 from ..operators.order import numbered
+from ..scratch import cut
 from ..sources import history, sinks
 from ..sources.playlists import is_error_payload, parse_payloads
 from ..sources.tables import read_conversion, read_guides
 
 
 VERIFIED = "live_verified.m3u"
+#: Up to so many numbers of documents are sent to every task; more are joined by a shuffle.
+SENT_PLACES = 1 << 20
 
 
 def validate_run(spark: SparkSession, out: str) -> DataFrame:
@@ -153,8 +156,14 @@ def merge_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame,
     channels, programmes = guide.merge_guide_channels(channels), guide.merge_guide_programmes(programmes)
     if not element:
         return channels, programmes
-    whole = read_guides(documents)
-    return guide.with_elements(channels, whole[0]), guide.with_elements(programmes, whole[1])
+    channels, programmes = cut(channels), cut(programmes)
+    return guide.with_elements(channels, read_guides(_of_winners(documents, channels))[0]), guide.with_elements(programmes, read_guides(_of_winners(documents, programmes))[1])
+
+
+def _of_winners(documents: DataFrame, winners: DataFrame) -> DataFrame:
+    """The documents that winners lie in: only these are parsed whole. Places are counted before they are sent to tasks."""
+    places = winners.select("doc_idx").distinct()
+    return documents.join(F.broadcast(places) if places.count() <= SENT_PLACES else places, "doc_idx", "left_semi")
 
 
 def source_health(old: DataFrame, new: DataFrame, registry: DataFrame, probe_mode: bool = True, total: int = 1) -> DataFrame:

@@ -101,9 +101,10 @@ def read_guides(documents: DataFrame, element: bool = True) -> tuple[DataFrame,
     options = {"ignoreSurroundingSpaces": "false"}
     parsed = documents.where(is_guide_payload("xml")).select("doc_idx", F.from_xml("xml", GUIDE_SCHEMA if element else NARROW_SCHEMA, options).alias("tv"))
     whole = ["element"] if element else []
-    channels = parsed.select("doc_idx", F.posexplode("tv.channel").alias("elem_idx", "element"))
-    programmes = parsed.select("doc_idx", F.posexplode("tv.programme").alias("elem_idx", "element"))
-    return _channels(channels, whole), _programmes(programmes, whole)
+    # Outer: for an inner one Spark adds a filter on the array's size below it, which parses every document once more, and
+    # before any join that leaves documents out.
+    children = lambda tag: parsed.select("doc_idx", F.posexplode_outer(f"tv.{tag}").alias("elem_idx", "element")).where("elem_idx IS NOT NULL")
+    return _channels(children("channel"), whole), _programmes(children("programme"), whole)
 
 
 def _channels(rows: DataFrame, whole: list[str]) -> DataFrame:

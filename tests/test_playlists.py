@@ -198,3 +198,17 @@ def test_landed_guides_are_listed_once(spark, tmp_path, query):
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(query) for s in tracker.getJobInfo(j).stageIds]
     assert sum(s is not None and s.name.startswith("load ") for s in stages) == 1  # Spark lists so many folders in a job
     assert len(rows.collect()) == 2 * 39  # the guide of user 7 is broken
+
+
+def test_guides_are_parsed_once_and_whole_only_where_winners_lie(spark):
+    texts = [f'<tv><channel id="c{k % 3}"><display-name>D{k}</display-name></channel><programme start="{k % 2}" channel="c"><title>T</title></programme></tv>' for k in range(20)] + ["<tv></tv>", None]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_idx int, xml string").repartition(3)
+    for rows in tables.read_guides(documents, element=False):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 1
+    channels, programmes = jobs.merge_guides(documents)
+    assert sorted((r.doc_idx, r.id, r.element["_id"]) for r in channels.collect()) == [(0, "c0", "c0"), (1, "c1", "c1"), (2, "c2", "c2")]
+    assert sorted((r.doc_idx, r.start) for r in programmes.collect()) == [(0, "0"), (1, "1")]
+    for rows in (channels, programmes):
+        lines = rows._jdf.queryExecution().optimizedPlan().toString().lower().splitlines()
+        parse, semi = [next(k for k, x in enumerate(lines) if mark in x) for mark in ("from_xml", "leftsemi")]
+        assert parse < semi  # the join that leaves documents out lies below the parse
