@@ -105,6 +105,12 @@ def _small(table: DataFrame) -> list[tuple[str, str]] | None:
     return [tuple(r) for r in rows.groupBy("traditional").agg(F.min("simplified")).collect()] if size <= TABLE_BYTES else None
 
 
+def _kept_apart(x: Column) -> Column:
+    """The same value behind an outer explode. Filters and joins on it stay above: as a plain expression of the raw name Spark
+    would infer them for both sides of the join by that name, below the distinct too, and clean every row several times."""
+    return F.explode_outer(F.array(x))
+
+
 def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame | None = None, characters: DataFrame | None = None) -> DataFrame:
     """Replace names by clean ones and drop rows without. Distinct raw names are cleaned once and joined back.
 
@@ -112,10 +118,10 @@ def clean_channels(entries: DataFrame, name: str = "name", phrases: DataFrame |
     """
     names = entries.select(F.coalesce(F.col(name), F.lit("")).alias("__raw")).distinct()
     if phrases is None and characters is None:
-        names = names.select("__raw", trimmed(to_simplified(without_tags("__raw"))).alias("__clean"))
+        names = names.select("__raw", _kept_apart(trimmed(to_simplified(without_tags("__raw")))).alias("__clean"))
     else:
-        names = simplify_phrases(names.select("__raw", without_tags("__raw").alias("__clean")), phrases, "__clean", characters)
-        names = names.withColumn("__clean", trimmed(F.col("__clean")))
+        names = simplify_phrases(names.select("__raw", _kept_apart(without_tags("__raw")).alias("__clean")), phrases, "__clean", characters)
+        names = names.select("__raw", _kept_apart(trimmed(F.col("__clean"))).alias("__clean"))
     joined = entries.withColumn("__raw", F.coalesce(F.col(name), F.lit(""))).join(names.where("__clean <> ''"), "__raw")
     return joined.withColumn(name, F.col("__clean")).drop("__raw", "__clean")
 

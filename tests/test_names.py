@@ -38,6 +38,17 @@ def test_clean_channels_drops_and_keeps_rows(spark):
     assert sorted(map(tuple, names.clean_channels(df).select("i", "name").collect())) == [(1, "CCTV-1"), (3, "CCTV-1")]
 
 
+@pytest.mark.parametrize("phrases", [False, True])
+def test_clean_channels_cleans_a_name_once(spark, phrases):
+    """No filter on clean names is inferred for the raw ones, of which each has the whole cleaning in it."""
+    df = spark.range(3).select("id", F.concat(F.lit("CCTV"), "id").alias("name"))
+    table = spark.createDataFrame([("甲", "乙")], "traditional string, simplified string") if phrases else None
+    found = names.clean_channels(df, phrases=table).join(spark.createDataFrame([("CCTV-1",)], "name string"), "name")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("KODIPROP") == 1
+    assert [r.id for r in found.collect()] == [1]
+
+
 def test_phrases_come_first(spark):
     df = spark.createDataFrame([("鳳凰衛視台",), ("abc",), (None,)], "name string")
     phrases = spark.createDataFrame([("衛視台", "X"), ("衛", "Y")], "traditional string, simplified string")
