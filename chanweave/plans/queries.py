@@ -79,12 +79,12 @@ FROM events GROUP BY user_id"""
 @query(f"""SELECT concat('u', user_id) AS source, 'cn' AS region, CASE WHEN user_id % 7 = 1 THEN {len(playlists.NOT_LANDED)} ELSE CAST(n AS BIGINT) END AS n_chars,
 user_id % 7 = 1 AS failed FROM ({BLOCK_LENGTH}) WHERE user_id % 3 <> 0""")
 def s1_read_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents are landed as files, then read with the registry of their sources: every third is disabled, and of every
-    seventh nothing landed."""
-    docs, path = derive.playlist_documents(spark, sf_dir), scratch.shared_folder(spark, "landing")
-    docs.where("source_idx % 7 <> 1").select("source", "content").repartition("source").write.partitionBy("source").text(path)
-    registry = docs.select("source_idx", F.col("source").alias("name"), "url", "type", "region", (F.col("source_idx") % 3 != 0).alias("enabled"))
-    read = playlists.read_payloads(spark, path, registry, folders=True)
+    """Documents are landed, most of them packed, then read with the registry of their sources: every third is disabled, and
+    of every seventh nothing landed."""
+    docs = derive.playlist_documents(spark, sf_dir).withColumnRenamed("source", "name")
+    files, records = derive.land(docs.where("source_idx % 7 <> 1"), scratch.shared_folder(spark, "landing"))
+    registry = docs.select("source_idx", "name", "url", "type", "region", (F.col("source_idx") % 3 != 0).alias("enabled"))
+    read = playlists.read_payloads(spark, files, registry, folders=True, records=records)
     text = F.regexp_replace("content", "\n$", "")
     return read.select("source", "region", F.length(text).cast("long").alias("n_chars"), playlists.is_error_payload("content").alias("failed"))
 

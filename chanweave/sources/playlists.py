@@ -16,6 +16,7 @@ LINE_BITS = 40
 #: A whole text is scanned in segments of this many lines (as a power of two), a landed file in Spark's splits of it.
 SEGMENT_BITS = 14
 NOT_LANDED = "ERROR: not landed"
+RECORD_SCHEMA = "name string, content string"
 ENTRY_COLUMNS = ("ord", "name", "url", "tvg_id", "tvg_name", "tvg_logo", "group_title", "source", "source_region")
 # Marks of the playlist format, in any case; the name follows the first comma.
 EXTINF = r"(?iuU)^#EXTINF\s*+:\s*+-?\d++\s*+(?:[^,]*+,)(.+)"
@@ -26,19 +27,25 @@ def source_name(folders: bool) -> Column:
     return F.regexp_extract("file_path", "/(?:[^/=]*=)?([^/]+)/[^/]+$", 1) if folders else F.regexp_replace("file_name", r"\.[^.]*$", "")
 
 
-def read_payloads(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False, records: str | None = None) -> DataFrame:
     """Landed files, one whole text each, of enabled sources. The file's name without its ending is the source's name;
     with `folders`, the name of the file's folder (after an equals sign, if there is one).
 
-    A source of which nothing landed is a failed one: it stays, with an error as its content, so that counts and gates
-    see it. The registry is small (one row per source) and its side of the join is broadcast below Spark's threshold.
+    Files cost by their number. A landing of very many sources packs them: `records` is a folder of Parquet with a row
+    (name, content) a source, read beside the files of `path`.
+
+    A source of which nothing landed (no file, an empty one, a row without text) is a failed one: it stays, with an error as
+    its content, so that counts and gates see it. The registry is small (one row per source) and its side of the join is
+    broadcast below Spark's threshold.
     """
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select("value", "_metadata.file_path", "_metadata.file_name")
     landed = files.select(source_name(folders).alias("name"), F.col("value").alias("content"))
+    if records is not None:
+        landed = landed.unionByName(spark.read.schema(RECORD_SCHEMA).parquet(records))
     enabled = enabled_sources(registry)
     absent = enabled.join(landed.select("name").distinct(), "name", "left_anti").withColumn("content", F.lit(NOT_LANDED))
-    both = landed.join(enabled, "name").unionByName(absent)
-    return both.select("source_idx", F.col("name").alias("source"), "url", "type", "region", "content")
+    there = landed.join(enabled, "name").withColumn("content", F.coalesce(F.nullif("content", F.lit("")), F.lit(NOT_LANDED)))
+    return there.unionByName(absent).select("source_idx", F.col("name").alias("source"), "url", "type", "region", "content")
 
 
 def enabled_sources(registry: DataFrame) -> DataFrame:

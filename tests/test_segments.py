@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from chanweave.plans import derive
+from chanweave import scratch
+from chanweave.plans import derive, queries
 from chanweave.sources import playlists
 
 REGISTRY = "source_idx int, name string, url string, type string, enabled boolean, region string"
@@ -93,6 +94,27 @@ def test_sources_that_did_not_land_are_errors(spark, tmp_path):
     assert read == {"here": "#EXTM3U", "gone": playlists.NOT_LANDED}
 
 
+def test_packed_sources_are_read_beside_files(spark, tmp_path):
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "a.m3u").write_text("A\n")
+    (tmp_path / "files" / "void.m3u").write_text("")
+    rows = [("b", 'B\r\n"\\,\x0b\n'), ("empty", ""), ("none", None), ("off", "O"), ("unknown", "U")]
+    spark.createDataFrame(rows, playlists.RECORD_SCHEMA).write.parquet(str(tmp_path / "records"))
+    wanted = ["a", "b", "empty", "gone", "none", "off", "void"]
+    registry = spark.createDataFrame([(k, n, "", "m3u", n != "off", "cn") for k, n in enumerate(wanted)], REGISTRY)
+    read = playlists.read_payloads(spark, str(tmp_path / "files"), registry, records=str(tmp_path / "records")).collect()
+    want = {"a": "A\n", "b": rows[0][1]} | dict.fromkeys(("empty", "gone", "none", "void"), playlists.NOT_LANDED)
+    assert len(read) == len(want) and {r.source: r.content for r in read} == want
+
+
+@pytest.mark.parametrize(("query", "rows"), [("s1_read_payloads", 800)])
+def test_files_of_a_landing_are_few(spark, tmp_path, monkeypatch, query, rows):
+    monkeypatch.setattr(scratch, "shared_folder", lambda spark, name: f"{tmp_path}/{name}")
+    spark.range(1200).selectExpr("id AS event_id", "id AS user_id").write.parquet(f"{tmp_path}/events.parquet")
+    assert queries.QUERIES[query](spark, str(tmp_path)).count() == rows
+    assert len([f for f in tmp_path.glob("*/**/part-*") if "events" not in str(f)]) < 200
+
+
 def test_long_lists_are_landed_with_keys_sorted_alone(spark, tmp_path):
     spark.range(600).selectExpr("id * 7 % 600 AS event_id", "id % 9 AS user_id").write.parquet(f"{tmp_path}/events.parquet")
     store = spark._jsparkSession.sharedState().statusStore()
