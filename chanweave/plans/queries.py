@@ -171,23 +171,21 @@ def s6_read_guide_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return channels.select("doc_idx", "elem_idx", "id", "display_name", F.element_at("element.icon._src", 1).alias("icon"))
 
 
-def _landed_guides(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
-    """Guides are landed as files, broken ones too, to be read element by element: their folder and registry."""
-    docs, path = derive.guide_documents(spark, sf_dir), scratch.shared_folder(spark, "guides")
-    source = F.concat(F.lit("g"), "doc_idx")
-    docs.select(source.alias("source"), "xml").repartition("source").write.partitionBy("source").text(path)
-    registry = docs.select(F.col("doc_idx").alias("source_idx"), source.alias("name"), F.lit(True).alias("enabled"))
-    return path, registry
+def _landed_guides(spark: SparkSession, sf_dir: str) -> dict:
+    """Guides are landed, broken ones too, most of them packed; what is to be read. Files are read element by element."""
+    docs = derive.guide_documents(spark, sf_dir).select(F.col("doc_idx").alias("source_idx"), F.concat(F.lit("g"), "doc_idx").alias("name"), F.col("xml").alias("content"))
+    files, records = derive.land(docs, scratch.shared_folder(spark, "guides"))
+    return {"path": files, "records": records, "registry": docs.select("source_idx", "name", F.lit(True).alias("enabled")), "folders": True, "element": False}
 
 
 @query(GUIDE_PROGRAMMES)
 def s6_landed_programmes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_landed_programmes(spark, *_landed_guides(spark, sf_dir), folders=True).drop("element")
+    return tables.read_landed_programmes(spark, **_landed_guides(spark, sf_dir))
 
 
 @query(GUIDE_CHANNELS)
 def s6_landed_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_landed_channels(spark, *_landed_guides(spark, sf_dir), folders=True).drop("element")
+    return tables.read_landed_channels(spark, **_landed_guides(spark, sf_dir))
 
 
 def rendered(entries: str, lists: str) -> str:

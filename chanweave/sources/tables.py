@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.order import numbered
-from .playlists import enabled_sources, is_guide_payload, source_name
+from .playlists import RECORD_SCHEMA, enabled_sources, is_guide_payload, source_name
 from .sinks import PART_DIGITS
 
 CHANNEL_SCHEMA = "standard_name string, category string, group_title string, tvg_id string, display_name string"
@@ -118,28 +118,38 @@ def _programmes(rows: DataFrame, whole: list[str]) -> DataFrame:
     return rows.select("doc_idx", "elem_idx", *fields, title.alias("title"), *whole)
 
 
-def read_landed_guides(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_landed_guides(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False, records: str | None = None, element: bool = True) -> tuple[DataFrame, DataFrame]:
     """Channels and programmes of landed guides of enabled sources, as read_guides gives them, element by element: Spark's
-    reader streams through a file, so no guide is ever one value. doc_idx is the source's place in the registry.
+    reader streams through a file, so no such guide is ever one value. doc_idx is the source's place in the registry.
 
     A file that does not parse to its end gives no rows at all. Elements count wherever they lie; the format has them only
     below the root. Each of the two lists and reads the folder; where one is wanted, read_landed_channels and
     read_landed_programmes do so once.
+
+    Files cost by their number. A landing of very many guides packs small ones: `records` is a folder of Parquet with a row
+    (name, content) a guide, read by read_guides beside the files of `path`.
     """
-    return read_landed_channels(spark, path, registry, folders), read_landed_programmes(spark, path, registry, folders)
+    return read_landed_channels(spark, path, registry, folders, records, element), read_landed_programmes(spark, path, registry, folders, records, element)
+
+
+def read_landed_channels(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False, records: str | None = None, element: bool = True) -> DataFrame:
+    files = _channels(_landed_elements(spark, path, registry, folders, "channel", CHANNEL_ELEMENT), ["element"] if element else [])
+    return files if records is None else files.unionByName(read_guides(_packed(spark, records, registry), element)[0])
 
 
-def read_landed_channels(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
-    return _channels(_landed_elements(spark, path, registry, folders, "channel", CHANNEL_ELEMENT), ["element"])
+def read_landed_programmes(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False, records: str | None = None, element: bool = True) -> DataFrame:
+    files = _programmes(_landed_elements(spark, path, registry, folders, "programme", PROGRAMME_ELEMENT), ["element"] if element else [])
+    return files if records is None else files.unionByName(read_guides(_packed(spark, records, registry), element)[1])
 
 
-def read_landed_programmes(spark: SparkSession, path: str, registry: DataFrame, folders: bool = False) -> DataFrame:
-    return _programmes(_landed_elements(spark, path, registry, folders, "programme", PROGRAMME_ELEMENT), ["element"])
+def _packed(spark: SparkSession, records: str, registry: DataFrame) -> DataFrame:
+    rows = spark.read.schema(RECORD_SCHEMA).parquet(records).join(enabled_sources(registry).select("source_idx", "name"), "name")
+    return rows.select(F.col("source_idx").alias("doc_idx"), F.col("content").alias("xml"))
 
 
 def _landed_elements(spark: SparkSession, path: str, registry: DataFrame, folders: bool, tag: str, element: str) -> DataFrame:
     schema = StructType.fromDDL(f"x {element}")["x"].dataType
-    fields = schema.names
+    fields = list(schema.names)  # add changes the names in place
     options = {"rowTag": tag, "columnNameOfCorruptRecord": BROKEN, "ignoreSurroundingSpaces": "false", "recursiveFileLookup": "true"}
     read = spark.read.format("xml").options(**options).schema(schema.add(BROKEN, "string")).load(path)
     read = read.select(F.struct(*[F.col(f"`{c}`") for c in fields]).alias("element"), F.col(BROKEN).isNotNull().alias("broken"), "_metadata.file_path", "_metadata.file_name", F.monotonically_increasing_id().alias("row"))

@@ -188,6 +188,19 @@ def test_landed_guides_equal_whole_texts(spark, tmp_path):
         assert sorted(map(tuple, a.drop("element").collect())) == sorted(map(tuple, b.drop("element").collect()))
 
 
+def test_packed_guides_are_read_beside_files(spark, tmp_path):
+    guide = lambda k: f'<tv><channel id="c{k}"><icon src="i"/></channel><programme start="{k}" channel="c{k}"/></tv>'
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "g0.xml").write_text(guide(0))
+    spark.createDataFrame([("g1", guide(1)), ("g2", "<tv><broken"), ("g3", None), ("off", guide(4)), ("unknown", guide(5))], playlists.RECORD_SCHEMA).write.parquet(str(tmp_path / "records"))
+    registry = spark.createDataFrame([(k, n, n != "off") for k, n in enumerate(("g0", "g1", "g2", "g3", "off"))], "source_idx int, name string, enabled boolean")
+    for element in (True, False):
+        channels, programmes = tables.read_landed_guides(spark, str(tmp_path / "files"), registry, records=str(tmp_path / "records"), element=element)
+        assert sorted((r.doc_idx, r.elem_idx, r.id) for r in channels.collect()) == [(0, 0, "c0"), (1, 0, "c1")]
+        assert sorted((r.doc_idx, r.elem_idx, r.start) for r in programmes.collect()) == [(0, 0, "0"), (1, 0, "1")]
+        assert not element or [r.element.icon[0]["_src"] for r in channels.collect()] == ["i", "i"]
+
+
 @pytest.mark.parametrize("query", ["s6_landed_programmes", "s6_landed_channels"])
 def test_landed_guides_are_listed_once(spark, tmp_path, query):
     spark.range(80).selectExpr("id AS event_id", "id % 40 AS user_id").write.parquet(f"{tmp_path}/events.parquet")
